@@ -250,3 +250,141 @@ SELECT date, hour, active_pools,
 FROM hourly_stats
 ORDER BY date DESC, hour DESC
 """
+
+# ---- store, maintenance and look-up queries -------------------------------------
+
+_FEATS13 = FEATURE_COLS[3:]
+_FEAT_DOUBLES13 = {c for c in _FEATS13 if c in FEATURE_DOUBLES}
+
+SQL["feature_export"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())}
+SELECT pool_id AS entity_id, hour_ts AS feature_timestamp,
+  {r6(_FEATS13, _FEAT_DOUBLES13)}
+FROM lab
+WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 1 HOUR AND hour_ts < {AS_OF_SQL}
+"""
+
+
+def _read_features_sql(default: str | None) -> str:
+    def val(c: str) -> str:
+        v = f"CAST(l.{c} AS DOUBLE)"
+        v = v if default is None else f"coalesce({v}, {default})"
+        return f"round({v}, 6) AS {c}"
+
+    used = " + ".join(f"(CASE WHEN l.{c} IS NOT NULL THEN 1 ELSE 0 END)" for c in _FEATS13)
+    return f"""
+{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())},
+vals AS (
+  SELECT pool_id AS entity_id, hour_ts AS feature_timestamp, {", ".join(_FEATS13)}
+  FROM lab WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 7 DAY
+),
+latest AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id ORDER BY feature_timestamp DESC) AS rn FROM vals
+  ) WHERE rn = 1
+),
+ids AS (SELECT DISTINCT pool_id FROM pool_hours)
+SELECT ids.pool_id,
+  {", ".join(val(c) for c in _FEATS13)},
+  CAST({used} AS BIGINT) AS features_used,
+  CAST(13 - ({used}) AS BIGINT) AS features_missing
+FROM ids LEFT JOIN latest l ON ids.pool_id = l.entity_id
+"""
+
+
+SQL["latest_features"] = _read_features_sql("0.0")
+SQL["feature_lookup"] = _read_features_sql(None)
+
+SQL["incremental_features"] = SQL["pool_features"]
+
+SQL["upsert_labeled"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte(),
+           labeled_cte(score=f"CASE WHEN f.hour_ts >= {AS_OF_SQL} - INTERVAL 7 DAY THEN abs(f.volume_zscore) END"))}
+SELECT {r6(LABELED_COLS, LABELED_DOUBLES)}
+FROM lab
+"""
+
+RELOAD = f"""
+reloaded AS (
+  SELECT dex_protocol, pool_id, hour_ts, volume_usd, tvl_usd, liquidity, tx_count, load_ts FROM pool_hours
+  UNION ALL
+  SELECT
+    CASE WHEN user_id % 2 = 0 THEN 'uniswap_v3' ELSE 'sushiswap_v3' END,
+    'pool_' || CAST(user_id AS VARCHAR),
+    CAST(date_trunc('hour', ts) AS TIMESTAMP),
+    round(sum(value), 6),
+    max(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)),
+    sum(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE)),
+    count(*),
+    {AS_OF_SQL}
+  FROM events
+  WHERE ts >= TIMESTAMP '2024-01-30 00:00:00'
+  GROUP BY user_id, date_trunc('hour', ts)
+)"""
+
+SQL["dedup_latest"] = f"""
+{with_ctes(POOL_HOURS, RELOAD)}
+SELECT {r6(STG_COLS[:-2], {"volume_usd", "tvl_usd", "liquidity"})},
+  CASE WHEN volume_usd < 0 OR tvl_usd < 0 THEN TRUE ELSE FALSE END AS has_negative_values,
+  load_ts
+FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY dex_protocol, pool_id, hour_ts ORDER BY load_ts DESC) AS rn
+  FROM reloaded
+) WHERE rn = 1
+"""
+
+SQL["retention_prune"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+SELECT {r6(STG_COLS, {"volume_usd", "tvl_usd", "liquidity"})}
+FROM stg
+WHERE CAST(hour_ts AS DATE) >= CAST({AS_OF_SQL} AS DATE) - INTERVAL 7 DAY
+"""
+
+SQL["import_stats"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())}
+SELECT COUNT(DISTINCT pool_id) AS imported_entity_count,
+  CAST({" + ".join(f"COUNT({c})" for c in _FEATS13)} AS BIGINT) AS imported_feature_value_count
+FROM lab
+"""
+
+SQL["not_null_report"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+{" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
+    f"COUNT(*) AS row_count, count_if({c} IS NULL) = 0 AS passed FROM stg"
+    for c in STG_COLS)}
+"""
+
+SQL["interval_page"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+SELECT {r6(STG_COLS, {"volume_usd", "tvl_usd", "liquidity"})}
+FROM stg
+WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 24 HOUR AND hour_ts < {AS_OF_SQL}
+ORDER BY hour_ts, pool_id
+LIMIT 100 OFFSET 100
+"""
+
+SQL["high_water_mark"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte())}
+SELECT coalesce(max(hour_ts), TIMESTAMP '1900-01-01 00:00:00') AS high_water FROM f
+"""
+
+SQL["predict_ids"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())},
+latest AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY pool_id ORDER BY hour_ts DESC, dex_protocol DESC) AS rn
+    FROM lab WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 24 HOUR
+  ) WHERE rn = 1
+),
+req AS (
+  SELECT user_id // 100 AS request_id,
+    ROW_NUMBER() OVER (PARTITION BY user_id // 100 ORDER BY user_id) - 1 AS position,
+    'pool_' || CAST(user_id AS VARCHAR) AS pool_id
+  FROM (SELECT DISTINCT user_id FROM events)
+)
+SELECT req.request_id, req.position, req.pool_id,
+  round(coalesce(l.anomaly_score, 0.0), 6) AS anomaly_score,
+  coalesce(l.is_anomaly, FALSE) AS is_anomaly
+FROM req LEFT JOIN latest l ON req.pool_id = l.pool_id
+"""

@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.features import pool_features
+from tidemark.operators.features import high_water, incremental_features, pool_features
+from tidemark.operators.lookup import predict_ids, read_features, to_feature_values
+from tidemark.operators.maintenance import check_not_null, dedup_latest, import_stats, page, prune, upsert
 from tidemark.operators.labels import label, pool_percentile, with_score
 from tidemark.operators.staging import flag_negative, stage_pool_hourly
 from tidemark.operators.views import anomaly_dashboard, anomaly_timeseries, latest_status
 from tidemark.plans import oracle
-from tidemark.sources.raw import to_raw
-from tidemark.sources.tables import AS_OF, pool_hour_records, pool_hours
+from tidemark.schemas import FEATURES
+from tidemark.sources.raw import hour_slice, to_raw
+from tidemark.sources.store import export_feature_values
+from tidemark.sources.tables import AS_OF, load_table, pool_hour_records, pool_hours
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +111,95 @@ def q_anomaly_timeseries(spark, sf_dir):
     return round6(anomaly_timeseries(scored_labeled(spark, sf_dir), AS_OF))
 
 
+def q_feature_export(spark, sf_dir):
+    return round6(export_feature_values(scored_labeled(spark, sf_dir), AS_OF))
+
+
+def _store_values(spark, sf_dir):
+    """A week of hourly exports, as the store would hold them."""
+    from tidemark.operators.staging import lookback_days
+
+    return to_feature_values(lookback_days(scored_labeled(spark, sf_dir), AS_OF, 7))
+
+
+def _all_pool_ids(spark, sf_dir):
+    return pool_hours(spark, sf_dir).select("pool_id").distinct()
+
+
+def q_latest_features(spark, sf_dir):
+    return round6(read_features(_store_values(spark, sf_dir), _all_pool_ids(spark, sf_dir), default=0.0))
+
+
+def q_feature_lookup(spark, sf_dir):
+    return round6(read_features(_store_values(spark, sf_dir), _all_pool_ids(spark, sf_dir), default=None))
+
+
+MARK = "2024-01-25 00:00:00"
+
+
+def q_incremental_features(spark, sf_dir):
+    stg = staged(spark, sf_dir)
+    target = pool_features(stg.filter(F.col("hour_ts") < F.lit(MARK).cast("timestamp_ntz")), as_of=AS_OF)
+    new = incremental_features(stg, target, as_of=AS_OF)
+    return round6(target.unionByName(new))
+
+
+def q_upsert_labeled(spark, sf_dir):
+    from tidemark.operators.staging import lookback_days
+
+    target = labeled(spark, sf_dir)
+    updates = lookback_days(scored_labeled(spark, sf_dir), AS_OF, 7)
+    return round6(upsert(target, updates, ("pool_id", "hour_ts")))
+
+
+def q_dedup_latest(spark, sf_dir):
+    first = raw_envelope(spark, sf_dir)
+    again = pool_hours(spark, sf_dir, signed=False).filter(F.col("hour_ts") >= F.lit("2024-01-30").cast(
+        "timestamp_ntz"))
+    reload = to_raw(pool_hour_records(again), F.col("protocol"), load_ts=AS_OF)
+    rows = dedup_latest(first.unionByName(reload), ("dex_protocol", "pool_id", "hour_ts"), "load_ts")
+    return round6(stage_pool_hourly(rows, as_of=AS_OF))
+
+
+def q_retention_prune(spark, sf_dir):
+    return round6(prune(staged(spark, sf_dir), AS_OF, 7))
+
+
+def q_import_stats(spark, sf_dir):
+    return import_stats(to_feature_values(scored_labeled(spark, sf_dir)), FEATURES)
+
+
+def q_not_null_report(spark, sf_dir):
+    stg = stage_pool_hourly(raw_envelope(spark, sf_dir), as_of=AS_OF)
+    return check_not_null(stg, stg.columns)
+
+
+def q_interval_page(spark, sf_dir):
+    return round6(page(hour_slice(staged(spark, sf_dir), AS_OF, hours=24), first=100, skip=100))
+
+
+def q_high_water_mark(spark, sf_dir):
+    f = features(spark, sf_dir)
+    return spark.range(1).select(high_water(f).alias("high_water"))
+
+
+def pool_requests(spark, sf_dir):
+    """Request batches of at most 100 pool ids (ids grouped by ``user_id div 100``), in id order."""
+    users = load_table(spark, sf_dir, "events").select("user_id").distinct()
+    req = users.groupBy(F.expr("user_id div 100").alias("request_id")).agg(
+        F.sort_array(F.collect_list("user_id")).alias("_ids"))
+    return req.select("request_id", F.transform("_ids", lambda u: F.concat(F.lit("pool_"), u.cast("string")))
+                      .alias("pool_ids"))
+
+
+def q_predict_ids(spark, sf_dir):
+    from tidemark.operators.views import latest_status as _latest
+
+    scores = _latest(scored_labeled(spark, sf_dir), AS_OF)
+    out = predict_ids(pool_requests(spark, sf_dir), scores)
+    return round6(out.withColumn("position", F.col("position").cast("bigint")))
+
+
 QUERIES: dict[str, Query] = {
     "stg_pool_hourly_all": q_stg_pool_hourly_all,
     "stg_pool_hourly_ohlc": q_stg_pool_hourly_ohlc,
@@ -117,6 +210,18 @@ QUERIES: dict[str, Query] = {
     "latest_status": q_latest_status,
     "anomaly_dashboard": q_anomaly_dashboard,
     "anomaly_timeseries": q_anomaly_timeseries,
+    "feature_export": q_feature_export,
+    "latest_features": q_latest_features,
+    "feature_lookup": q_feature_lookup,
+    "incremental_features": q_incremental_features,
+    "upsert_labeled": q_upsert_labeled,
+    "dedup_latest": q_dedup_latest,
+    "retention_prune": q_retention_prune,
+    "import_stats": q_import_stats,
+    "not_null_report": q_not_null_report,
+    "interval_page": q_interval_page,
+    "high_water_mark": q_high_water_mark,
+    "predict_ids": q_predict_ids,
 }
 
 
