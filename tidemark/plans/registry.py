@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.operators.features import high_water, incremental_features, pool_features
 from tidemark.operators.lookup import predict_ids, read_features, to_feature_values
 from tidemark.operators.maintenance import check_not_null, dedup_latest, import_stats, page, prune, upsert
-from tidemark.operators.labels import label, pool_percentile, with_score
+from tidemark.operators.labels import apply_scores, label, pool_percentile, with_score
 from tidemark.operators.staging import flag_negative, stage_pool_hourly
 from tidemark.operators.views import anomaly_dashboard, anomaly_timeseries, latest_status
 from tidemark.plans import oracle
@@ -200,6 +200,55 @@ def q_predict_ids(spark, sf_dir):
     return round6(out.withColumn("position", F.col("position").cast("bigint")))
 
 
+# ---- Isolation Forest (no SQL oracle: checked by properties in tests/) -----------
+
+def _model(spark, sf_dir, contamination="auto"):
+    from tidemark.plans.pipeline import train_model
+
+    return train_model(labeled(spark, sf_dir), AS_OF, contamination=contamination)
+
+
+def q_iforest_scores(spark, sf_dir):
+    from tidemark.operators.iforest import score
+
+    lab = labeled(spark, sf_dir)
+    return round6(score(lab, _model(spark, sf_dir)).select("pool_id", "hour_ts", "anomaly_score"))
+
+
+def q_iforest_decisions(spark, sf_dir):
+    from tidemark.operators.iforest import decide, predict_class, score
+
+    lab = labeled(spark, sf_dir)
+    model = _model(spark, sf_dir, contamination=0.1)
+    scores = score(lab.select("pool_id", "hour_ts", *FEATURES), model)
+    written = apply_scores(lab, scores.select("pool_id", "hour_ts", "anomaly_score"))
+    out = predict_class(decide(written, threshold=3.0), model)
+    return round6(out.select("pool_id", "hour_ts", "anomaly_score", "is_anomaly", "threshold", "prediction"))
+
+
+def q_iforest_mean_score(spark, sf_dir):
+    from tidemark.operators.iforest import mean_score, score
+
+    return round6(mean_score(score(labeled(spark, sf_dir), _model(spark, sf_dir))))
+
+
+def q_predict_pools(spark, sf_dir):
+    from tidemark.operators.iforest import predict_from_features
+
+    out = predict_from_features(_store_values(spark, sf_dir), _all_pool_ids(spark, sf_dir),
+                                _model(spark, sf_dir))
+    return round6(out)
+
+
+def q_hourly_pipeline(spark, sf_dir):
+    from tidemark.plans.pipeline import hourly_pipeline
+
+    lab = labeled(spark, sf_dir)
+    res = hourly_pipeline(lab, _store_values(spark, sf_dir), _model(spark, sf_dir), AS_OF)
+    return round6(res.predictions.select("entity_id", "feature_timestamp", "anomaly_score", "is_anomaly",
+                                         "prediction"))
+
+
 QUERIES: dict[str, Query] = {
     "stg_pool_hourly_all": q_stg_pool_hourly_all,
     "stg_pool_hourly_ohlc": q_stg_pool_hourly_ohlc,
@@ -222,6 +271,11 @@ QUERIES: dict[str, Query] = {
     "interval_page": q_interval_page,
     "high_water_mark": q_high_water_mark,
     "predict_ids": q_predict_ids,
+    "iforest_scores": q_iforest_scores,
+    "iforest_decisions": q_iforest_decisions,
+    "iforest_mean_score": q_iforest_mean_score,
+    "predict_pools": q_predict_pools,
+    "hourly_pipeline": q_hourly_pipeline,
 }
 
 
