@@ -388,3 +388,17 @@ SELECT req.request_id, req.position, req.pool_id,
   coalesce(l.is_anomaly, FALSE) AS is_anomaly
 FROM req LEFT JOIN latest l ON req.pool_id = l.pool_id
 """
+
+SQL["stream_hourly_stats"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+SELECT hour_ts, COUNT(*) AS active_pools,
+  round(SUM(volume_usd), 6) AS total_volume,
+  round(SUM(tvl_usd), 6) AS total_tvl,
+  CAST(SUM(CASE WHEN has_negative_values THEN 1 ELSE 0 END) AS BIGINT) AS flagged_count
+FROM stg
+GROUP BY hour_ts
+HAVING hour_ts <= (SELECT max(hour_ts) FROM stg) - INTERVAL 3 HOUR
+"""
+
+SQL["stream_dedup_latest"] = SQL["dedup_latest"]
+SQL["stream_features"] = SQL["pool_features"]

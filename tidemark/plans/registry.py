@@ -249,6 +249,115 @@ def q_hourly_pipeline(spark, sf_dir):
                                          "prediction"))
 
 
+# ---- Structured Streaming: landing drops -> stream -> table in the shared folder ----
+
+KEYS3 = ("dex_protocol", "pool_id", "hour_ts")
+
+
+def _landing_runs(spark, sf_dir, split_at: str | None = None, reload_last_day: bool = False) -> list[str]:
+    """Write the raw envelopes as JSONL landing drops, one folder per hourly run."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.raw import write_landing
+
+    raw = raw_envelope(spark, sf_dir)
+    runs = []
+    if split_at is None:
+        parts = [raw]
+    else:
+        cut = F.lit(split_at).cast("timestamp_ntz")
+        parts = [raw.filter(F.col("hour_ts") < cut), raw.filter(F.col("hour_ts") >= cut)]
+    if reload_last_day:
+        again = pool_hours(spark, sf_dir, signed=False).filter(
+            F.col("hour_ts") >= F.lit("2024-01-30").cast("timestamp_ntz"))
+        parts.append(to_raw(pool_hour_records(again), F.col("protocol"), load_ts=AS_OF))
+    root = scratch_path(spark, "landing")
+    for i, part in enumerate(parts):
+        write_landing(part, f"{root}/run={i}")
+        runs.append(f"{root}/run={i}")
+    return runs
+
+
+def _stream_runs(spark, runs: list[str], build) -> None:
+    """Replay landing runs as hourly ``availableNow`` triggers of one query (one checkpoint)."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.streams import run_available_now
+
+    inbox = scratch_path(spark, "inbox")
+    ckpt = scratch_path(spark, "ckpt")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for i, run in enumerate(runs):
+        # publish the run's files into the watched folder (rename = atomic on HDFS/posix)
+        src = jvm.org.apache.hadoop.fs.Path(run)
+        fs = src.getFileSystem(conf)
+        dst = jvm.org.apache.hadoop.fs.Path(f"{inbox}/run={i}")
+        fs.mkdirs(dst.getParent())
+        fs.rename(src, dst)
+        run_available_now(build(inbox, ckpt))
+
+
+def q_stream_hourly_stats(spark, sf_dir):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.streams import stage_stream, stream_dedup, stream_hourly_stats, stream_raw
+
+    out = scratch_path(spark, "stream-hourly-stats")
+
+    def build(inbox, ckpt):
+        stats = stream_hourly_stats(stream_dedup(stage_stream(stream_raw(spark, inbox)), KEYS3), delay=None)
+        return (stats.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+                .outputMode("append"))
+
+    _stream_runs(spark, _landing_runs(spark, sf_dir), build)
+    return round6(spark.read.parquet(out))
+
+
+def q_stream_dedup_latest(spark, sf_dir):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.streams import stream_raw, upsert_latest_batch
+
+    target = scratch_path(spark, "stream-raw-table")
+
+    def build(inbox, ckpt):
+        return (stream_raw(spark, inbox).writeStream.foreachBatch(upsert_latest_batch(target, KEYS3))
+                .option("checkpointLocation", ckpt))
+
+    _stream_runs(spark, _landing_runs(spark, sf_dir, reload_last_day=True), build)
+    rows = spark.read.parquet(target).drop("hour_date")
+    return round6(stage_pool_hourly(rows, as_of=AS_OF))
+
+
+def q_stream_features(spark, sf_dir):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
+
+    target = scratch_path(spark, "stream-features")
+
+    def build(inbox, ckpt):
+        return (stage_stream(stream_raw(spark, inbox)).writeStream
+                .foreachBatch(features_batch(target, as_of=AS_OF)).option("checkpointLocation", ckpt))
+
+    _stream_runs(spark, _landing_runs(spark, sf_dir, split_at=MARK), build)
+    out = spark.read.parquet(target).drop("hour_date")
+    return round6(out.select(*[c for c in features(spark, sf_dir).columns]))
+
+
+def q_stream_alerts(spark, sf_dir):
+    from tidemark.session import scratch_path
+    from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
+
+    target = scratch_path(spark, "stream-features")
+    alerts = scratch_path(spark, "stream-alerts")
+    model = _model(spark, sf_dir, contamination=0.1)
+
+    def build(inbox, ckpt):
+        body = features_batch(target, as_of=AS_OF, model=model, alerts_path=alerts)
+        return stage_stream(stream_raw(spark, inbox)).writeStream.foreachBatch(body).option(
+            "checkpointLocation", ckpt)
+
+    _stream_runs(spark, _landing_runs(spark, sf_dir, split_at=MARK), build)
+    return round6(spark.read.parquet(alerts))
+
+
 QUERIES: dict[str, Query] = {
     "stg_pool_hourly_all": q_stg_pool_hourly_all,
     "stg_pool_hourly_ohlc": q_stg_pool_hourly_ohlc,
@@ -276,6 +385,10 @@ QUERIES: dict[str, Query] = {
     "iforest_mean_score": q_iforest_mean_score,
     "predict_pools": q_predict_pools,
     "hourly_pipeline": q_hourly_pipeline,
+    "stream_hourly_stats": q_stream_hourly_stats,
+    "stream_dedup_latest": q_stream_dedup_latest,
+    "stream_features": q_stream_features,
+    "stream_alerts": q_stream_alerts,
 }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import instant_to_ntz, seconds_to_ntz, ts_literal
-from tidemark.schemas import RAW_JSONL, RAW_REQUIRED
+from tidemark.schemas import ISO_MICROS, RAW_JSONL, RAW_REQUIRED
 
 
 def to_raw(records: DataFrame, protocol: str | Column, load_ts: Column | str | None = None,
@@ -42,7 +42,7 @@ def read_raw_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     The nested record stays JSON text; instants become UTC TIMESTAMP_NTZ.
     """
-    df = spark.read.schema(RAW_JSONL).json(path)
+    df = spark.read.schema(RAW_JSONL).option("timestampFormat", ISO_MICROS).json(path)
     return df.select(
         "raw",
         "pool_id",
@@ -101,8 +101,8 @@ def write_landing(df: DataFrame, path: str) -> None:
         "raw",
         "pool_id",
         "dex_protocol",
-        F.date_format("hour_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("hour_ts"),
-        F.date_format("load_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("load_ts"),
+        F.date_format("hour_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("hour_ts"),
+        F.date_format("load_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("load_ts"),
         F.regexp_replace("dex_protocol", "_v3$", "").alias("protocol"),
         F.to_date("hour_ts").alias("date"),
     )
