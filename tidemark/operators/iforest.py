@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.schemas import FEATURES
 
@@ -140,6 +141,8 @@ def _sample(df: DataFrame, key: Column, n: int, n_trees: int, psi: int, seed: in
             top = pre.orderBy("u").limit(need)
             ranked = top.withColumn("_rank", F.row_number().over(Window.orderBy("u")) - 1)
             sample = ranked.select((F.col("_rank") % n_trees).cast("int").alias("tree"), "u", "x")
+            # bounded (n_trees * psi rows): written once to the shared checkpoint dir, then reused
+            sample = sample.checkpoint(eager=True)
             if f == 1.0 or sample.count() == need:
                 return sample
     trees = df.select(key.alias("_k"), "x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
@@ -166,9 +169,13 @@ def fit_iforest(
     """
     features = list(features)
     key = F.xxhash64(*[F.col(c) for c in (key_cols or features)])
-    data = df.select(key.alias("_key"), _vector(features, default).alias("x"))
+    # The projected vectors are read up to three times (count, sample, contamination
+    # scores): keep them for the duration of the fit, spilling to disk when large.
+    data = df.select(key.alias("_key"), _vector(features, default).alias("x")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     n = data.count()
     if n == 0:
+        data.unpersist()
         raise ValueError("cannot fit an isolation forest on an empty frame")
     psi_eff = int(min(psi, n))
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
@@ -195,47 +202,53 @@ def fit_iforest(
         model.offset = 0.5
     else:
         c = float(contamination)
-        scored = score(df.select(*features), model, default=default)
+        scored = score(data.select("x"), model, vector_col="x")
         q = scored.agg(F.percentile_approx("anomaly_score", 1.0 - c, 1_000_000).alias("q")).first()["q"]
         model.offset = float(q)
+    data.unpersist()
     return model
 
 
 class _Forest:
-    """Padded node arrays of a forest, shaped [trees, max_nodes]."""
+    """A forest flattened into 1-D node arrays with global node ids.
+
+    Leaves point to themselves (feature 0, split +inf), so walking a batch is
+    ``depth`` rounds of gathers with no masking.
+    """
 
     def __init__(self, pdf: pd.DataFrame, n_trees: int, psi: int):
-        pdf = pdf.sort_values(["tree", "node"])
-        width = int(pdf["node"].max()) + 1
-        self.feature = np.full((n_trees, width), -1, dtype=np.int64)
-        self.split = np.zeros((n_trees, width))
-        self.left = np.zeros((n_trees, width), dtype=np.int64)
-        self.right = np.zeros((n_trees, width), dtype=np.int64)
-        self.leaf_path = np.zeros((n_trees, width))
-        t = pdf["tree"].to_numpy()
-        nd = pdf["node"].to_numpy()
-        self.feature[t, nd] = pdf["feature"].to_numpy()
-        self.split[t, nd] = pdf["split"].to_numpy()
-        self.left[t, nd] = np.maximum(pdf["left"].to_numpy(), 0)
-        self.right[t, nd] = np.maximum(pdf["right"].to_numpy(), 0)
-        self.leaf_path[t, nd] = pdf["depth"].to_numpy() + average_path_length(pdf["size"].to_numpy())
-        self.max_depth = int(pdf["depth"].max())
+        pdf = pdf.sort_values(["tree", "node"]).reset_index(drop=True)
+        counts = pdf.groupby("tree")["node"].count().reindex(range(n_trees), fill_value=0).to_numpy()
+        offsets = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int32)
+        off = offsets[pdf["tree"].to_numpy()]
+        gid = (off + pdf["node"].to_numpy()).astype(np.int32)
+        leaf = pdf["feature"].to_numpy() < 0
+        self.feature = np.where(leaf, 0, pdf["feature"].to_numpy()).astype(np.int32)
+        self.split = np.where(leaf, np.inf, pdf["split"].to_numpy())
+        self.left = np.where(leaf, gid, off + pdf["left"].to_numpy()).astype(np.int32)
+        self.right = np.where(leaf, gid, off + pdf["right"].to_numpy()).astype(np.int32)
+        self.leaf_path = pdf["depth"].to_numpy() + average_path_length(pdf["size"].to_numpy())
+        self.roots = offsets
+        self.max_depth = int(pdf["depth"].max()) if len(pdf) else 0
         self.n_trees = n_trees
         self.c_psi = float(average_path_length(np.array([psi]))[0])
 
-    def score(self, x: np.ndarray) -> np.ndarray:
+    def score(self, x: np.ndarray, chunk: int = 1024) -> np.ndarray:
+        m, d = x.shape
+        out = np.empty(m)
+        for lo in range(0, m, chunk):
+            out[lo:lo + chunk] = self._score(np.ascontiguousarray(x[lo:lo + chunk]), d)
+        return out
+
+    def _score(self, x: np.ndarray, d: int) -> np.ndarray:
         m = x.shape[0]
-        idx = np.zeros((m, self.n_trees), dtype=np.int64)
-        trees = np.arange(self.n_trees)[None, :]
-        rows = np.arange(m)[:, None]
+        flat = x.ravel()
+        base = (np.arange(m, dtype=np.int32) * d)[:, None]
+        idx = np.broadcast_to(self.roots, (m, self.n_trees)).copy()
         for _ in range(self.max_depth):
-            feat = self.feature[trees, idx]
-            inner = feat >= 0
-            value = x[rows, np.where(inner, feat, 0)]
-            go_left = value < self.split[trees, idx]
-            nxt = np.where(go_left, self.left[trees, idx], self.right[trees, idx])
-            idx = np.where(inner, nxt, idx)
-        mean_path = self.leaf_path[trees, idx].mean(axis=1)
+            value = flat[base + self.feature[idx]]
+            idx = np.where(value < self.split[idx], self.left[idx], self.right[idx])
+        mean_path = self.leaf_path[idx].mean(axis=1)
         return np.power(2.0, -mean_path / self.c_psi) if self.c_psi > 0 else np.ones(m)
 
 

@@ -95,17 +95,29 @@ def append_raw(df: DataFrame, path: str, files_per_day: int | None = None) -> No
     )
 
 
-def write_landing(df: DataFrame, path: str) -> None:
-    """Landing layout ``<path>/protocol=<p>/date=<yyyy-mm-dd>/part-*.json`` (S-15)."""
-    out = df.select(
-        "raw",
+def write_landing(df: DataFrame, path: str, files_per_partition: int = 1) -> None:
+    """Landing layout ``<path>/protocol=<p>/date=<yyyy-mm-dd>/part-*`` of JSON lines (S-15).
+
+    Each line is ``{"raw": <record>, "pool_id": .., "dex_protocol": .., "hour_ts": .., "load_ts": ..}``
+    with the record spliced in as JSON (not re-parsed).  Rows are clustered by
+    (protocol, date) so every folder gets ``files_per_partition`` files
+    instead of one per writing task; raise it for large runs so one
+    (protocol, date) is written by several tasks.
+    """
+    rest = F.to_json(F.struct(
         "pool_id",
         "dex_protocol",
         F.date_format("hour_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("hour_ts"),
         F.date_format("load_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("load_ts"),
+    ))
+    line = F.concat(F.lit('{"raw":'), F.col("raw"), F.lit(","), F.expr("substring(_rest, 2)"))
+    out = df.select(
         F.regexp_replace("dex_protocol", "_v3$", "").alias("protocol"),
         F.to_date("hour_ts").alias("date"),
-    )
-    # ``raw`` is JSON text; write it as a nested object, not as a quoted string.
-    out = out.withColumn("raw", F.parse_json("raw"))
-    out.write.mode("append").partitionBy("protocol", "date").json(path)
+        F.col("raw"),
+        rest.alias("_rest"),
+        F.col("pool_id"),
+    ).select("protocol", "date", "pool_id", line.alias("value"))
+    spread = F.pmod(F.xxhash64("pool_id"), F.lit(files_per_partition))
+    (out.repartition("protocol", "date", spread).drop("pool_id")
+        .write.mode("append").partitionBy("protocol", "date").text(path))
