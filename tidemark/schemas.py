@@ -149,8 +149,8 @@ FEATURE_VALUES = T.StructType(
     ]
 )
 
-# Landing-file timestamp text, ISO-8601 UTC with microseconds.
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+# Landing-file timestamp text, ISO-8601 UTC, fraction optional.
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 
 EPOCH = "1970-01-01 00:00:00"
 FAR_PAST = "1900-01-01 00:00:00"
