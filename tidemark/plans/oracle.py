@@ -402,3 +402,9 @@ HAVING hour_ts <= (SELECT max(hour_ts) FROM stg) - INTERVAL 3 HOUR
 
 SQL["stream_dedup_latest"] = SQL["dedup_latest"]
 SQL["stream_features"] = SQL["pool_features"]
+
+SQL["pool_p90_approx"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte())}
+SELECT pool_id, round(quantile_disc(volume_usd, 0.9), 6) AS pct_90
+FROM f GROUP BY pool_id
+"""

@@ -99,6 +99,10 @@ def q_pool_p90(spark, sf_dir):
     return round6(pool_percentile(features(spark, sf_dir)))
 
 
+def q_pool_p90_approx(spark, sf_dir):
+    return round6(pool_percentile(features(spark, sf_dir), approx=True))
+
+
 def q_latest_status(spark, sf_dir):
     return round6(latest_status(scored_labeled(spark, sf_dir), AS_OF))
 
@@ -365,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "change_rate_ratio": q_change_rate_ratio,
     "pool_features_labeled": q_pool_features_labeled,
     "pool_p90": q_pool_p90,
+    "pool_p90_approx": q_pool_p90_approx,
     "latest_status": q_latest_status,
     "anomaly_dashboard": q_anomaly_dashboard,
     "anomaly_timeseries": q_anomaly_timeseries,
