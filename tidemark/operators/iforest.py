@@ -167,6 +167,9 @@ def fit_iforest(
     ``contamination='auto'`` puts the class boundary at score 0.5; a number
     ``c`` puts it at the ``1 - c`` quantile of the training scores.
     """
+    from tidemark.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)  # the bounded sample is checkpointed to the shared folder
     features = list(features)
     key = F.xxhash64(*[F.col(c) for c in (key_cols or features)])
     # The projected vectors are read up to three times (count, sample, contamination

@@ -258,13 +258,9 @@ def q_hourly_pipeline(spark, sf_dir):
 KEYS3 = ("dex_protocol", "pool_id", "hour_ts")
 
 
-def _landing_runs(spark, sf_dir, split_at: str | None = None, reload_last_day: bool = False) -> list[str]:
-    """Write the raw envelopes as JSONL landing drops, one folder per hourly run."""
-    from tidemark.session import scratch_path
-    from tidemark.sources.raw import write_landing
-
+def _landing_runs(spark, sf_dir, split_at: str | None = None, reload_last_day: bool = False) -> list[DataFrame]:
+    """Raw envelopes cut into hourly-job runs (optionally at ``split_at``, plus a re-load of the last day)."""
     raw = raw_envelope(spark, sf_dir)
-    runs = []
     if split_at is None:
         parts = [raw]
     else:
@@ -274,29 +270,20 @@ def _landing_runs(spark, sf_dir, split_at: str | None = None, reload_last_day: b
         again = pool_hours(spark, sf_dir, signed=False).filter(
             F.col("hour_ts") >= F.lit("2024-01-30").cast("timestamp_ntz"))
         parts.append(to_raw(pool_hour_records(again), F.col("protocol"), load_ts=AS_OF))
-    root = scratch_path(spark, "landing")
-    for i, part in enumerate(parts):
-        write_landing(part, f"{root}/run={i}")
-        runs.append(f"{root}/run={i}")
-    return runs
+    return parts
 
 
-def _stream_runs(spark, runs: list[str], build) -> None:
-    """Replay landing runs as hourly ``availableNow`` triggers of one query (one checkpoint)."""
+def _stream_runs(spark, runs: list[DataFrame], build) -> None:
+    """Replay runs as hourly jobs: land run ``i`` as JSONL drops in the watched folder, then
+    trigger the same streaming query (one checkpoint) with ``availableNow``."""
     from tidemark.session import scratch_path
+    from tidemark.sources.raw import write_landing
     from tidemark.streaming.streams import run_available_now
 
     inbox = scratch_path(spark, "inbox")
     ckpt = scratch_path(spark, "ckpt")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for i, run in enumerate(runs):
-        # publish the run's files into the watched folder (rename = atomic on HDFS/posix)
-        src = jvm.org.apache.hadoop.fs.Path(run)
-        fs = src.getFileSystem(conf)
-        dst = jvm.org.apache.hadoop.fs.Path(f"{inbox}/run={i}")
-        fs.mkdirs(dst.getParent())
-        fs.rename(src, dst)
+        write_landing(run, f"{inbox}/run={i}")
         run_available_now(build(inbox, ckpt))
 
 

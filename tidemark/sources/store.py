@@ -23,23 +23,18 @@ def export_feature_values(labeled: DataFrame, as_of: Column | str, path: str | N
 
 
 def has_files(spark: SparkSession, pattern: str) -> bool:
-    """True when the glob matches at least one file (S-9): an empty prefix makes the import a no-op."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(hconf)
-    statuses = fs.globStatus(path)
-    if statuses is None:
+    """True when the glob matches at least one data file (S-9): an empty prefix makes the import a no-op.
+
+    Lists through Spark's file index (``binaryFile`` source, only the ``path``
+    column, so no file content is read); ``_``/``.`` files are ignored.
+    """
+    from pyspark.errors import AnalysisException
+
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+        return len(files.select("path").limit(1).collect()) > 0
+    except AnalysisException:
         return False
-    for st in statuses:
-        if st.isFile():
-            return True
-        it = fs.listFiles(st.getPath(), True)
-        while it.hasNext():
-            name = it.next().getPath().getName()
-            if not name.startswith(("_", ".")):
-                return True
-    return False
 
 
 def import_feature_values(spark: SparkSession, pattern: str) -> DataFrame | None:
