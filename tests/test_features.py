@@ -102,3 +102,30 @@ def test_late_row_skipped_by_incremental(spark):
     target = pool_features(base)
     late = series(spark, "p", "2024-01-01 03:30:00", [9.0])
     assert incremental_features(base.unionByName(late), target).count() == 0
+
+
+def test_stored_history_equals_full_warmup(spark, tmp_shared):
+    """Bounded warm-up read = last 24 rows per pool over the whole table, for dense and gappy pools."""
+    import datetime as dt
+
+    from pyspark.sql import Window
+
+    from tidemark.operators.features import stored_history
+
+    dense = series(spark, "dense", "2024-01-01 00:00:00", [float(i) for i in range(400)])
+    # 30 rows, one every 12 hours: only 14 of them in the last 7 days
+    gappy = series(spark, "gappy", "2024-01-03 00:00:00", [float(i) for i in range(30)], step_hours=12)
+    sparse = series(spark, "sparse", "2024-01-01 00:00:00", [1.0, 2.0, 3.0], step_hours=100)
+    feats = pool_features(dense.unionByName(gappy).unionByName(sparse), lookback=None)
+    feats.withColumn("hour_date", F.to_date("hour_ts")).write.partitionBy("hour_date").parquet(tmp_shared)
+    pools = spark.createDataFrame([("dense",), ("gappy",), ("sparse",), ("new",)], "pool_id string")
+    mark_day = dt.date(2024, 1, 17)
+    got = stored_history(spark, tmp_shared, pools, mark_day)
+    w = Window.partitionBy("pool_id").orderBy(F.col("hour_ts").desc())
+
+    def last24(df):
+        return sorted((r.pool_id, r.hour_ts) for r in
+                      df.withColumn("rn", F.row_number().over(w)).filter("rn <= 24").collect())
+
+    assert last24(got) == last24(spark.read.parquet(tmp_shared))
+    assert got.filter("pool_id = 'dense'").count() < 400  # old days of a dense pool are not read

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -169,3 +171,35 @@ def test_layers_views_union_and_materialize(spark, tmp_shared):
     merged = materialize(newer, "incremental", path=f"{tmp_shared}/mat")
     assert merged.count() == 60
     assert materialize(lab, "view", name="v_lab").count() == 60
+
+
+def test_read_touched_prunes_partitions_statically(spark, tmp_shared):
+    from tidemark.operators.maintenance import read_touched
+
+    feats = label(pool_features(series(spark, "p", "2024-01-01 00:00:00", [float(i) for i in range(72)])))
+    feats.withColumn("hour_date", F.to_date("hour_ts")).write.partitionBy("hour_date").parquet(tmp_shared)
+    upd = feats.filter(F.col("hour_ts") >= F.lit("2024-01-03").cast("timestamp_ntz")).withColumn(
+        "hour_date", F.to_date("hour_ts"))
+    cur = read_touched(spark, tmp_shared, upd)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        cur.explain("formatted")
+    plan = buf.getvalue()
+    line = next(x for x in plan.splitlines() if x.startswith("PartitionFilters"))
+    assert "hour_date" in line and "2024-01-03" in line
+    assert "Join" not in plan
+    assert cur.count() == 24
+
+
+def test_write_upsert_touches_only_updated_days(spark, tmp_shared):
+    feats = label(pool_features(series(spark, "p", "2024-01-01 00:00:00", [float(i) for i in range(72)])))
+    write_upsert(tmp_shared, feats)
+    upd = feats.filter(F.col("hour_ts") >= F.lit("2024-01-03").cast("timestamp_ntz")).withColumn(
+        "anomaly_score", F.lit(0.25))
+    write_upsert(tmp_shared, upd)
+    write_upsert(tmp_shared, upd)
+    out = spark.read.parquet(tmp_shared)
+    assert out.count() == 72
+    by_day = {r.d: r.n for r in out.groupBy(F.col("hour_date").cast("string").alias("d"))
+              .agg(F.count_if(F.col("anomaly_score") == 0.25).alias("n")).collect()}
+    assert by_day == {"2024-01-01": 0, "2024-01-02": 0, "2024-01-03": 24}

@@ -122,20 +122,23 @@ def incremental_filter(df: DataFrame, target: DataFrame, col: str = "hour_ts") -
 
 def incremental_features(
     staged: DataFrame,
-    target: DataFrame,
+    target: DataFrame | None,
     partition_by: Sequence[str] = ("pool_id",),
     rate_form: str = "diff",
     quality_filter: bool = True,
     as_of: Column | str | None = None,
+    mark: Column | None = None,
 ) -> DataFrame:
     """Features of the rows newer than the target's mark, with a 24-row warm-up (V-4).
 
     The warm-up is the last 24 accepted rows of every series at or before the
     mark, picked by row count (a gap may push them far back).  Spark plans the
     pick as a per-partition top-24 before the shuffle (``WindowGroupLimit``).
-    Equal to recomputing everything and keeping rows after the mark.
+    Equal to recomputing everything and keeping rows after the mark.  ``mark``
+    (a literal) replaces the target's high-water subquery when it is known.
     """
-    mark = high_water(target)
+    if mark is None:
+        mark = high_water(target)
     src = staged.filter(~F.col("has_negative_values")) if quality_filter else staged
     old = src.filter(F.col("hour_ts") <= mark)
     new = src.filter(F.col("hour_ts") > mark)
@@ -146,3 +149,46 @@ def incremental_features(
         rate_form=rate_form, quality_filter=False,
     )
     return feats.filter(F.col("hour_ts") > mark)
+
+
+# Fixed bounds of the stored warm-up read: how many recent days are read first,
+# and how many short pool ids may be listed as a pushed-down filter.
+WARM_DAYS = 7
+MAX_LISTED_POOLS = 10_000
+
+
+def stored_mark(spark, path: str, col: str = "hour_ts", partition_col: str = "hour_date"):
+    """High-water mark of a day-partitioned table, read from its newest partition only."""
+    table = spark.read.parquet(path)
+    last_day = table.agg(F.max(partition_col)).first()[0]
+    if last_day is None:
+        return None
+    return table.filter(F.col(partition_col) == F.lit(last_day)).agg(F.max(col)).first()[0]
+
+
+def stored_history(spark, path: str, pools: DataFrame, mark_day, rows: int = LAG_ROWS, days: int = WARM_DAYS,
+                   partition_col: str = "hour_date") -> DataFrame:
+    """Stored rows that hold the warm-up (last ``rows`` rows) of every pool in ``pools``.
+
+    The last ``days`` day partitions are read first; only pools with fewer
+    than ``rows`` rows there can need older days, and older days are read
+    for those pools only (their ids pushed to the Parquet reader, where
+    files sorted by ``pool_id`` skip row groups).  Exact: a pool with
+    ``rows`` recent rows has its last ``rows`` rows among them.
+    """
+    import datetime as _dt
+
+    table = spark.read.parquet(path)
+    start = mark_day - _dt.timedelta(days=days)
+    recent = table.filter(F.col(partition_col) >= F.lit(start)).join(pools, "pool_id", "left_semi")
+    enough = recent.groupBy("pool_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= rows)
+    short = pools.join(enough, "pool_id", "left_anti")
+    listed = short.limit(MAX_LISTED_POOLS + 1).collect()
+    if not listed:
+        return recent
+    older = table.filter(F.col(partition_col) < F.lit(start))
+    if len(listed) <= MAX_LISTED_POOLS:
+        older = older.filter(F.col("pool_id").isin([r[0] for r in listed]))
+    else:
+        older = older.join(short, "pool_id", "left_semi")
+    return recent.unionByName(older)

@@ -37,29 +37,61 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("pool_i
     return kept.unionByName(updates.select(*target.columns))
 
 
+# Fixed bound: a day-partitioned table gains one partition per calendar day, so
+# the days an update touches are bounded by its time span, not its row count.
+# Above this many (over 50 years of days) the read falls back to a semi-join.
+MAX_TOUCHED_PARTITIONS = 20_000
+
+
+def touched_partitions(df: DataFrame, partition_col: str) -> list | None:
+    """Distinct partition values of ``df`` (a calendar-bounded list), ``None`` above the bound."""
+    rows = df.select(partition_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(rows) > MAX_TOUCHED_PARTITIONS:
+        return None
+    return [r[0] for r in rows]
+
+
+def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hour_date") -> DataFrame:
+    """The partitions of the table at ``path`` that ``updates`` touches.
+
+    The touched values are a literal list, so the scan prunes partitions at
+    planning time whatever the size estimate of ``updates`` (a semi-join only
+    prunes when the planner decides to broadcast its build side).
+    """
+    target = spark.read.parquet(path)
+    values = touched_partitions(updates, partition_col)
+    if values is None:
+        return target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
+    return target.filter(F.col(partition_col).isin(values))
+
+
 def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("pool_id", "hour_ts"),
                  partition_col: str = "hour_date", ts_col: str = "hour_ts") -> None:
     """Apply ``upsert`` to a day-partitioned Parquet table in place.
 
-    Only partitions touched by ``updates`` are rewritten (dynamic partition
-    overwrite).  The merged partitions are first written to a staging folder
-    under the shared checkpoint dir, so the target is never read and
-    overwritten by the same plan.
+    Only partitions touched by ``updates`` are read and rewritten (dynamic
+    partition overwrite).  The merged partitions are first written to a
+    staging folder under the shared checkpoint dir, so the target is never
+    read and overwritten by the same plan.  ``updates`` is computed once and
+    kept (spilling to disk) for the touched-day list and the merge.
     """
+    from pyspark.storagelevel import StorageLevel
+
     from tidemark.session import scratch_path
 
     spark = updates.sparkSession
     upd = updates if partition_col in updates.columns else updates.withColumn(partition_col, F.to_date(ts_col))
-    try:
-        target = spark.read.parquet(spark_path)
-    except Exception:  # noqa: BLE001 - first write: no table yet
+    if not table_exists(spark, spark_path):
         upd.write.partitionBy(partition_col).parquet(spark_path)
         return
-    touched = upd.select(partition_col).distinct()
-    current = target.join(touched, partition_col, "left_semi")
-    merged = upsert(current, upd.select(*current.columns), keys)
-    stage = scratch_path(spark, "upsert")
-    merged.write.partitionBy(partition_col).parquet(stage)
+    upd = upd.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        current = read_touched(spark, spark_path, upd, partition_col)
+        merged = upsert(current, upd.select(*current.columns), keys)
+        stage = scratch_path(spark, "upsert")
+        merged.write.partitionBy(partition_col).parquet(stage)
+    finally:
+        upd.unpersist()
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
@@ -68,6 +100,17 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def table_exists(spark, path: str) -> bool:
+    """True when ``path`` holds a readable Parquet table."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path)
+        return True
+    except AnalysisException:
+        return False
+
+
 def prune(df: DataFrame, as_of: Column | str, days: int, col: str = "hour_ts") -> DataFrame:
     """Retention: keep the last ``days`` calendar days (S-14); with ``hour_date`` partitions this prunes files."""
     return lookback_days(df, as_of, days, col=col, by_date=True)

@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.functions.scalar import instant_to_ntz
-from tidemark.operators.features import incremental_features, pool_features
-from tidemark.operators.maintenance import dedup_latest, write_upsert
+from tidemark.functions.scalar import instant_to_ntz, ts_literal
+from tidemark.operators.features import incremental_features, pool_features, stored_history, stored_mark
+from tidemark.operators.maintenance import dedup_latest, read_touched, table_exists, write_upsert
 from tidemark.schemas import ISO_MICROS, RAW_JSONL
 from tidemark.session import scratch_path
 
@@ -91,17 +91,17 @@ def run_available_now(writer: DataStreamWriter, timeout: float | None = None) ->
 
 def upsert_latest_batch(path: str, keys: Sequence[str] = ("dex_protocol", "pool_id", "hour_ts"),
                         order: str = "load_ts", partition_col: str = "hour_date") -> Callable:
-    """``foreachBatch`` body: newest ``order`` per key wins across all batches (V-3 on a stream)."""
+    """``foreachBatch`` body: newest ``order`` per key wins across all batches (V-3 on a stream).
+
+    Only the day partitions the batch touches are read back from the table.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = dedup_latest(batch.drop("event_time"), keys, order)
-        try:
-            current = spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - no table yet
-            current = None
-        if current is not None:
-            cur = current.drop(partition_col).select(*rows.columns)
+        if table_exists(spark, path):
+            dated = rows.withColumn(partition_col, F.to_date("hour_ts"))
+            cur = read_touched(spark, path, dated, partition_col).drop(partition_col).select(*rows.columns)
             # an incoming copy older than the stored one must not replace it
             stored = cur.join(rows.select(*keys), list(keys), "left_semi")
             rows = dedup_latest(rows.unionByName(stored), keys, order)
@@ -110,6 +110,9 @@ def upsert_latest_batch(path: str, keys: Sequence[str] = ("dex_protocol", "pool_
     return run
 
 
+HISTORY_COLUMNS = ["dex_protocol", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity", "tx_count"]
+
+
 def features_batch(target_path: str, as_of: Column | str | None = None, model=None,
                    alerts_path: str | None = None, threshold: float | None = None) -> Callable:
     """``foreachBatch`` body for hourly features (T-4) and alerts (T-5).
@@ -118,35 +121,40 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
     read from the target table (V-4), is upserted by (pool_id, hour_ts), and,
     with a model, its anomalous rows are appended to the alert table.  Rows
     not newer than the target's high-water mark are skipped, as in the
-    reference's incremental model.
+    reference's incremental model.  The mark comes from the newest day
+    partition and the warm-up from the last days (``stored_history``), so an
+    hourly batch does not scan the whole feature table.
     """
+    from pyspark.storagelevel import StorageLevel
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        staged = batch.drop("event_time")
+        staged = batch.drop("event_time").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            target = spark.read.parquet(target_path).drop("hour_date")
-        except Exception:  # noqa: BLE001 - first batch
-            target = None
-        if target is None:
-            feats = pool_features(staged, as_of=as_of, lookback=None)
-        else:
-            history = target.select(
-                "dex_protocol", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity", "tx_count",
-                F.lit(False).alias("has_negative_values"), F.lit(None).cast("timestamp_ntz").alias("load_ts"))
-            feats = incremental_features(history.unionByName(staged.select(*history.columns)), target,
-                                         as_of=as_of)
-        write_upsert(target_path, feats, ("pool_id", "hour_ts"))
-        if model is not None and alerts_path is not None:
-            from tidemark.operators.iforest import decide, score
-
-            thr = model.offset if threshold is None else threshold
-            # read back what was written for this batch: the mark moved, so select by key
-            written = spark.read.parquet(target_path).drop("hour_date").join(
-                staged.select("pool_id", "hour_ts"), ["pool_id", "hour_ts"], "left_semi")
-            alerts = decide(score(written, model), thr).filter(F.col("is_anomaly"))
-            alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold").withColumn(
-                "batch_id", F.lit(batch_id)).write.mode("append").parquet(alerts_path)
+            mark = stored_mark(spark, target_path) if table_exists(spark, target_path) else None
+            if mark is None:
+                feats = pool_features(staged, as_of=as_of, lookback=None)
+            else:
+                pools = staged.select("pool_id").distinct()
+                history = stored_history(spark, target_path, pools, mark.date()).select(
+                    *HISTORY_COLUMNS, F.lit(False).alias("has_negative_values"),
+                    F.lit(None).cast("timestamp_ntz").alias("load_ts"))
+                feats = incremental_features(history.unionByName(staged.select(*history.columns)), None,
+                                             as_of=as_of, mark=ts_literal(mark))
+            write_upsert(target_path, feats, ("pool_id", "hour_ts"))
+            if model is not None and alerts_path is not None:
+                from tidemark.operators.iforest import decide, score
+
+                thr = model.offset if threshold is None else threshold
+                # read back what was written for this batch (the mark moved): its days, then its keys
+                dated = staged.withColumn("hour_date", F.to_date("hour_ts"))
+                written = read_touched(spark, target_path, dated).drop("hour_date").join(
+                    staged.select("pool_id", "hour_ts"), ["pool_id", "hour_ts"], "left_semi")
+                alerts = decide(score(written, model), thr).filter(F.col("is_anomaly"))
+                alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold").withColumn(
+                    "batch_id", F.lit(batch_id)).write.mode("append").parquet(alerts_path)
+        finally:
+            staged.unpersist()
 
     return run
 
