@@ -64,7 +64,8 @@ def _win(frame: str = "") -> str:
     return f"OVER (PARTITION BY pool_id ORDER BY hour_ts, dex_protocol{frame})"
 
 
-def features_cte(rate_form: str = "diff", source: str = "stg", name: str = "f") -> str:
+def features_cte(rate_form: str = "diff", source: str = "stg", name: str = "f", as_of_sql: str = AS_OF_SQL,
+                 lookback: int | None = 90) -> str:
     if rate_form == "diff":
         vr = "(volume_usd - v24) / nullif(v24, 0)"
         tr = "(tvl_usd - t24) / nullif(t24, 0)"
@@ -91,9 +92,9 @@ hm_{name} AS (
     (volume_usd - vol_ma_24h) / nullif(vol_std_24h, 0) AS volume_zscore,
     CAST(hour(hour_ts) AS BIGINT) AS hour_of_day,
     CAST(dayofweek(hour_ts) + 1 AS BIGINT) AS day_of_week,
-    CAST(date_diff('hour', hour_ts, {AS_OF_SQL}) AS BIGINT) AS hours_ago
+    CAST(date_diff('hour', hour_ts, {as_of_sql}) AS BIGINT) AS hours_ago
   FROM hm_{name}
-  WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 90 DAY
+  {f"WHERE hour_ts >= {as_of_sql} - INTERVAL {lookback} DAY" if lookback is not None else ""}
 )"""
 
 
@@ -408,3 +409,33 @@ SQL["pool_p90_approx"] = f"""
 SELECT pool_id, round(quantile_disc(volume_usd, 0.9), 6) AS pct_90
 FROM f GROUP BY pool_id
 """
+
+# ---- supplier-day series over lineitem ------------------------------------------------
+
+SUPPLY_AS_OF_SQL = "TIMESTAMP '2001-11-05 00:00:00'"
+
+SUPPLIER_DAYS = """
+pool_hours AS (
+  SELECT
+    CASE WHEN l_suppkey % 2 = 0 THEN 'uniswap_v3' ELSE 'sushiswap_v3' END AS dex_protocol,
+    'supplier_' || CAST(l_suppkey AS VARCHAR) AS pool_id,
+    CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS hour_ts,
+    sum(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END) AS volume_usd,
+    max(l_extendedprice) AS tvl_usd,
+    sum(l_extendedprice * (1.0 - l_discount)) AS liquidity,
+    count(*) AS tx_count,
+    max(l_shipdate) AS load_ts
+  FROM lineitem
+  GROUP BY l_suppkey, CAST(l_shipdate AS DATE)
+)"""
+
+SQL["supplier_day_features"] = f"""
+{with_ctes(SUPPLIER_DAYS, STG, features_cte(as_of_sql=SUPPLY_AS_OF_SQL, lookback=None))}
+SELECT {r6(FEATURE_COLS + ["hours_ago"], FEATURE_DOUBLES)} FROM f
+"""
+
+SQL["supplier_day_labeled"] = f"""
+{with_ctes(SUPPLIER_DAYS, STG, features_cte(as_of_sql=SUPPLY_AS_OF_SQL, lookback=None),
+           labeled_cte(score="NULL"))}
+SELECT {r6(LABELED_COLS, LABELED_DOUBLES)} FROM lab
+"""

@@ -24,7 +24,7 @@ from tidemark.plans import oracle
 from tidemark.schemas import FEATURES
 from tidemark.sources.raw import hour_slice, to_raw
 from tidemark.sources.store import export_feature_values
-from tidemark.sources.tables import AS_OF, load_table, pool_hour_records, pool_hours
+from tidemark.sources.tables import AS_OF, SUPPLY_AS_OF, load_table, pool_hour_records, pool_hours, supplier_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,8 +161,10 @@ def q_dedup_latest(spark, sf_dir):
     again = pool_hours(spark, sf_dir, signed=False).filter(F.col("hour_ts") >= F.lit("2024-01-30").cast(
         "timestamp_ntz"))
     reload = to_raw(pool_hour_records(again), F.col("protocol"), load_ts=AS_OF)
-    rows = dedup_latest(first.unionByName(reload), ("dex_protocol", "pool_id", "hour_ts"), "load_ts")
-    return round6(stage_pool_hourly(rows, as_of=AS_OF))
+    # Staging is a per-row map that keeps the key and load_ts, so the JSON is parsed
+    # map-side and only typed columns are shuffled by the dedup aggregation.
+    rows = stage_pool_hourly(first.unionByName(reload), as_of=AS_OF)
+    return round6(dedup_latest(rows, ("dex_protocol", "pool_id", "hour_ts"), "load_ts"))
 
 
 def q_retention_prune(spark, sf_dir):
@@ -204,6 +206,22 @@ def q_predict_ids(spark, sf_dir):
     return round6(out.withColumn("position", F.col("position").cast("bigint")))
 
 
+# ---- the daily supplier series over lineitem: same operators, longer series ----------
+
+def supplier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full-history features of every supplier-day (no lookback cut: 460+ days per series)."""
+    stg = flag_negative(supplier_days(spark, sf_dir))
+    return pool_features(stg, as_of=SUPPLY_AS_OF, lookback=None)
+
+
+def q_supplier_day_features(spark, sf_dir):
+    return round6(supplier_features(spark, sf_dir))
+
+
+def q_supplier_day_labeled(spark, sf_dir):
+    return round6(label(supplier_features(spark, sf_dir)))
+
+
 # ---- Isolation Forest (no SQL oracle: checked by properties in tests/) -----------
 
 def _model(spark, sf_dir, contamination="auto"):
@@ -372,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "interval_page": q_interval_page,
     "high_water_mark": q_high_water_mark,
     "predict_ids": q_predict_ids,
+    "supplier_day_features": q_supplier_day_features,
+    "supplier_day_labeled": q_supplier_day_labeled,
     "iforest_scores": q_iforest_scores,
     "iforest_decisions": q_iforest_decisions,
     "iforest_mean_score": q_iforest_mean_score,

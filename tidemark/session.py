@@ -26,6 +26,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     )
+    event_dir = os.environ.get("TIDEMARK_EVENT_LOG_DIR")
+    if event_dir:  # the bench reads stage metrics from the event log, never from the UI
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir).config(
+            "spark.eventLog.compress", "false")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
