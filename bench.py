@@ -34,6 +34,7 @@ HEADLINE = [
     "incremental_features",
     "dedup_latest",
     "upsert_labeled",
+    "supplier_day_labeled",
     "iforest_scores",
     "stream_hourly_stats",
 ]
