@@ -206,6 +206,60 @@ def q_predict_ids(spark, sf_dir):
     return round6(out.withColumn("position", F.col("position").cast("bigint")))
 
 
+# ---- written tables: the batch ingest and the labelled-table maintenance paths ------
+
+def q_raw_json_fields(spark, sf_dir):
+    """The JSON column macros (X-1) on raw envelopes: nested paths, numbers, epoch times, absent paths."""
+    from tidemark.functions.json import json_float, json_int, json_str, json_ts
+
+    raw = raw_envelope(spark, sf_dir, ohlc=True)
+    return round6(raw.select(
+        "dex_protocol", "pool_id", "hour_ts",
+        json_str("raw", "pool:id").alias("doc_pool_id"),
+        json_str("raw", "pool:token0:id").alias("token0_id"),
+        json_float("raw", "volumeUSD").alias("volume_usd"),
+        json_float("raw", "tvlUSD").alias("tvl_usd_uni"),
+        json_int("raw", "hourlyTxns").alias("tx_count_sushi"),
+        json_float("raw", "close").alias("close"),
+        json_float("raw", "pool:feeTier").alias("fee_tier"),
+        json_ts("raw", "periodStartUnix").alias("period_start"),
+        json_str("raw", "pool:missing").alias("missing"),
+    ))
+
+
+def q_raw_table_ingest(spark, sf_dir):
+    """Batch ingest: landing JSONL (S-15) -> pinned-schema scan (S-2) -> REQUIRED split (S-3) ->
+    day-partitioned raw table per protocol (S-4) -> both tables as one source (S-6) -> staging (M-1)."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.raw import append_raw, enforce_required, read_raw, read_raw_jsonl, write_landing
+
+    inbox = scratch_path(spark, "landing")
+    tables = scratch_path(spark, "raw-tables")
+    write_landing(raw_envelope(spark, sf_dir), inbox)
+    paths = {}
+    for proto in ("uniswap", "sushiswap"):
+        good, rejected = enforce_required(read_raw_jsonl(spark, f"{inbox}/protocol={proto}"))
+        paths[proto] = f"{tables}/{proto}"
+        append_raw(good, paths[proto], files_per_day=2)
+    raw = read_raw(spark, paths).drop("hour_date")
+    return round6(stage_pool_hourly(raw, as_of=AS_OF))
+
+
+def q_labeled_table_upsert(spark, sf_dir):
+    """Labelled table written by day (S-12), then the last 7 days' scores applied in place with
+    an incremental materialization (V-6 -> V-2/V-5 on touched days only)."""
+    from tidemark.operators.maintenance import materialize
+    from tidemark.operators.staging import lookback_days
+    from tidemark.session import scratch_path
+    from tidemark.sources.store import write_labeled
+
+    path = scratch_path(spark, "labeled-table")
+    write_labeled(labeled(spark, sf_dir), path)
+    updates = lookback_days(scored_labeled(spark, sf_dir), AS_OF, 7)
+    out = materialize(updates, "incremental", path=path)
+    return round6(out.drop("hour_date"))
+
+
 # ---- the daily supplier series over lineitem: same operators, longer series ----------
 
 def supplier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,6 +444,9 @@ QUERIES: dict[str, Query] = {
     "interval_page": q_interval_page,
     "high_water_mark": q_high_water_mark,
     "predict_ids": q_predict_ids,
+    "raw_json_fields": q_raw_json_fields,
+    "raw_table_ingest": q_raw_table_ingest,
+    "labeled_table_upsert": q_labeled_table_upsert,
     "supplier_day_features": q_supplier_day_features,
     "supplier_day_labeled": q_supplier_day_labeled,
     "iforest_scores": q_iforest_scores,
