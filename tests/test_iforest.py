@@ -103,3 +103,25 @@ def test_save_load_alias(spark, tmp_shared):
     a = [r.anomaly_score for r in score(df, m).orderBy("id").collect()]
     b = [r.anomaly_score for r in score(df, back).orderBy("id").collect()]
     assert a == b
+
+
+def test_scores_equal_a_brute_force_walk_of_the_node_table(spark):
+    """Per row and tree, follow left/right by ``x[feature] < split`` from the root, add
+    ``depth + c(size)`` at the leaf, and compare ``2 ** (-mean / c(psi))`` with ``score``."""
+    df = _outlier_frame(spark)
+    model = fit_iforest(df, features=["a", "b"], n_trees=25, psi=64, key_cols=["id"])
+    nodes = {(r.tree, r.node): r for r in model.nodes.collect()}
+    c_psi = average_path_length(np.array([float(model.psi)]))[0]
+
+    def walk(x):
+        total = 0.0
+        for t in range(model.n_trees):
+            n = nodes[(t, 0)]
+            while n.feature >= 0:
+                n = nodes[(t, n.left if x[n.feature] < n.split else n.right)]
+            total += n.depth + average_path_length(np.array([float(n.size)]))[0]
+        return 2.0 ** (-(total / model.n_trees) / c_psi)
+
+    got = {r.id: r.anomaly_score for r in score(df, model).collect()}
+    for r in df.collect():
+        assert math.isclose(got[r.id], walk([r.a, r.b]), rel_tol=1e-12)

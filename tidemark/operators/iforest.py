@@ -213,45 +213,77 @@ def fit_iforest(
 
 
 class _Forest:
-    """A forest flattened into 1-D node arrays with global node ids.
+    """A forest laid out as complete binary trees of its height (heap order).
 
-    Leaves point to themselves (feature 0, split +inf), so walking a batch is
-    ``depth`` rounds of gathers with no masking.
+    Node ``i`` of a tree has children ``2i+1`` and ``2i+2``; a leaf above the
+    last level is copied to every last-level slot below it.  Walking a batch
+    is ``height`` rounds of ``i = 2i + 2 - (x[feature[i]] < split[i])``: three
+    gathers and integer arithmetic per round, no branches, no child tables.
+    A NaN value goes right, as ``x < split`` is false.
     """
 
     def __init__(self, pdf: pd.DataFrame, n_trees: int, psi: int):
         pdf = pdf.sort_values(["tree", "node"]).reset_index(drop=True)
-        counts = pdf.groupby("tree")["node"].count().reindex(range(n_trees), fill_value=0).to_numpy()
-        offsets = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int32)
-        off = offsets[pdf["tree"].to_numpy()]
-        gid = (off + pdf["node"].to_numpy()).astype(np.int32)
-        leaf = pdf["feature"].to_numpy() < 0
-        self.feature = np.where(leaf, 0, pdf["feature"].to_numpy()).astype(np.int32)
-        self.split = np.where(leaf, np.inf, pdf["split"].to_numpy())
-        self.left = np.where(leaf, gid, off + pdf["left"].to_numpy()).astype(np.int32)
-        self.right = np.where(leaf, gid, off + pdf["right"].to_numpy()).astype(np.int32)
-        self.leaf_path = pdf["depth"].to_numpy() + average_path_length(pdf["size"].to_numpy())
-        self.roots = offsets
-        self.max_depth = int(pdf["depth"].max()) if len(pdf) else 0
+        tree = pdf["tree"].to_numpy().astype(np.intp)
+        node = pdf["node"].to_numpy().astype(np.intp)
+        feat = pdf["feature"].to_numpy()
+        depth = pdf["depth"].to_numpy().astype(np.intp)
+        height = int(depth.max()) if len(pdf) else 0
+        width = 2 ** (height + 1) - 1
+        n_leaf = 2 ** height
+        # heap position of every node, assigned level by level from the roots
+        pos = np.zeros((n_trees, int(node.max()) + 1 if len(pdf) else 1), dtype=np.intp)
+        left = pdf["left"].to_numpy().astype(np.intp)
+        right = pdf["right"].to_numpy().astype(np.intp)
+        for d in range(height):
+            inner = (depth == d) & (feat >= 0)
+            p = pos[tree[inner], node[inner]]
+            pos[tree[inner], left[inner]] = 2 * p + 1
+            pos[tree[inner], right[inner]] = 2 * p + 2
+        hp = pos[tree, node]
+        self.feature = np.zeros((n_trees, width), dtype=np.intp)
+        self.split = np.full((n_trees, width), np.inf)
+        inner = feat >= 0
+        self.feature[tree[inner], hp[inner]] = feat[inner]
+        self.split[tree[inner], hp[inner]] = pdf["split"].to_numpy()[inner]
+        # a leaf at depth d owns the 2^(height-d) last-level slots below it
+        lf = ~inner
+        span = 2 ** (height - depth[lf])
+        start = (hp[lf] + 1) * span - n_leaf
+        value = depth[lf] + average_path_length(pdf["size"].to_numpy()[lf])
+        offs = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span)
+        self.leaf_path = np.zeros((n_trees, n_leaf))
+        self.leaf_path[np.repeat(tree[lf], span), np.repeat(start, span) + offs] = np.repeat(value, span)
+        self.feature = self.feature.ravel()
+        self.split = self.split.ravel()
+        self.leaf_path = self.leaf_path.ravel()
+        self.height = height
+        self.width = width
+        self.n_leaf = n_leaf
         self.n_trees = n_trees
         self.c_psi = float(average_path_length(np.array([psi]))[0])
 
-    def score(self, x: np.ndarray, chunk: int = 1024) -> np.ndarray:
+    def score(self, x: np.ndarray, chunk: int | None = None) -> np.ndarray:
         m, d = x.shape
+        # about 50k (row, tree) cells per round keeps the working arrays in cache
+        chunk = chunk or max(16, 50_000 // max(self.n_trees, 1))
         out = np.empty(m)
         for lo in range(0, m, chunk):
-            out[lo:lo + chunk] = self._score(np.ascontiguousarray(x[lo:lo + chunk]), d)
+            out[lo:lo + chunk] = self._score(np.ascontiguousarray(x[lo:lo + chunk], dtype=np.float64), d)
         return out
 
     def _score(self, x: np.ndarray, d: int) -> np.ndarray:
         m = x.shape[0]
         flat = x.ravel()
-        base = (np.arange(m, dtype=np.int32) * d)[:, None]
-        idx = np.broadcast_to(self.roots, (m, self.n_trees)).copy()
-        for _ in range(self.max_depth):
-            value = flat[base + self.feature[idx]]
-            idx = np.where(value < self.split[idx], self.left[idx], self.right[idx])
-        mean_path = self.leaf_path[idx].mean(axis=1)
+        row_base = (np.arange(m, dtype=np.intp) * d)[:, None]
+        tree_base = (np.arange(self.n_trees, dtype=np.intp) * self.width)[None, :]
+        idx = np.zeros((m, self.n_trees), dtype=np.intp)
+        for _ in range(self.height):
+            g = idx + tree_base
+            go_left = flat[row_base + self.feature[g]] < self.split[g]
+            idx = 2 * idx + 2 - go_left
+        leaf = idx - (self.n_leaf - 1) + (np.arange(self.n_trees, dtype=np.intp) * self.n_leaf)[None, :]
+        mean_path = self.leaf_path[leaf].mean(axis=1)
         return np.power(2.0, -mean_path / self.c_psi) if self.c_psi > 0 else np.ones(m)
 
 
