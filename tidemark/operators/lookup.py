@@ -37,7 +37,10 @@ def read_features(
     before defaults are filled; absent ids keep the default, or NULL when no
     default is given (F-18).
     """
-    latest = latest_values(values).select(F.col("entity_id").alias(id_col), *features)
+    # only the requested entities are aggregated (a request is small next to the store)
+    wanted = ids.select(F.col(id_col).alias("entity_id")).distinct()
+    latest = latest_values(values.join(wanted, "entity_id", "left_semi")).select(
+        F.col("entity_id").alias(id_col), *features)
     joined = ids.select(id_col).join(latest, id_col, "left")
     used = sum((F.col(c).isNotNull().cast("int") for c in features), F.lit(0))
     return joined.select(

@@ -53,7 +53,10 @@ def hourly_pipeline(
         imported = import_feature_values(labeled.sparkSession, f"{export_path.rstrip('/')}/*")
         exported = imported if imported is not None else exported
     store = exported if store is None else upsert(store, exported, ("entity_id", "feature_timestamp"))
-    latest = latest_values(store).join(exported.select("entity_id").distinct(), "entity_id", "left_semi")
+    # restrict the store to the exported entities before the per-entity aggregation
+    # (Catalyst does not push this semi-join below the aggregate by itself)
+    wanted = exported.select("entity_id").distinct()
+    latest = latest_values(store.join(wanted, "entity_id", "left_semi"))
     preds = batch_predict(latest, model, threshold)
     scores = preds.select(F.col("entity_id").alias("pool_id"), F.col("feature_timestamp").alias("hour_ts"),
                           "anomaly_score")
