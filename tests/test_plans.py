@@ -65,3 +65,17 @@ def test_hourly_kpis_aggregate_before_the_global_lag(spark):
     # the un-partitioned window only sees the (date, hour) aggregate
     assert "SinglePartition" in plan
     assert plan.index("partial_count") > 0
+
+
+def test_incremental_warmup_is_a_per_partition_top24(spark):
+    plan = plan_of(QUERIES["incremental_features"](spark, SF001))
+    assert "WindowGroupLimit" in plan
+
+
+def test_lookups_filter_the_store_before_aggregating(spark):
+    plan = plan_of(QUERIES["latest_features"](spark, SF001))
+    tree = plan.split("\n\n")[0].splitlines()
+    agg = next(i for i, line in enumerate(tree) if "SortAggregate" in line or "max_by" in line)
+    semi = next(i for i, line in enumerate(tree) if "LeftSemi" in line)
+    # printed trees list children below parents: the semi-join feeds the latest-value aggregation
+    assert semi > agg, "\n".join(tree)
