@@ -54,3 +54,21 @@ def test_upsert_latest_replay_is_idempotent(spark, tmp_shared):
     # replaying a micro-batch (as after a failure) changes nothing
     body(spark.read.parquet(target).drop("hour_date"), 99)
     assert spark.read.parquet(target).count() == first == raw.count()
+
+
+def test_features_and_alerts_replay_is_idempotent(spark, tmp_shared):
+    from tidemark.operators.features import pool_features
+    from tidemark.operators.iforest import fit_iforest
+    from tidemark.streaming.streams import features_batch
+
+    staged = stage_pool_hourly(raw_envelope(spark, SF001))
+    model = fit_iforest(pool_features(staged, lookback=None), n_trees=10, key_cols=["pool_id", "hour_ts"],
+                        contamination=0.1)
+    body = features_batch(f"{tmp_shared}/features", model=model, alerts_path=f"{tmp_shared}/alerts")
+    body(staged, 0)
+    feats = spark.read.parquet(f"{tmp_shared}/features").count()
+    alerts = spark.read.parquet(f"{tmp_shared}/alerts").count()
+    assert alerts > 0
+    body(staged, 0)  # the same micro-batch again, as after a driver failure
+    assert spark.read.parquet(f"{tmp_shared}/features").count() == feats
+    assert spark.read.parquet(f"{tmp_shared}/alerts").count() == alerts

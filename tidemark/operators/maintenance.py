@@ -51,15 +51,18 @@ def touched_partitions(df: DataFrame, partition_col: str) -> list | None:
     return [r[0] for r in rows]
 
 
-def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hour_date") -> DataFrame:
+def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hour_date",
+                 values: list | None = None) -> DataFrame:
     """The partitions of the table at ``path`` that ``updates`` touches.
 
     The touched values are a literal list, so the scan prunes partitions at
     planning time whatever the size estimate of ``updates`` (a semi-join only
-    prunes when the planner decides to broadcast its build side).
+    prunes when the planner decides to broadcast its build side).  ``values``
+    may be passed when already collected.
     """
     target = spark.read.parquet(path)
-    values = touched_partitions(updates, partition_col)
+    if values is None:
+        values = touched_partitions(updates, partition_col)
     if values is None:
         return target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
     return target.filter(F.col(partition_col).isin(values))
@@ -86,16 +89,21 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
         return
     upd = upd.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        current = read_touched(spark, spark_path, upd, partition_col)
+        values = touched_partitions(upd, partition_col)
+        if values == []:  # an empty update (e.g. a replayed micro-batch) touches nothing
+            return
+        current = read_touched(spark, spark_path, upd, partition_col, values=values)
         merged = upsert(current, upd.select(*current.columns), keys)
         stage = scratch_path(spark, "upsert")
         merged.write.partitionBy(partition_col).parquet(stage)
+        schema = merged.schema
     finally:
         upd.unpersist()
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        spark.read.parquet(stage).write.mode("overwrite").partitionBy(partition_col).parquet(spark_path)
+        staged = spark.read.schema(schema).parquet(stage).select(*schema.fieldNames())
+        staged.write.mode("overwrite").partitionBy(partition_col).parquet(spark_path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 

@@ -151,14 +151,29 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
                 written = read_touched(spark, target_path, dated).drop("hour_date").join(
                     staged.select("pool_id", "hour_ts"), ["pool_id", "hour_ts"], "left_semi")
                 alerts = decide(score(written, model), thr).filter(F.col("is_anomaly"))
-                alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold").withColumn(
-                    "batch_id", F.lit(batch_id)).write.mode("append").parquet(alerts_path)
+                out = alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold")
+                write_batch_partition(out.withColumn("batch_id", F.lit(batch_id)), alerts_path)
         finally:
             staged.unpersist()
 
     return run
 
 
+def write_batch_partition(df: DataFrame, path: str, col: str = "batch_id") -> None:
+    """Write a micro-batch's rows as its own ``batch_id`` partition, replacing it if present.
+
+    A micro-batch replayed after a failure rewrites the same partition instead
+    of appending a second copy, so the sink is idempotent per batch.
+    """
+    spark = df.sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        df.write.mode("overwrite").partitionBy(col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def stage_stream(raw_stream: DataFrame) -> DataFrame:
     """Typed staging of a raw stream (M-1 on a stream) with an instant ``event_time`` for watermarks."""
     from tidemark.functions.scalar import ntz_to_instant
