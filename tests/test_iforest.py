@@ -125,3 +125,15 @@ def test_scores_equal_a_brute_force_walk_of_the_node_table(spark):
     got = {r.id: r.anomaly_score for r in score(df, model).collect()}
     for r in df.collect():
         assert math.isclose(got[r.id], walk([r.a, r.b]), rel_tol=1e-12)
+
+
+def test_alias_reassignment_newest_wins(spark, tmp_shared):
+    df = _outlier_frame(spark)
+    for v in ("1", "2"):
+        save_model(fit_iforest(df, features=["a", "b"], n_trees=5, key_cols=["id"], version=v), tmp_shared,
+                   aliases=("latest",))
+    set_alias(spark, tmp_shared, "production", "2")
+    set_alias(spark, tmp_shared, "production", "1")  # roll back
+    assert load_model(spark, tmp_shared, "latest").version == "2"
+    assert load_model(spark, tmp_shared, "production").version == "1"
+    assert load_model(spark, tmp_shared, "2").version == "2"

@@ -415,21 +415,24 @@ def save_model(model: IForestModel, path: str, aliases: Sequence[str] = ("latest
         "version").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/nodes")
     meta = spark.createDataFrame([(model.version, json.dumps(model.metadata()))], "version string, metadata string")
     meta.write.mode("append").parquet(f"{root}/metadata")
-    if aliases:
-        rows = [(a, model.version) for a in aliases]
-        spark.createDataFrame(rows, "alias string, version string").write.mode("append").parquet(f"{root}/aliases")
+    for a in aliases:
+        set_alias(spark, root, a, model.version)
 
 
 def set_alias(spark: SparkSession, path: str, alias: str, version: str) -> None:
-    spark.createDataFrame([(alias, version)], "alias string, version string").write.mode("append").parquet(
-        f"{path.rstrip('/')}/aliases")
+    """Point ``alias`` at ``version``; each assignment is a row stamped with its time."""
+    import datetime as _dt
+
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    spark.createDataFrame([(alias, version, now)], "alias string, version string, set_at timestamp_ntz").write.mode(
+        "append").parquet(f"{path.rstrip('/')}/aliases")
 
 
 def load_model(spark: SparkSession, path: str, version: str = "latest") -> IForestModel:
-    """Load by version or alias (``latest``, ``production``); the last alias write wins."""
+    """Load by version or alias (``latest``, ``production``); the newest assignment of an alias wins."""
     root = path.rstrip("/")
-    aliases = spark.read.parquet(f"{root}/aliases").withColumn("_order", F.monotonically_increasing_id())
-    hit = aliases.filter(F.col("alias") == version).orderBy(F.col("_order").desc()).select("version").first()
+    aliases = spark.read.parquet(f"{root}/aliases")
+    hit = aliases.filter(F.col("alias") == version).orderBy(F.col("set_at").desc()).select("version").first()
     ver = hit["version"] if hit else version
     meta_row = spark.read.parquet(f"{root}/metadata").filter(F.col("version") == ver).first()
     if meta_row is None:
