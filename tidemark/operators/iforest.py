@@ -78,6 +78,21 @@ class IForestModel:
     contamination: str | float = "auto"
     version: str = "1"
     meta: dict = field(default_factory=dict)
+    _forest_bc: object = field(default=None, init=False, repr=False, compare=False)
+
+    def forest_broadcast(self, spark: SparkSession):
+        """The flattened forest, collected and broadcast once per model, reused by every
+        scoring call (a stream scoring each micro-batch does not pile up broadcasts)."""
+        if self._forest_bc is None:
+            forest = _Forest(self.nodes.toPandas(), self.n_trees, self.psi)
+            self._forest_bc = spark.sparkContext.broadcast(forest)
+        return self._forest_bc
+
+    def release(self) -> None:
+        """Drop the broadcast forest from the executors and the driver."""
+        if self._forest_bc is not None:
+            self._forest_bc.destroy()
+            self._forest_bc = None
 
     def metadata(self) -> dict:
         return {
@@ -296,12 +311,12 @@ def score(
 ) -> DataFrame:
     """Append the anomaly score in (0, 1] (I-3, X-4).
 
-    The forest is collected once (its size is bounded by ``n_trees * (2 psi - 1)``
-    nodes) and broadcast; every task scores its Arrow batches with numpy.
+    The forest is collected once per model (its size is bounded by
+    ``n_trees * (2 psi - 1)`` nodes) and broadcast; every task scores its Arrow
+    batches with numpy.
     """
     spark = df.sparkSession
-    forest = _Forest(model.nodes.toPandas(), model.n_trees, model.psi)
-    bc = spark.sparkContext.broadcast(forest)
+    bc = model.forest_broadcast(spark)
     n_feat = len(model.features)
     tmp = "_iforest_x"
     base = df.drop(out_col) if out_col in df.columns else df
