@@ -418,7 +418,10 @@ def q_stream_alerts(spark, sf_dir):
             "checkpointLocation", ckpt)
 
     _stream_runs(spark, _landing_runs(spark, sf_dir, split_at=MARK), build)
-    return round6(spark.read.parquet(alerts))
+    # explicit schema: a run in which no pool alerts leaves no data file to infer it from
+    schema = ("dex_protocol string, pool_id string, hour_ts timestamp_ntz, anomaly_score double, "
+              "threshold double, batch_id int")
+    return round6(spark.read.schema(schema).parquet(alerts))
 
 
 QUERIES: dict[str, Query] = {

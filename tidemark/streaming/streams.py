@@ -17,7 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalar import instant_to_ntz, ts_literal
-from tidemark.operators.features import incremental_features, pool_features, stored_history, stored_mark
+from tidemark.operators.features import (
+    incremental_features,
+    pool_features,
+    series_window,
+    stored_history,
+    stored_mark,
+)
 from tidemark.operators.maintenance import dedup_latest, read_touched, table_exists, write_upsert
 from tidemark.schemas import ISO_MICROS, RAW_JSONL
 from tidemark.session import scratch_path
@@ -119,7 +125,8 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
 
     Each micro-batch of staged rows gets its features with a 24-row warm-up
     read from the target table (V-4), is upserted by (pool_id, hour_ts), and,
-    with a model, its anomalous rows are appended to the alert table.  Rows
+    with a model, every pool whose newest written row is anomalous gets an
+    alert row (the dashboard's ``needs_alert`` rule, T-5).  Rows
     not newer than the target's high-water mark are skipped, as in the
     reference's incremental model.  The mark comes from the newest day
     partition and the warm-up from the last days (``stored_history``), so an
@@ -150,7 +157,11 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
                 dated = staged.withColumn("hour_date", F.to_date("hour_ts"))
                 written = read_touched(spark, target_path, dated).drop("hour_date").join(
                     staged.select("pool_id", "hour_ts"), ["pool_id", "hour_ts"], "left_semi")
-                alerts = decide(score(written, model), thr).filter(F.col("is_anomaly"))
+                # an alert is raised when a pool's newest row is anomalous (a catch-up batch
+                # holding many hours of a pool alerts at most once for it)
+                newest = F.row_number().over(series_window(descending=True))
+                latest = written.withColumn("_rn", newest).filter(F.col("_rn") == 1).drop("_rn")
+                alerts = decide(score(latest, model), thr).filter(F.col("is_anomaly"))
                 out = alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold")
                 write_batch_partition(out.withColumn("batch_id", F.lit(batch_id)), alerts_path)
         finally:
