@@ -77,3 +77,25 @@ def test_ohlc_variant(spark):
     out = stage_pool_hourly(raw, ohlc=True)
     assert {"token0_id", "token1_id", "open", "high", "low", "close"} <= set(out.columns)
     assert out.filter(F.col("high") < F.col("low")).count() == 0
+
+
+def test_append_raw_splits_a_hot_day_over_write_tasks(spark, tmp_shared):
+    import glob
+
+    from tests.conftest import SF01
+
+    raw = raw_envelope(spark, SF01)
+    # one day holding most of the rows: every envelope copied 20 times onto 2024-01-05,
+    # produced by several map tasks (a rebalance splits a partition along map outputs)
+    hot = raw.withColumn("hour_ts", F.lit("2024-01-05 03:00:00").cast("timestamp_ntz")).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("copy").repartition(8)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, "1m")
+    try:
+        append_raw(hot.unionByName(raw), tmp_shared)
+    finally:
+        spark.conf.set(key, prev)
+    hot_files = glob.glob(f"{tmp_shared}/hour_date=2024-01-05/part-*")
+    assert len(hot_files) > 1
+    assert spark.read.parquet(tmp_shared).count() == hot.count() + raw.count()

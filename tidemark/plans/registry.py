@@ -240,7 +240,7 @@ def q_raw_table_ingest(spark, sf_dir):
     for proto in ("uniswap", "sushiswap"):
         good, rejected = enforce_required(read_raw_jsonl(spark, f"{inbox}/protocol={proto}"))
         paths[proto] = f"{tables}/{proto}"
-        append_raw(good, paths[proto], files_per_day=2)
+        append_raw(good, paths[proto])
     raw = read_raw(spark, paths).drop("hour_date")
     return round6(stage_pool_hourly(raw, as_of=AS_OF))
 

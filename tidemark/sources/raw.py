@@ -79,30 +79,36 @@ def with_hour_date(df: DataFrame, col: str = "hour_ts") -> DataFrame:
 def append_raw(df: DataFrame, path: str, files_per_day: int | None = None) -> None:
     """Append to the raw table, partitioned by day, clustered by (pool_id, dex_protocol) (S-4).
 
-    Rows are spread over ``files_per_day`` hash buckets of ``pool_id`` inside
-    every day, so one busy day is written by many tasks, and each file is
-    sorted for row-group skipping on pool filters.
+    By default the rows are rebalanced on ``hour_date`` (Spark's ``REBALANCE``
+    hint): AQE splits a day holding a large share of the rows over several
+    write tasks and packs small days together, so files come out near the
+    advisory partition size without a hand-set count.  ``files_per_day``
+    spreads every day over that many hash buckets of ``pool_id`` instead.
+    Each file is sorted for row-group skipping on pool filters.
     """
     out = with_hour_date(df)
-    n = files_per_day or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bucket = F.abs(F.xxhash64("pool_id")) % n
+    if files_per_day:
+        bucket = F.abs(F.xxhash64("pool_id")) % files_per_day
+        out = out.repartition("hour_date", bucket)
+    else:
+        out = out.hint("rebalance", "hour_date")
     (
-        out.repartition("hour_date", bucket)
-        .sortWithinPartitions("hour_date", "pool_id", "dex_protocol", "hour_ts")
+        out.sortWithinPartitions("hour_date", "pool_id", "dex_protocol", "hour_ts")
         .write.mode("append")
         .partitionBy("hour_date")
         .parquet(path)
     )
 
 
-def write_landing(df: DataFrame, path: str, files_per_partition: int = 1) -> None:
+def write_landing(df: DataFrame, path: str, files_per_partition: int | None = None) -> None:
     """Landing layout ``<path>/protocol=<p>/date=<yyyy-mm-dd>/part-*`` of JSON lines (S-15).
 
     Each line is ``{"raw": <record>, "pool_id": .., "dex_protocol": .., "hour_ts": .., "load_ts": ..}``
-    with the record spliced in as JSON (not re-parsed).  Rows are clustered by
-    (protocol, date) so every folder gets ``files_per_partition`` files
-    instead of one per writing task; raise it for large runs so one
-    (protocol, date) is written by several tasks.
+    with the record spliced in as JSON (not re-parsed).  Rows are rebalanced
+    on (protocol, date) by default, so a folder gets few files instead of one
+    per writing task and AQE splits a (protocol, date) that holds a large
+    share of a run over several tasks; ``files_per_partition`` fixes the
+    count per folder instead.
     """
     rest = F.to_json(F.struct(
         "pool_id",
@@ -118,6 +124,9 @@ def write_landing(df: DataFrame, path: str, files_per_partition: int = 1) -> Non
         rest.alias("_rest"),
         F.col("pool_id"),
     ).select("protocol", "date", "pool_id", line.alias("value"))
-    spread = F.pmod(F.xxhash64("pool_id"), F.lit(files_per_partition))
-    (out.repartition("protocol", "date", spread).drop("pool_id")
-        .write.mode("append").partitionBy("protocol", "date").text(path))
+    if files_per_partition:
+        spread = F.pmod(F.xxhash64("pool_id"), F.lit(files_per_partition))
+        out = out.repartition("protocol", "date", spread)
+    else:
+        out = out.hint("rebalance", "protocol", "date")
+    out.drop("pool_id").write.mode("append").partitionBy("protocol", "date").text(path)

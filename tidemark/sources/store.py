@@ -55,8 +55,9 @@ def write_labeled(df: DataFrame, path: str) -> None:
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
+        # rebalanced by day: AQE splits a heavy day over several write tasks and packs light ones
         (df.withColumn("hour_date", F.to_date("hour_ts"))
-           .repartition("hour_date", F.abs(F.xxhash64("pool_id")) % 8)
+           .hint("rebalance", "hour_date")
            .sortWithinPartitions("hour_date", "pool_id", "hour_ts")
            .write.mode("overwrite").partitionBy("hour_date").parquet(path))
     finally:
