@@ -103,7 +103,8 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         staged = spark.read.schema(schema).parquet(stage).select(*schema.fieldNames())
-        staged.write.mode("overwrite").partitionBy(partition_col).parquet(spark_path)
+        staged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(
+            spark_path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
@@ -173,7 +174,7 @@ def materialize(df: DataFrame, how: str, name: str | None = None, path: str | No
         if path is None:
             raise ValueError("table materialization needs a path")
         out = df if "hour_date" in df.columns else df.withColumn("hour_date", F.to_date("hour_ts"))
-        out.write.mode("overwrite").partitionBy("hour_date").parquet(path)
+        out.hint("rebalance", "hour_date").write.mode("overwrite").partitionBy("hour_date").parquet(path)
         return spark.read.parquet(path)
     if how == "incremental":
         if path is None:
