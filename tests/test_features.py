@@ -129,3 +129,11 @@ def test_stored_history_equals_full_warmup(spark, tmp_shared):
 
     assert last24(got) == last24(spark.read.parquet(tmp_shared))
     assert got.filter("pool_id = 'dense'").count() < 400  # old days of a dense pool are not read
+
+
+def test_stored_mark_reads_the_newest_partition(spark, tmp_shared):
+    from tidemark.operators.features import stored_mark
+
+    feats = pool_features(series(spark, "p", "2024-01-01 00:00:00", [float(i) for i in range(50)]), lookback=None)
+    feats.withColumn("hour_date", F.to_date("hour_ts")).write.partitionBy("hour_date").parquet(tmp_shared)
+    assert stored_mark(spark, tmp_shared) == feats.agg(F.max("hour_ts")).first()[0]

@@ -79,12 +79,14 @@ class IForestModel:
     version: str = "1"
     meta: dict = field(default_factory=dict)
     _forest_bc: object = field(default=None, init=False, repr=False, compare=False)
+    _nodes_pd: object = field(default=None, init=False, repr=False, compare=False)
 
     def forest_broadcast(self, spark: SparkSession):
         """The flattened forest, collected and broadcast once per model, reused by every
         scoring call (a stream scoring each micro-batch does not pile up broadcasts)."""
         if self._forest_bc is None:
-            forest = _Forest(self.nodes.toPandas(), self.n_trees, self.psi)
+            pdf = self._nodes_pd if self._nodes_pd is not None else self.nodes.toPandas()
+            forest = _Forest(pdf, self.n_trees, self.psi)
             self._forest_bc = spark.sparkContext.broadcast(forest)
         return self._forest_bc
 
@@ -213,9 +215,11 @@ def fit_iforest(
 
     nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     # Materialise the (bounded) node table once so scoring and saving reuse it.
-    nodes = df.sparkSession.createDataFrame(nodes.toPandas(), NODE_SCHEMA)
+    nodes_pd = nodes.toPandas()
+    nodes = df.sparkSession.createDataFrame(nodes_pd, NODE_SCHEMA)
     model = IForestModel(nodes=nodes, features=features, n_trees=n_trees, psi=psi_eff, seed=seed, n_train=n,
                          contamination=contamination, version=version)
+    model._nodes_pd = nodes_pd  # the bounded node table is already on the driver: score from it
     if contamination == "auto":
         model.offset = 0.5
     else:
