@@ -457,8 +457,10 @@ def load_model(spark: SparkSession, path: str, version: str = "latest") -> IFore
     if meta_row is None:
         raise FileNotFoundError(f"model version {ver!r} not found under {root}")
     meta = json.loads(meta_row["metadata"])
-    nodes = spark.read.parquet(f"{root}/nodes").filter(F.col("version") == ver).drop("version")
-    nodes = spark.createDataFrame(nodes.toPandas(), NODE_SCHEMA)
-    return IForestModel(nodes=nodes, features=meta["feature_names"], n_trees=meta["n_estimators"],
-                        psi=meta["max_samples"], seed=meta["random_state"], n_train=meta["training_samples"],
-                        offset=meta["offset"], contamination=meta["contamination"], version=ver, meta=meta)
+    nodes_pd = spark.read.parquet(f"{root}/nodes").filter(F.col("version") == ver).drop("version").toPandas()
+    model = IForestModel(nodes=spark.createDataFrame(nodes_pd, NODE_SCHEMA), features=meta["feature_names"],
+                         n_trees=meta["n_estimators"], psi=meta["max_samples"], seed=meta["random_state"],
+                         n_train=meta["training_samples"], offset=meta["offset"],
+                         contamination=meta["contamination"], version=ver, meta=meta)
+    model._nodes_pd = nodes_pd
+    return model
