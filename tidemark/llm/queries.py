@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import sharding
+from tidemark.llm import packing, pieces, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pieces_round_trip": pieces.op3,
+    "op5_binary_packing": packing.op5,
     "op7_histogram_shards": sharding.op7,
 }
 
