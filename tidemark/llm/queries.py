@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, packing, pieces, sharding
+from tidemark.llm import jaccard, language, packing, pieces, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces_round_trip": pieces.op3,
     "op5_binary_packing": packing.op5,
     "op6_language_profiles": language.op6,
     "op7_histogram_shards": sharding.op7,
+    "op8_shingle_components": jaccard.op8,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
