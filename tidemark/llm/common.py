@@ -17,6 +17,8 @@ BLOCK_BYTES = 4 << 20
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64 (fixed values).
 MULT = 0x9E3779B97F4A7C15
 INVERSE = pow(MULT, -1, 1 << 64)
+#: A second multiplier, for names of 128 bits (fixed value).
+MULT2 = 0xD1342543DE82EF95
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -93,16 +95,16 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
+def prefix_hash(data: np.ndarray, base: int = MULT) -> np.ndarray:
     """Prefix sums from which ``span_hash`` takes the hash of any span of ``data``."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * powers(MULT, len(data)), out=out[1:])
+    np.cumsum(_BYTE_CODES[data] * powers(base, len(data)), out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = MULT) -> np.ndarray:
     """64-bit hashes of ``data[start:end]``, equal for equal bytes wherever they stand."""
-    shift = powers(INVERSE, len(prefix))
+    shift = powers(INVERSE if base == MULT else pow(base, -1, 1 << 64), len(prefix))
     return mix((prefix[ends] - prefix[starts]) * shift[starts] + (ends - starts).astype(np.uint64))
 
 

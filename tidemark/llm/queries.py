@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard, language, packing, pieces, sharding
+from tidemark.llm import jaccard, language, packing, pieces, sharding, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pieces_round_trip": pieces.op3,
+    "op4_repeated_bytes": suffixes.op4,
     "op5_binary_packing": packing.op5,
     "op6_language_profiles": language.op6,
     "op7_histogram_shards": sharding.op7,
