@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard, language, packing, pieces, sharding, suffixes, vectors
+from tidemark.llm import jaccard, language, packing, pieces, sharding, spotsigs, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting": vectors.op1,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_profiles": language.op6,
     "op7_histogram_shards": sharding.op7,
     "op8_shingle_components": jaccard.op8,
+    "op10_spot_signatures": spotsigs.op10,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
