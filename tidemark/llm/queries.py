@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard, language, packing, pieces, sharding, spotsigs, suffixes, vectors
+from tidemark.llm import jaccard, language, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting": vectors.op1,
+    "op2_personal_data": pii.op2,
     "op3_pieces_round_trip": pieces.op3,
     "op4_repeated_bytes": suffixes.op4,
     "op5_binary_packing": packing.op5,
