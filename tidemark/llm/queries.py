@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import jaccard, language, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
+from tidemark.llm import chat, jaccard, language, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting": vectors.op1,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_profiles": language.op6,
     "op7_histogram_shards": sharding.op7,
     "op8_shingle_components": jaccard.op8,
+    "op9_transcript_roles": chat.op9,
     "op10_spot_signatures": spotsigs.op10,
 }
 
