@@ -332,6 +332,20 @@ def _verify(pairs: DataFrame, texts: DataFrame, rule: Threshold, size: int) -> D
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _plausible(pairs: DataFrame, vertices: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs that can still be linked when their indexed shingles are compared.
+
+    Behind the index entries of the set whose last entry comes first in the
+    common order stand at most the rest of that set; so the intersection is no
+    larger than the common entries and the larger of the two rests.
+    """
+    of = lambda side: vertices.select(F.col("vid").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"t_{side}"))
+    rest = F.greatest(F.col("n_a") - F.size("t_a"), F.col("n_b") - F.size("t_b"))
+    room = F.size(F.array_intersect("t_a", "t_b")) + rest
+    return (pairs.join(of("a"), "a").join(of("b"), "b")
+            .filter(room >= _overlap_column(rule, F.col("n_a"), F.col("n_b"))).select("a", "b"))
+
+
 def _overlap_column(rule: Threshold, a: Column, b: Column) -> Column:
     return F.ceil(rule.t * (a + b) / F.lit(100 + rule.t))
 
@@ -374,10 +388,12 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     lists = vertices.filter(F.size("tokens") > 0).select("vid", "n", F.posexplode("tokens").alias("place", "token"))
     lists = lists.withColumn("place", F.col("place").cast("long")).repartition("token").sortWithinPartitions("token", "n", "vid")
     scanned = stored(_scan(lists, rule), "candidates")
-    pairs = scanned.filter("token is null").select("a", "b").distinct()
-    wanted = scanned.select(F.col("a").alias("vid")).unionByName(scanned.filter("token is null").select(F.col("b").alias("vid"))).distinct()
+    pairs = stored(_plausible(scanned.filter("token is null").select("a", "b").distinct(), vertices, rule), "pairs")
+    wanted = (scanned.filter("token is not null").select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("a").alias("vid")))
+              .unionByName(pairs.select(F.col("b").alias("vid"))).distinct())
     wanted = vertices.join(wanted, "vid").select("vid", F.col("id").alias("__tm_id"), F.col("text_hash").alias("__tm_hash"))
-    texts = stored(whole.join(wanted, ["__tm_id", "__tm_hash"]).select("vid", F.col("__tm_text").alias("text")).dropDuplicates(["vid"]), "texts")
+    texts = whole.join(wanted, ["__tm_id", "__tm_hash"]).dropDuplicates(["__tm_id", "__tm_hash"])  # keys of the join: no further shuffle
+    texts = stored(texts.select("vid", F.col("__tm_text").alias("text")), "texts")
     edges = stored(_verify(pairs, texts, rule, size).unionByName(light), "links")
 
     # long lists: what is in one component by now needs no more; the rest is compared across components
@@ -393,7 +409,7 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & smaller
                     & (F.col("x.n") * 100 >= F.col("y.n") * rule.t) & (F.col("x.place") < index)
                     & (room >= _overlap_column(rule, F.col("x.n"), F.col("y.n"))))
-    across = across.select(F.col("x.vid").alias("a"), F.col("y.vid").alias("b")).distinct()
+    across = stored(_plausible(across.select(F.col("x.vid").alias("a"), F.col("y.vid").alias("b")).distinct(), vertices, rule), "pairs")
     edges = edges.unionByName(_verify(across, texts, rule, size))
 
     # rows of one id are one vertex

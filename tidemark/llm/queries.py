@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, jaccard, language, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
+from tidemark.llm import chat, jaccard, language, oracle, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting": vectors.op1,
@@ -22,4 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_collision_counting": oracle.OP1,
+    "op4_repeated_bytes": oracle.OP4,
+    "op8_shingle_components": oracle.OP8,
+}

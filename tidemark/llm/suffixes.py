@@ -353,7 +353,8 @@ def remove(docs: DataFrame, text: str = "text", length: int = 200, piece: int =
     keyed = docs.withColumn("__tm_text", text_or_empty(text))
     keyed = keyed.withColumns({"__tm_h": F.xxhash64("__tm_text"), "__tm_n": F.octet_length("__tm_text"), "__tm_id": F.col(id)})
     found = mark(keyed.select("__tm_id", "__tm_h", "__tm_n", "__tm_text"), length, piece)
-    joined = keyed.join(found, (F.col("__tm_h") == F.col("h")) & (F.col("__tm_n") == F.col("n")), "left")
+    found = found.withColumnsRenamed({"h": "__tm_h2", "n": "__tm_n2", "marks": "__tm_marks"})
+    joined = keyed.join(found, (F.col("__tm_h") == F.col("__tm_h2")) & (F.col("__tm_n") == F.col("__tm_n2")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(names)
@@ -382,7 +383,7 @@ def remove(docs: DataFrame, text: str = "text", length: int = 200, piece: int =
                      pa.array(digest, pa.string()), pa.array(kept, pa.string())],
                     [*names, "__tm_bytes", "__tm_removed", "__tm_spans", "__tm_sha256", "__tm_kept"])
 
-    return joined.select(*names, "__tm_text", "marks").mapInArrow(
+    return joined.select(*names, "__tm_text", "__tm_marks").mapInArrow(
         run, kind + ", __tm_bytes long, __tm_removed long, __tm_spans long, __tm_sha256 string, __tm_kept string")
 
 
