@@ -9,8 +9,8 @@ smallest estimated cost over the table's size histogram.
 Sets with equal shingles are one vertex from the start.  Shingles count as
 rare or frequent by a bounded table of heavy hitters; it only sets the order
 in which a set's shingles are indexed, so any table gives the same links.  A
-list longer than ``SHORT`` is first linked along itself and to a member every
-``BLOCK`` rows; afterwards only its pairs across components are verified.
+list longer than ``SHORT`` is first compared along itself and with a few hubs;
+afterwards only its pairs across components are verified.
 """
 
 from __future__ import annotations
@@ -24,17 +24,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, mix, prefix_hash, span_hash, stored, table, text_buffers, text_or_empty
+from tidemark.llm.common import blocks, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
 from tidemark.llm.graph import components
 
 #: Lists up to this length have all their pairs verified at once.
 SHORT = 16
-#: Rows of a long list that share one first partner.
-BLOCK = 64
+#: A long list has one hub for so many rows, and at most so many hubs: its rows are compared with them first.
+BLOCK, HUBS = 64, 16
 #: Rows of one list held at a time.
 HELD = 4096
 #: Entries of the heavy-hitter table (16 bytes each), and how many one task may propose.
 HEAVY, HEAVY_PER_TASK = 1 << 17, 8192
+#: Bits of a set's parities; a power of two.
+PARITY = 1024
 #: Set sizes for which enumerating subsets is considered.
 SMALL_MOST = 40
 
@@ -200,6 +202,22 @@ def _subset_keys(h: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(names), np.concatenate(of)) if names else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
+def parities(h: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each given row ``PARITY`` bits: whether an odd number of its shingles falls on the bit.
+
+    Shingles of both sets cancel out, so two sets differ in at least as many
+    shingles as their parities differ in bits.
+    """
+    out = np.zeros((len(rows), PARITY // 64), np.int64)
+    for c in range(0, len(rows), 2048):
+        some = rows[c:c + 2048]
+        n = at[some + 1] - at[some]
+        bit = (mix(h[ranges(at[some], n)] + np.uint64(77)) & np.uint64(PARITY - 1)).astype(np.int64)
+        odd = np.bincount(np.repeat(np.arange(len(some)), n) * PARITY + bit, minlength=len(some) * PARITY) & 1
+        out[c:c + 2048] = np.packbits(odd.astype(np.uint8).reshape(len(some), PARITY), axis=1).view(np.int64)
+    return out
+
+
 def _profile(docs: DataFrame, rule: Threshold, size: int, below: int, heavy, heat) -> DataFrame:
     """One row per document: its set's size, 128-bit signature, index entries and subset keys."""
     shared = docs.sparkSession.sparkContext.broadcast((heavy, heat))
@@ -222,14 +240,18 @@ def _profile(docs: DataFrame, rule: Threshold, size: int, below: int, heavy, hea
                     k, c = _subset_keys(h[at[i]:at[i + 1]], rule.subset_sizes(m, below)) if 0 < m < below else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
                     keys.append(k.view(np.int64))
                     cs.append(c)
+                big = np.flatnonzero(n >= max(1, rule.least(below)))
+                parity: list = [None] * len(n)
+                for i, bits in zip(big.tolist(), parities(h, at, big)):
+                    parity[i] = bits
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), pa.array(n, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                    pa.array(tokens, longs), pa.array(keys, longs), pa.array(cs, longs),
-                ], ["id", "text_hash", "n", "s1", "s2", "tokens", "keys", "sizes"])
+                    pa.array(tokens, longs), pa.array(keys, longs), pa.array(cs, longs), pa.array(parity, longs),
+                ], ["id", "text_hash", "n", "s1", "s2", "tokens", "keys", "sizes", "parity"])
 
     return docs.select("__tm_id", "__tm_hash", "__tm_text").mapInArrow(
-        run, "id long, text_hash long, n long, s1 long, s2 long, tokens array<long>, keys array<long>, sizes array<long>")
+        run, "id long, text_hash long, n long, s1 long, s2 long, tokens array<long>, keys array<long>, sizes array<long>, parity array<long>")
 
 
 def _possible(rule: Threshold, nx, px, ny, py):
@@ -257,10 +279,18 @@ def _scan(lists: DataFrame, rule: Threshold) -> DataFrame:
                 break
             left.append(i)
             right.append(i + d)
-        place = np.arange(len(t)) - new[of]
-        rows = np.flatnonzero(long & (place > 0))
-        left += [rows - 1, rows - place[rows] % BLOCK]
-        right += [rows, rows]
+        # a long list: every row with a few members that hashes choose, the same ones in most lists of a group
+        rows = np.flatnonzero(long)
+        by = rows[np.lexsort((mix(v[rows].view(np.uint64)), of[rows]))]
+        place = np.arange(len(by)) - np.searchsorted(of[by], of[by])
+        wanted = np.clip(length // BLOCK, 1, HUBS)
+        hubs = by[place < wanted[of[by]]]
+        first = np.searchsorted(of[rows], of[hubs])
+        reach = np.searchsorted(of[rows], of[hubs], side="right") - first
+        other, hub = rows[ranges(first, reach)], np.repeat(hubs, reach)
+        left += [np.minimum(other, hub), rows[1:] - 1]
+        right += [np.maximum(other, hub), rows[1:]]
+        left[-1], right[-1] = left[-1][of[left[-1]] == of[right[-1]]], right[-1][of[left[-1]] == of[right[-1]]]
         i, j = np.concatenate(left), np.concatenate(right)
         ok = (i != j) & _possible(rule, n[i], p[i], n[j], p[j])
         i, j = i[ok], j[ok]
@@ -332,18 +362,73 @@ def _verify(pairs: DataFrame, texts: DataFrame, rule: Threshold, size: int) -> D
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _plausible(pairs: DataFrame, vertices: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs that can still be linked when their indexed shingles are compared.
+def _plausible(pairs: DataFrame, met: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs whose parities differ in no more bits than linked sets of these sizes may differ in shingles."""
+    of = lambda side: met.select(F.col("vid").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
+    bits = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    most = F.col("n_a") + F.col("n_b") - 2 * _overlap_column(rule, F.col("n_a"), F.col("n_b"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(bits <= most).select("a", "b")
+
+
+def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs of long lists, between components, that are still plausible; each pair once.
 
-    Behind the index entries of the set whose last entry comes first in the
-    common order stand at most the rest of that set; so the intersection is no
-    larger than the common entries and the larger of the two rests.
+    ``rows``: token, one, two (the pair of blocks of a list that meet in this
+    group), block, vid, n, place, component, tokens, parity, sorted by the
+    first three.  A pair counts only in the list of the smallest token
+    through which the two can meet.
     """
-    of = lambda side: vertices.select(F.col("vid").alias(side), F.col("n").alias(f"n_{side}"), F.col("tokens").alias(f"t_{side}"))
-    rest = F.greatest(F.col("n_a") - F.size("t_a"), F.col("n_b") - F.size("t_b"))
-    room = F.size(F.array_intersect("t_a", "t_b")) + rest
-    return (pairs.join(of("a"), "a").join(of("b"), "b")
-            .filter(room >= _overlap_column(rule, F.col("n_a"), F.col("n_b"))).select("a", "b"))
+    def pairs(token: int, one: int, two: int, t: pa.Table) -> pa.RecordBatch:
+        block, vid, n, place, component = (t.column(k).to_numpy() for k in range(3, 8))
+        token_lists, bits = t.column(8).combine_chunks(), t.column(9).combine_chunks()
+        word = bits.flatten().to_numpy().reshape(len(vid), -1).view(np.uint64)
+        flat, sizes = token_lists.flatten().to_numpy(), np.diff(token_lists.offsets.to_numpy())
+        earlier = flat < token
+        kinds, which, often = np.unique(flat[earlier], return_inverse=True, return_counts=True)
+        shared = often[which] > 1  # only tokens of two rows or more can be common
+        kept, column = np.unique(which[shared], return_inverse=True)
+        of = np.repeat(np.arange(len(vid)), sizes)
+        at = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[earlier][shared]
+        row = of[earlier][shared]
+        larger, smaller = np.zeros((len(vid), len(kept)), np.float32), np.zeros((len(vid), len(kept)), np.float32)
+        larger[row, column] = 1
+        smaller[row, column] = at < rule.index(n)[row]  # of the smaller set only these entries count, here as in the lists
+        found = []
+        for c in range(0, len(vid), 256):
+            own = slice(c, c + 256)
+            first = (n[own, None] < n) | ((n[own, None] == n) & (vid[own, None] < vid))
+            ok = first & (component[own, None] != component) & _possible(rule, n[own, None], place[own, None], n, place)
+            ok &= (smaller[own] @ larger.T) == 0
+            if one != two:
+                ok &= block[own, None] != block
+            i, j = np.nonzero(ok)
+            i += c
+            for d in range(0, len(i), 1 << 16):
+                x, y = i[d:d + (1 << 16)], j[d:d + (1 << 16)]
+                differ = np.bitwise_count(word[x] ^ word[y]).sum(1)
+                good = differ <= n[x] + n[y] - 2 * rule.overlap(n[x], n[y])
+                found.append(np.stack([vid[x[good]], vid[y[good]]]))
+        every = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(every[0], pa.int64()), pa.array(every[1], pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            cut = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cut, cut[1:]):
+                now = tuple(int(x) for x in keys[:, a])
+                if now != key and held:
+                    yield pairs(*key, pa.Table.from_batches(held))
+                    held = []
+                key = now
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield pairs(*key, pa.Table.from_batches(held))
+
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def _overlap_column(rule: Threshold, a: Column, b: Column) -> Column:
@@ -388,10 +473,13 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     lists = vertices.filter(F.size("tokens") > 0).select("vid", "n", F.posexplode("tokens").alias("place", "token"))
     lists = lists.withColumn("place", F.col("place").cast("long")).repartition("token").sortWithinPartitions("token", "n", "vid")
     scanned = stored(_scan(lists, rule), "candidates")
-    pairs = stored(_plausible(scanned.filter("token is null").select("a", "b").distinct(), vertices, rule), "pairs")
+    pairs = scanned.filter("token is null").select("a", "b").distinct()
+    wanted = scanned.select(F.col("a").alias("vid")).unionByName(scanned.filter("token is null").select(F.col("b").alias("vid"))).distinct()
+    met = stored(vertices.join(wanted, "vid").select("vid", "n", "id", "text_hash", "tokens", "parity"), "met")
+    pairs = stored(_plausible(pairs, met, rule), "pairs")
     wanted = (scanned.filter("token is not null").select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("a").alias("vid")))
               .unionByName(pairs.select(F.col("b").alias("vid"))).distinct())
-    wanted = vertices.join(wanted, "vid").select("vid", F.col("id").alias("__tm_id"), F.col("text_hash").alias("__tm_hash"))
+    wanted = met.join(wanted, "vid").select("vid", F.col("id").alias("__tm_id"), F.col("text_hash").alias("__tm_hash"))
     texts = whole.join(wanted, ["__tm_id", "__tm_hash"]).dropDuplicates(["__tm_id", "__tm_hash"])  # keys of the join: no further shuffle
     texts = stored(texts.select("vid", F.col("__tm_text").alias("text")), "texts")
     edges = stored(_verify(pairs, texts, rule, size).unionByName(light), "links")
@@ -400,16 +488,15 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     rows = scanned.filter("token is not null").select("token", "n", "place", F.col("a").alias("vid")).distinct()
     marked = rows.join(components(edges).withColumnRenamed("id", "vid"), "vid", "left")
     marked = stored(marked.withColumn("component", F.coalesce("component", "vid")), "long-lists")
-    mixed = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("token")
-    left = marked.join(mixed, "token")
-    x, y = left.alias("x"), left.alias("y")
-    index = F.col("x.n") - _overlap_column(rule, F.col("x.n"), F.col("x.n")) + 1
-    room = F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.vid") < F.col("y.vid")))
-    across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & smaller
-                    & (F.col("x.n") * 100 >= F.col("y.n") * rule.t) & (F.col("x.place") < index)
-                    & (room >= _overlap_column(rule, F.col("x.n"), F.col("y.n"))))
-    across = stored(_plausible(across.select(F.col("x.vid").alias("a"), F.col("y.vid").alias("b")).distinct(), vertices, rule), "pairs")
+    mixed = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).filter("lo < hi")
+    mixed = mixed.select("token", F.ceil(F.col("rows") / F.lit(HELD // 2)).cast("long").alias("blocks"))
+    left = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "vid", "place", "component")
+    left = (left.join(met.select("vid", "n", "tokens", "parity"), "vid")
+            .select("token", "one", "two", "block", "vid", "n", "place", "component", "tokens", "parity")
+            .repartition("token", "one", "two").sortWithinPartitions("token", "one", "two"))
+    across = stored(_across(left, rule), "pairs")
     edges = edges.unionByName(_verify(across, texts, rule, size))
 
     # rows of one id are one vertex
