@@ -118,9 +118,9 @@ def test_stored_history_equals_full_warmup(spark, tmp_shared):
     sparse = series(spark, "sparse", "2024-01-01 00:00:00", [1.0, 2.0, 3.0], step_hours=100)
     feats = pool_features(dense.unionByName(gappy).unionByName(sparse), lookback=None)
     feats.withColumn("hour_date", F.to_date("hour_ts")).write.partitionBy("hour_date").parquet(tmp_shared)
-    pools = spark.createDataFrame([("dense",), ("gappy",), ("sparse",), ("new",)], "pool_id string")
-    mark_day = dt.date(2024, 1, 17)
-    got = stored_history(spark, tmp_shared, pools, mark_day)
+    at = dt.datetime(2024, 1, 18)
+    since = spark.createDataFrame([(p, at) for p in ("dense", "gappy", "sparse", "new")], "pool_id string, since timestamp_ntz")
+    got = stored_history(spark, tmp_shared, since)
     w = Window.partitionBy("pool_id").orderBy(F.col("hour_ts").desc())
 
     def last24(df):
@@ -129,11 +129,3 @@ def test_stored_history_equals_full_warmup(spark, tmp_shared):
 
     assert last24(got) == last24(spark.read.parquet(tmp_shared))
     assert got.filter("pool_id = 'dense'").count() < 400  # old days of a dense pool are not read
-
-
-def test_stored_mark_reads_the_newest_partition(spark, tmp_shared):
-    from tidemark.operators.features import stored_mark
-
-    feats = pool_features(series(spark, "p", "2024-01-01 00:00:00", [float(i) for i in range(50)]), lookback=None)
-    feats.withColumn("hour_date", F.to_date("hour_ts")).write.partitionBy("hour_date").parquet(tmp_shared)
-    assert stored_mark(spark, tmp_shared) == feats.agg(F.max("hour_ts")).first()[0]

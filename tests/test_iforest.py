@@ -52,11 +52,28 @@ def test_forest_independent_of_partitioning(spark):
     assert n1 == n2
 
 
-def test_large_sample_path_disjoint_trees(spark):
-    df = spark.range(6000).select("id", F.randn(1).alias("a"), F.randn(2).alias("b"))
-    model = fit_iforest(df, features=["a", "b"], n_trees=10, psi=256, key_cols=["id"])
-    roots = model.nodes.filter(F.col("node") == 0).collect()
-    assert len(roots) == 10 and all(r.size == 256 for r in roots)
+def test_one_sampling_rule_below_and_above_the_need(spark):
+    """Of each tree the psi rows with its smallest hashes, whether the table has fewer or more than trees * psi rows."""
+    from tidemark.operators.iforest import _sample, _uniform
+
+    for n in (50, 900, 6000):  # 10 trees * 64 rows = 640
+        df = spark.range(n).select(F.xxhash64("id").alias("_key"), F.array(F.col("id").cast("double")).alias("x"))
+        psi = min(64, n)
+        got = {(r.tree, r.x[0]) for r in _sample(df, F.col("_key"), n, 10, psi, 42).collect()}
+        every = df.select("x", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("t"), "_key").select("x", "t", _uniform(F.lit(42), F.col("t"), F.col("_key")).alias("u"))
+        want = set()
+        for t in range(10):
+            rows = sorted((r.u, r.x[0]) for r in every.filter(F.col("t") == t).collect())
+            want |= {(t, x) for _, x in rows[:psi]}
+        assert got == want
+
+
+def test_saving_a_version_again_replaces_its_metadata(spark, tmp_shared):
+    df = _outlier_frame(spark)
+    for trees in (5, 7):
+        save_model(fit_iforest(df, features=["a", "b"], n_trees=trees, key_cols=["id"], version="9"), tmp_shared)
+    assert load_model(spark, tmp_shared, "9").n_trees == 7
+    assert spark.read.parquet(f"{tmp_shared}/metadata").count() == 1
 
 
 def test_threshold_boundary_and_classes(spark):

@@ -203,3 +203,53 @@ def test_write_upsert_touches_only_updated_days(spark, tmp_shared):
     by_day = {r.d: r.n for r in out.groupBy(F.col("hour_date").cast("string").alias("d"))
               .agg(F.count_if(F.col("anomaly_score") == 0.25).alias("n")).collect()}
     assert by_day == {"2024-01-01": 0, "2024-01-02": 0, "2024-01-03": 24}
+
+
+def test_upsert_takes_one_row_per_key(spark):
+    from tidemark.operators.maintenance import upsert
+
+    target = spark.createDataFrame([("a", 1, 1.0, 0), ("b", 1, 2.0, 0)], "pool_id string, hour_ts int, v double, load_ts int")
+    updates = spark.createDataFrame([("a", 1, 5.0, 2), ("a", 1, 4.0, 1), ("c", 1, 9.0, 1), ("c", 1, 9.0, 1)], target.schema)
+    assert sorted(map(tuple, upsert(target, updates).collect())) == [("a", 1, 5.0, 2), ("b", 1, 2.0, 0), ("c", 1, 9.0, 1)]
+
+
+def test_upserted_files_are_sorted_by_series(spark, tmp_shared):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemark.operators.maintenance import write_upsert
+
+    rows = spark.range(400).select(F.concat(F.lit("p"), (F.col("id") * 37 % 100).cast("string")).alias("pool_id"),
+                                   F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 4 as int))").alias("hour_ts"), F.rand(1).alias("v"))
+    rows = rows.dropDuplicates(["pool_id", "hour_ts"])
+    write_upsert(tmp_shared, rows)
+    write_upsert(tmp_shared, rows.withColumn("v", F.lit(1.0)))
+    files = glob.glob(f"{tmp_shared}/hour_date=*/*.parquet")
+    assert len(files) <= 4
+    for f in files:
+        ids = pq.ParquetFile(f).read(columns=["pool_id"])["pool_id"].to_pylist()
+        assert ids == sorted(ids)
+
+
+def test_missing_records_come_back_and_are_rejected(spark, tmp_shared):
+    from tidemark.sources.raw import enforce_required, read_raw_jsonl, write_landing
+
+    rows = spark.sql("SELECT null AS raw, 'p' AS pool_id, 'uniswap_v3' AS dex_protocol, timestamp_ntz'2024-01-01 00:00:00' AS hour_ts, "
+                     "timestamp_ntz'2024-01-01 00:00:00' AS load_ts")
+    write_landing(rows.unionByName(rows.withColumn("raw", F.lit("{}"))), tmp_shared)
+    good, rejected = enforce_required(read_raw_jsonl(spark, tmp_shared))
+    assert good.count() == 1 and rejected.count() == 1
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tidemark.session import checkpoint_dir
+
+    bare = SimpleNamespace(get=lambda *a: None)
+    spark = SimpleNamespace(conf=bare, sparkContext=SimpleNamespace(getConf=lambda: bare, master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        checkpoint_dir(spark)

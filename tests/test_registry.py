@@ -3,17 +3,18 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_mod
+from tidemark.plans import registry
 from tests.conftest import SF001
 from tidemark.sources.tables import TABLES
 
 ROWS_ONLY = {"iforest_scores", "iforest_decisions", "iforest_mean_score", "predict_pools", "hourly_pipeline",
              "stream_alerts"}
-SLOW = {"stream_hourly_stats", "stream_dedup_latest", "stream_features"}
+SLOW = {"stream_hourly_stats", "stream_dedup_latest", "stream_features", "stream_labeled"}
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
-    q, o = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(o) <= set(q)
+    q, o = registry.queries(), registry.oracle_sql()
+    assert set(o) <= set(q) <= set(entry_mod.queries())
     assert set(q) - set(o) == ROWS_ONLY
 
 
@@ -41,7 +42,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_mod.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.oracle_sql()) - SLOW))
 def test_oracle_pair_sf0001(spark, duck, name):
     got = entry_mod.queries()[name](spark, SF001).toPandas()
     exp = duck.execute(entry_mod.oracle_sql()[name]).df()

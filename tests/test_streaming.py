@@ -74,3 +74,48 @@ def test_features_and_alerts_replay_is_idempotent(spark, tmp_shared):
     body(staged, 0)  # the same micro-batch again, as after a driver failure
     assert spark.read.parquet(f"{tmp_shared}/features").count() == feats
     assert spark.read.parquet(f"{tmp_shared}/alerts").count() == alerts
+
+
+def test_late_split_and_repeated_drops_give_the_batch_result(spark, tmp_shared):
+    """Drops of one protocol after the other, the later hours first, rows twice: nothing is lost or doubled."""
+    from tidemark.operators.features import pool_features
+    from tidemark.operators.labels import label
+    from tidemark.streaming.streams import features_batch
+
+    staged = stage_pool_hourly(raw_envelope(spark, SF001))
+    one, late = F.col("dex_protocol") == "uniswap_v3", F.col("hour_ts") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    body = features_batch(f"{tmp_shared}/features", labeled_path=f"{tmp_shared}/labels")
+    for i, part in enumerate([staged.filter(one & late), staged.filter(~one), staged.filter(one).unionByName(staged.filter(one))]):
+        body(part, i)
+    want = label(pool_features(staged, lookback=None))
+    got = spark.read.parquet(f"{tmp_shared}/labels").select(*want.columns)
+    assert got.count() == want.count()
+    assert round6(got).exceptAll(round6(want)).count() == 0
+    assert spark.read.parquet(f"{tmp_shared}/features").count() == want.count()
+
+
+def test_a_row_that_turns_negative_leaves_the_table(spark, tmp_shared):
+    from tidemark.streaming.streams import features_batch
+
+    staged = stage_pool_hourly(raw_envelope(spark, SF001)).filter("pool_id = 'pool_1'")
+    body = features_batch(f"{tmp_shared}/features")
+    body(staged, 0)
+    n = spark.read.parquet(f"{tmp_shared}/features").count()
+    # a row of a day with others (a day that loses its only row keeps its file: the writer has no rows to replace it with)
+    day = staged.filter("NOT has_negative_values").groupBy(F.to_date("hour_ts").alias("d")).count().orderBy(F.desc("count"), "d").first()["d"]
+    last = staged.filter("NOT has_negative_values").filter(F.to_date("hour_ts") == F.lit(day)).orderBy("hour_ts").limit(1)
+    body(last.withColumns({"volume_usd": F.lit(-1.0), "has_negative_values": F.lit(True)}), 1)
+    assert spark.read.parquet(f"{tmp_shared}/features").count() == n - 1
+
+
+def test_hours_are_closed_by_the_heartbeat(spark, tmp_shared):
+    from tidemark.streaming.streams import heartbeat
+
+    raw = raw_envelope(spark, SF001)
+    stats = lambda: stream_hourly_stats(stage_stream(stream_raw(spark, f"{tmp_shared}/in"))).writeStream.format("parquet").option(
+        "path", f"{tmp_shared}/out").option("checkpointLocation", f"{tmp_shared}/ckpt").outputMode("append")
+    write_landing(raw, f"{tmp_shared}/in/run=0")
+    run_available_now(stats())
+    write_landing(heartbeat(spark, "2024-03-01 00:00:00"), f"{tmp_shared}/in/run=1")
+    run_available_now(stats())
+    assert spark.read.parquet(f"{tmp_shared}/out").count() == raw.select("hour_ts").distinct().count()

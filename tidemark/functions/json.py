@@ -35,7 +35,3 @@ def json_int(col: Column | str, path: str | list[str]) -> Column:
 def json_ts(col: Column | str, path: str | list[str]) -> Column:
     """Epoch seconds stored in JSON -> UTC wall-clock TIMESTAMP_NTZ."""
     return seconds_to_ntz(json_int(col, path))
-
-
-def first_of(*cols: Column) -> Column:
-    return cols[0] if len(cols) == 1 else F.coalesce(*cols)

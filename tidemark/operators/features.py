@@ -151,44 +151,30 @@ def incremental_features(
     return feats.filter(F.col("hour_ts") > mark)
 
 
-# Fixed bounds of the stored warm-up read: how many recent days are read first,
-# and how many short pool ids may be listed as a pushed-down filter.
+#: Days before the earliest touched hour that are read first; series with fewer rows there read on.
 WARM_DAYS = 7
-MAX_LISTED_POOLS = 10_000
 
 
-def stored_mark(spark, path: str, col: str = "hour_ts", partition_col: str = "hour_date"):
-    """High-water mark of a day-partitioned table, read from its newest partition only."""
-    table = spark.read.parquet(path)
-    last_day = table.agg(F.max(partition_col)).first()[0]
-    if last_day is None:
-        return None
-    return table.filter(F.col(partition_col) == F.lit(last_day)).agg(F.max(col)).first()[0]
-
-
-def stored_history(spark, path: str, pools: DataFrame, mark_day, rows: int = LAG_ROWS, days: int = WARM_DAYS,
+def stored_history(spark, path: str, since: DataFrame, rows: int = LAG_ROWS, days: int = WARM_DAYS,
                    partition_col: str = "hour_date") -> DataFrame:
-    """Stored rows that hold the warm-up (last ``rows`` rows) of every pool in ``pools``.
+    """Stored rows from which the features of each series can be computed from its ``since`` hour on.
 
-    The last ``days`` day partitions are read first; only pools with fewer
-    than ``rows`` rows there can need older days, and older days are read
-    for those pools only (their ids pushed to the Parquet reader, where
-    files sorted by ``pool_id`` skip row groups).  Exact: a pool with
-    ``rows`` recent rows has its last ``rows`` rows among them.
+    ``since``: ``pool_id`` and ``since``, one row per touched series.  The
+    result holds all stored rows at or after it and at least the last ``rows``
+    before it.  Day partitions from ``days`` before the earliest hour are read
+    first; only series with fewer rows there have older days read too, through
+    a semi-join (no list of ids passes through the driver).
     """
     import datetime as _dt
 
     table = spark.read.parquet(path)
-    start = mark_day - _dt.timedelta(days=days)
-    recent = table.filter(F.col(partition_col) >= F.lit(start)).join(pools, "pool_id", "left_semi")
-    enough = recent.groupBy("pool_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= rows)
-    short = pools.join(enough, "pool_id", "left_anti")
-    listed = short.limit(MAX_LISTED_POOLS + 1).collect()
-    if not listed:
-        return recent
-    older = table.filter(F.col(partition_col) < F.lit(start))
-    if len(listed) <= MAX_LISTED_POOLS:
-        older = older.filter(F.col("pool_id").isin([r[0] for r in listed]))
-    else:
-        older = older.join(short, "pool_id", "left_semi")
-    return recent.unionByName(older)
+    first = since.agg(F.min("since")).first()[0]
+    if first is None:
+        return table.limit(0)
+    start = first.date() - _dt.timedelta(days=days)
+    recent = table.filter(F.col(partition_col) >= F.lit(start)).join(since, "pool_id")
+    enough = (recent.filter(F.col("hour_ts") < F.col("since")).groupBy("pool_id").agg(F.count(F.lit(1)).alias("_n"))
+              .filter(F.col("_n") >= rows).select("pool_id"))
+    short = since.join(enough, "pool_id", "left_anti").select("pool_id")
+    older = table.filter(F.col(partition_col) < F.lit(start)).join(short, "pool_id", "left_semi")
+    return recent.drop("since").unionByName(older.select(*table.columns))

@@ -7,13 +7,9 @@ so scores lie in (0, 1] and higher means more anomalous.
 
 How it runs on Spark:
 
-* Sampling is driven by a hash of (seed, row key), never by row order or
-  partitioning, so the same data gives the same forest on any cluster.  With
-  ``n >= n_trees * psi`` the trees take disjoint samples: a hash pre-filter
-  keeps about 4x the needed rows, the ``n_trees * psi`` smallest hashes are
-  taken, and rank ``mod n_trees`` is the tree.  Smaller inputs are expanded
-  per tree (at most ``n_trees * psi`` rows times ``n_trees``) and each tree
-  keeps its ``psi`` smallest hashes.
+* Sampling is driven by a hash of (seed, tree, row key), never by row order or
+  partitioning, so the same data gives the same forest on any cluster: every
+  tree takes the ``psi`` rows with its smallest hashes, at every table size.
 * Each tree is grown in one ``applyInPandas`` group of psi rows: groups are
   bounded by psi, whatever the data size.
 * The forest has at most ``n_trees * (2 psi - 1)`` nodes (about 100k for the
@@ -33,7 +29,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from tidemark.schemas import FEATURES
 
@@ -147,25 +142,28 @@ def _grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 
 
 def _sample(df: DataFrame, key: Column, n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
-    """Rows ``(tree, u, x)`` of the training subsamples."""
-    need = n_trees * psi
-    if n >= need:
-        u = _uniform(F.lit(seed), key)
-        frac = min(1.0, 4.0 * need / max(n, 1))
-        for f in (frac, 1.0):
-            pre = df.select(u.alias("u"), "x").filter(F.col("u") < F.lit(f))
-            # The ``need`` smallest hashes: a bounded top-k (per-partition top-k, then merge).
-            top = pre.orderBy("u").limit(need)
-            ranked = top.withColumn("_rank", F.row_number().over(Window.orderBy("u")) - 1)
-            sample = ranked.select((F.col("_rank") % n_trees).cast("int").alias("tree"), "u", "x")
-            # bounded (n_trees * psi rows): written once to the shared checkpoint dir, then reused
-            sample = sample.checkpoint(eager=True)
-            if f == 1.0 or sample.count() == need:
-                return sample
-    trees = df.select(key.alias("_k"), "x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    trees = trees.withColumn("u", _uniform(F.lit(seed), F.col("tree"), F.col("_k")))
-    rn = F.row_number().over(Window.partitionBy("tree").orderBy("u", "_k"))
-    return trees.withColumn("_rn", rn).filter(F.col("_rn") <= psi).select(F.col("tree").cast("int"), "u", "x")
+    """Rows ``(tree, u, x)`` of the training subsamples: of each tree the ``psi`` rows with the smallest hash of
+    (seed, tree, key).
+
+    One rule for every size.  A row's hashes for all trees are made in place and
+    only those below a threshold become rows, about four times what is needed;
+    should a tree have fewer than ``psi``, the threshold is raised.  The sample
+    depends neither on the threshold nor on the partitioning.
+    """
+    share = min(1.0, 4.0 * psi / max(n, 1))
+    draw = lambda t: F.struct(t.cast("int").alias("tree"), _uniform(F.lit(seed), t, F.col("_k")).alias("u"))
+    while True:
+        hashes = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), draw)
+        limit = F.lit(share)
+        below = F.filter(hashes, lambda h: h["u"] < limit)
+        rows = df.select(key.alias("_k"), "x").select("_k", "x", F.explode(below).alias("h")).select("_k", "x", "h.tree", "h.u")
+        rn = F.row_number().over(Window.partitionBy("tree").orderBy("u", "_k"))
+        sample = rows.withColumn("_rn", rn).filter(F.col("_rn") <= psi).select("tree", "u", "x")
+        # bounded (n_trees * psi rows): written once to the shared checkpoint dir, then reused
+        sample = sample.checkpoint(eager=True)
+        if share >= 1.0 or sample.count() == n_trees * psi:
+            return sample
+        share = min(1.0, 4.0 * share)
 
 
 def fit_iforest(
@@ -184,18 +182,19 @@ def fit_iforest(
     ``contamination='auto'`` puts the class boundary at score 0.5; a number
     ``c`` puts it at the ``1 - c`` quantile of the training scores.
     """
-    from tidemark.session import checkpoint_dir
+    from tidemark.session import checkpoint_dir, scratch_path
 
     checkpoint_dir(df.sparkSession)  # the bounded sample is checkpointed to the shared folder
     features = list(features)
     key = F.xxhash64(*[F.col(c) for c in (key_cols or features)])
     # The projected vectors are read up to three times (count, sample, contamination
-    # scores): keep them for the duration of the fit, spilling to disk when large.
-    data = df.select(key.alias("_key"), _vector(features, default).alias("x")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # scores): written once, so a lost executor costs a re-read and no executor memory is held.
+    path = scratch_path(df.sparkSession, "training-vectors")
+    data = df.select(key.alias("_key"), _vector(features, default).alias("x"))
+    data.write.parquet(path)
+    data = df.sparkSession.read.schema(data.schema).parquet(path)
     n = data.count()
     if n == 0:
-        data.unpersist()
         raise ValueError("cannot fit an isolation forest on an empty frame")
     psi_eff = int(min(psi, n))
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
@@ -227,7 +226,6 @@ def fit_iforest(
         scored = score(data.select("x"), model, vector_col="x")
         q = scored.agg(F.percentile_approx("anomaly_score", 1.0 - c, 1_000_000).alias("q")).first()["q"]
         model.offset = float(q)
-    data.unpersist()
     return model
 
 
@@ -433,7 +431,7 @@ def save_model(model: IForestModel, path: str, aliases: Sequence[str] = ("latest
     model.nodes.withColumn("version", F.lit(model.version)).write.mode("overwrite").partitionBy(
         "version").option("partitionOverwriteMode", "dynamic").parquet(f"{root}/nodes")
     meta = spark.createDataFrame([(model.version, json.dumps(model.metadata()))], "version string, metadata string")
-    meta.write.mode("append").parquet(f"{root}/metadata")
+    meta.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{root}/metadata")
     for a in aliases:
         set_alias(spark, root, a, model.version)
 
@@ -453,7 +451,7 @@ def load_model(spark: SparkSession, path: str, version: str = "latest") -> IFore
     aliases = spark.read.parquet(f"{root}/aliases")
     hit = aliases.filter(F.col("alias") == version).orderBy(F.col("set_at").desc()).select("version").first()
     ver = hit["version"] if hit else version
-    meta_row = spark.read.parquet(f"{root}/metadata").filter(F.col("version") == ver).first()
+    meta_row = spark.read.schema("metadata string, version string").parquet(f"{root}/metadata").filter(F.col("version") == ver).first()
     if meta_row is None:
         raise FileNotFoundError(f"model version {ver!r} not found under {root}")
     meta = json.loads(meta_row["metadata"])

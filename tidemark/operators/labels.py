@@ -51,8 +51,11 @@ def with_score(labeled: DataFrame, score: Column) -> DataFrame:
 
 
 def apply_scores(labeled: DataFrame, scores: DataFrame, keys: tuple[str, ...] = ("pool_id", "hour_ts")) -> DataFrame:
-    """Write scores back onto labelled rows: left join, new score wins, old kept otherwise (J-6)."""
-    s = scores.select(*keys, F.col("anomaly_score").alias("_new_score"))
+    """Write scores back onto labelled rows: left join, new score wins, old kept otherwise (J-6).
+
+    A key scored more than once takes its largest score, so no row is multiplied.
+    """
+    s = scores.groupBy(*keys).agg(F.max("anomaly_score").alias("_new_score"))
     out = labeled.join(s, list(keys), "left")
     out = out.withColumn("anomaly_score", F.coalesce("_new_score", "anomaly_score")).drop("_new_score")
     return out.select(*labeled.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import as_double, fill_default
+from tidemark.operators.maintenance import one_per_key
 from tidemark.schemas import FEATURES
 
 
@@ -18,9 +19,9 @@ def to_feature_values(df: DataFrame, features: Sequence[str] = FEATURES) -> Data
 
 
 def latest_values(values: DataFrame, entity: str = "entity_id", ts: str = "feature_timestamp") -> DataFrame:
-    """Newest row per entity (O-2) as an aggregation, so a busy entity is combined map-side."""
+    """Newest row per entity (O-2) as an aggregation, so a busy entity is combined map-side; ties go by a hash of the row."""
     others = [c for c in values.columns if c not in (entity,)]
-    out = values.groupBy(entity).agg(F.max_by(F.struct(*[F.col(c) for c in others]), F.col(ts)).alias("_r"))
+    out = values.groupBy(entity).agg(F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(F.col(ts), F.xxhash64(*others))).alias("_r"))
     return out.select(entity, "_r.*")
 
 
@@ -63,7 +64,7 @@ def predict_ids(requests: DataFrame, scores: DataFrame, ids_col: str = "pool_ids
     """Gateway shape: each request's ``pool_ids`` -> one row per id in request order with its
     ``anomaly_score`` (0 when unknown) and ``is_anomaly`` (I-9)."""
     exploded = requests.select(request_col, F.posexplode(ids_col).alias("position", "pool_id"))
-    s = scores.select("pool_id", "anomaly_score", "is_anomaly")
+    s = one_per_key(scores.select("pool_id", "anomaly_score", "is_anomaly"), ("pool_id",))
     out = exploded.join(s, "pool_id", "left")
     return out.select(
         request_col,

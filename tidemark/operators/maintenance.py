@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import ts_literal
 from tidemark.operators.staging import lookback_days
 
 
@@ -27,97 +26,97 @@ def dedup_latest(df: DataFrame, keys: Sequence[str] = ("dex_protocol", "pool_id"
     return out.select(*keys, "_row.*").select(*df.columns)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the newest ``load_ts`` if there is that column, ties by a hash of the row."""
+    if "load_ts" in df.columns and "load_ts" not in keys:
+        return dedup_latest(df, keys, "load_ts")
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    row = F.struct(*[F.col(c) for c in others])
+    out = df.groupBy(*keys).agg(F.max_by(row, F.xxhash64(*[F.col(c) for c in others])).alias("_row"))
+    return out.select(*keys, "_row.*").select(*df.columns)
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("pool_id", "hour_ts")) -> DataFrame:
     """Merge on a unique key: matched rows are replaced, new ones inserted (V-2, V-5).
 
-    An anti join plus a union; AQE broadcasts the update keys only when their
+    Updates that give a key more than once count once: the newest ``load_ts``
+    wins if they have one, else the row with the largest hash.  An anti join plus a union; AQE broadcasts the update keys only when their
     measured size is under the broadcast threshold, else it sort-merges.
     """
+    updates = one_per_key(updates, keys)
     kept = target.join(updates.select(*keys), list(keys), "left_anti")
     return kept.unionByName(updates.select(*target.columns))
 
 
-# Fixed bound: a day-partitioned table gains one partition per calendar day, so
-# the days an update touches are bounded by its time span, not its row count.
-# Above this many (over 50 years of days) the read falls back to a semi-join.
-MAX_TOUCHED_PARTITIONS = 20_000
-
+def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hour_date") -> DataFrame:
+    """The partitions of the table at ``path`` that ``updates`` touches.
 
-def touched_partitions(df: DataFrame, partition_col: str) -> list | None:
-    """Distinct partition values of ``df`` (a calendar-bounded list), ``None`` above the bound."""
-    rows = df.select(partition_col).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_TOUCHED_PARTITIONS:
-        return None
-    return [r[0] for r in rows]
+    The touched days are a literal list (one entry per calendar day between the
+    first and the last update), so the scan prunes partitions at planning time
+    whatever the size estimate of ``updates``.
+    """
+    days = [r[0] for r in updates.select(partition_col).distinct().collect()]
+    return spark.read.parquet(path).filter(F.col(partition_col).isin(days))
 
 
-def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hour_date",
-                 values: list | None = None) -> DataFrame:
-    """The partitions of the table at ``path`` that ``updates`` touches.
+def write_days(df: DataFrame, path: str, mode: str, partition_col: str = "hour_date") -> None:
+    """Write a day-partitioned table: days balanced over tasks, files sorted by series so row groups can be skipped.
 
-    The touched values are a literal list, so the scan prunes partitions at
-    planning time whatever the size estimate of ``updates`` (a semi-join only
-    prunes when the planner decides to broadcast its build side).  ``values``
-    may be passed when already collected.
+    ``overwrite`` replaces only the days that ``df`` holds (the option is the
+    write's own; the session setting is left alone).
     """
-    target = spark.read.parquet(path)
-    if values is None:
-        values = touched_partitions(updates, partition_col)
-    if values is None:
-        return target.join(updates.select(partition_col).distinct(), partition_col, "left_semi")
-    return target.filter(F.col(partition_col).isin(values))
+    order = [c for c in ("pool_id", "dex_protocol", "hour_ts") if c in df.columns]
+    (df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *order)
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
 def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("pool_id", "hour_ts"),
-                 partition_col: str = "hour_date", ts_col: str = "hour_ts") -> None:
-    """Apply ``upsert`` to a day-partitioned Parquet table in place.
-
-    Only partitions touched by ``updates`` are read and rewritten (dynamic
-    partition overwrite).  The merged partitions are first written to a
-    staging folder under the shared checkpoint dir, so the target is never
-    read and overwritten by the same plan.  ``updates`` is computed once and
-    kept (spilling to disk) for the touched-day list and the merge.
+                 partition_col: str = "hour_date", ts_col: str = "hour_ts", deletes: DataFrame | None = None) -> None:
+    """Apply ``upsert`` to a day-partitioned Parquet table in place; rows with the keys of ``deletes`` go first.
+
+    Only partitions touched by the updates or deletes are read and rewritten
+    (dynamic partition overwrite).  The merged partitions are first written to
+    a staging folder under the shared checkpoint dir, so the target is never
+    read and overwritten by the same plan.  The updates are written there too
+    and read for both uses: nothing is held in executor memory.  A day that
+    loses its only rows to ``deletes`` keeps them: an overwrite by days has
+    nothing to replace them with.
     """
-    from pyspark.storagelevel import StorageLevel
-
     from tidemark.session import scratch_path
 
     spark = updates.sparkSession
-    upd = updates if partition_col in updates.columns else updates.withColumn(partition_col, F.to_date(ts_col))
+    dated = lambda df: df if partition_col in df.columns else df.withColumn(partition_col, F.to_date(ts_col))
+    upd = one_per_key(dated(updates), keys)
     if not table_exists(spark, spark_path):
-        upd.write.partitionBy(partition_col).parquet(spark_path)
+        write_days(upd, spark_path, "append", partition_col)
         return
-    upd = upd.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        values = touched_partitions(upd, partition_col)
-        if values == []:  # an empty update (e.g. a replayed micro-batch) touches nothing
-            return
-        current = read_touched(spark, spark_path, upd, partition_col, values=values)
-        merged = upsert(current, upd.select(*current.columns), keys)
-        stage = scratch_path(spark, "upsert")
-        merged.write.partitionBy(partition_col).parquet(stage)
-        schema = merged.schema
-    finally:
-        upd.unpersist()
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged = spark.read.schema(schema).parquet(stage).select(*schema.fieldNames())
-        staged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(
-            spark_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    stage = scratch_path(spark, "upsert")
+    write_days(upd, f"{stage}/updates", "append", partition_col)
+    upd = spark.read.schema(upd.schema).parquet(f"{stage}/updates")
+    gone = upd.select(partition_col, *keys)
+    if deletes is not None:
+        gone = gone.unionByName(dated(deletes).select(partition_col, *keys).distinct())
+    current = read_touched(spark, spark_path, gone, partition_col)
+    kept = current.join(gone.select(*keys), list(keys), "left_anti")
+    merged = kept.unionByName(upd.select(*current.columns))
+    merged.write.parquet(f"{stage}/merged")
+    staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
+    write_days(staged, spark_path, "overwrite", partition_col)
 
 
 def table_exists(spark, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet table."""
+    """True when ``path`` holds a readable Parquet table; other errors than a missing or empty folder are raised."""
     from pyspark.errors import AnalysisException
 
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def prune(df: DataFrame, as_of: Column | str, days: int, col: str = "hour_ts") -> DataFrame:
@@ -125,7 +124,7 @@ def prune(df: DataFrame, as_of: Column | str, days: int, col: str = "hour_ts") -
     return lookback_days(df, as_of, days, col=col, by_date=True)
 
 
-def page(df: DataFrame, first: int, skip: int = 0, order: Sequence[str] = ("hour_ts", "pool_id")) -> DataFrame:
+def page(df: DataFrame, first: int, skip: int = 0, order: Sequence[str] = ("hour_ts", "pool_id", "dex_protocol")) -> DataFrame:
     """Ordered ``first``/``skip`` slice (O-4).  The order must be total (unique key) to page stably."""
     return df.orderBy(*order).offset(skip).limit(first)
 
@@ -157,11 +156,6 @@ def import_stats(values: DataFrame, features: Sequence[str], entity: str = "enti
     )
 
 
-def high_water_value(target: DataFrame, col: str = "hour_ts") -> DataFrame:
-    """``MAX(col)`` of a table as a one-row frame (A-9)."""
-    return target.agg(F.coalesce(F.max(col), ts_literal("1900-01-01 00:00:00")).alias("high_water"))
-
-
 def materialize(df: DataFrame, how: str, name: str | None = None, path: str | None = None,
                 keys: Sequence[str] = ("pool_id", "hour_ts")) -> DataFrame:
     """Full rebuild (``table``), ``view`` or ``incremental`` upsert of a layer (V-6)."""
@@ -174,7 +168,9 @@ def materialize(df: DataFrame, how: str, name: str | None = None, path: str | No
         if path is None:
             raise ValueError("table materialization needs a path")
         out = df if "hour_date" in df.columns else df.withColumn("hour_date", F.to_date("hour_ts"))
-        out.hint("rebalance", "hour_date").write.mode("overwrite").partitionBy("hour_date").parquet(path)
+        order = [c for c in ("pool_id", "dex_protocol", "hour_ts") if c in out.columns]
+        (out.hint("rebalance", "hour_date").sortWithinPartitions("hour_date", *order)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("hour_date").parquet(path))
         return spark.read.parquet(path)
     if how == "incremental":
         if path is None:

@@ -27,24 +27,6 @@ def latest_status(labeled: DataFrame, as_of: Column | str, hours: int = 24) -> D
     return recent.withColumn("rn", rn).filter(F.col("rn") == 1).drop("rn")
 
 
-DASHBOARD_COLUMNS = [
-    "pool_id",
-    "hour_ts",
-    "volume_usd",
-    "tvl_usd",
-    "liquidity",
-    "anomaly_score",
-    "status",
-    "needs_alert",
-    "anomaly_hours",
-    "total_hours",
-    "anomaly_rate_pct",
-    "avg_volume",
-    "avg_tvl",
-    "max_anomaly_score",
-]
-
-
 def anomaly_dashboard(labeled: DataFrame, as_of: Column | str, days: int = 7, keep: int = 168,
                       strategy: str = "window") -> DataFrame:
     """7-day per-pool detail with summary columns and an alert flag (M-5).

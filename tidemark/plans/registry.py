@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.operators.features import high_water, incremental_features, pool_features
 from tidemark.operators.lookup import predict_ids, read_features, to_feature_values
 from tidemark.operators.maintenance import check_not_null, dedup_latest, import_stats, page, prune, upsert
-from tidemark.operators.labels import apply_scores, label, pool_percentile, with_score
+from tidemark.operators.labels import label, pool_percentile, with_score
 from tidemark.operators.staging import flag_negative, stage_pool_hourly
 from tidemark.operators.views import anomaly_dashboard, anomaly_timeseries, latest_status
 from tidemark.plans import oracle
@@ -120,14 +120,14 @@ def q_feature_export(spark, sf_dir):
 
 
 def _store_values(spark, sf_dir):
-    """A week of hourly exports, as the store would hold them."""
-    from tidemark.operators.staging import lookback_days
-
-    return to_feature_values(lookback_days(scored_labeled(spark, sf_dir), AS_OF, 7))
+    """All hourly exports, as the store holds them: a read has no time limit."""
+    return to_feature_values(scored_labeled(spark, sf_dir))
 
 
 def _all_pool_ids(spark, sf_dir):
-    return pool_hours(spark, sf_dir).select("pool_id").distinct()
+    """Every pool, and as many ids without rows as there are suppliers."""
+    absent = load_table(spark, sf_dir, "supplier").select(F.concat(F.lit("absent_"), F.col("s_suppkey").cast("string")).alias("pool_id"))
+    return pool_hours(spark, sf_dir).select("pool_id").distinct().unionByName(absent)
 
 
 def q_latest_features(spark, sf_dir):
@@ -139,13 +139,21 @@ def q_feature_lookup(spark, sf_dir):
 
 
 MARK = "2024-01-25 00:00:00"
+LATER = "2024-02-01 00:00:00"
 
 
 def q_incremental_features(spark, sf_dir):
+    """The rows up to a mark written as a table; the mark is read from it, and the rest computed and added (V-1, V-4)."""
+    from tidemark.operators.maintenance import write_days
+    from tidemark.session import scratch_path
+
     stg = staged(spark, sf_dir)
-    target = pool_features(stg.filter(F.col("hour_ts") < F.lit(MARK).cast("timestamp_ntz")), as_of=AS_OF)
+    path = scratch_path(spark, "features")
+    older = pool_features(stg.filter(F.col("hour_ts") < F.lit(MARK).cast("timestamp_ntz")), as_of=AS_OF)
+    write_days(older.withColumn("hour_date", F.to_date("hour_ts")), path, "append")
+    target = spark.read.parquet(path).drop("hour_date")
     new = incremental_features(stg, target, as_of=AS_OF)
-    return round6(target.unionByName(new))
+    return round6(target.select(*older.columns).unionByName(new))
 
 
 def q_upsert_labeled(spark, sf_dir):
@@ -229,22 +237,41 @@ def q_raw_json_fields(spark, sf_dir):
 
 def q_raw_table_ingest(spark, sf_dir):
     """Batch ingest: landing JSONL (S-15) -> pinned-schema scan (S-2) -> REQUIRED split (S-3) ->
-    day-partitioned raw table per protocol (S-4) -> both tables as one source (S-6) -> staging (M-1)."""
+    day-partitioned raw table per protocol (S-4) -> all tables as one source (S-6) -> staging (M-1)."""
     from tidemark.session import scratch_path
     from tidemark.sources.raw import append_raw, enforce_required, read_raw, read_raw_jsonl, write_landing
 
     inbox = scratch_path(spark, "landing")
     tables = scratch_path(spark, "raw-tables")
     write_landing(raw_envelope(spark, sf_dir), inbox)
+    good, _ = enforce_required(read_raw_jsonl(spark, inbox))
     paths = {}
-    for proto in ("uniswap", "sushiswap"):
-        good, rejected = enforce_required(read_raw_jsonl(spark, f"{inbox}/protocol={proto}"))
+    for (proto,) in good.select("dex_protocol").distinct().collect():  # one raw table per protocol that came in
         paths[proto] = f"{tables}/{proto}"
-        append_raw(good, paths[proto])
+        append_raw(good.filter(F.col("dex_protocol") == proto), paths[proto])
     raw = read_raw(spark, paths).drop("hour_date")
     return round6(stage_pool_hourly(raw, as_of=AS_OF))
 
 
+def q_raw_rejects(spark, sf_dir):
+    """Rows that fail the REQUIRED check (S-3), landed and read back: pool-hours of one event come without
+    their record, those of two without their pool id."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.raw import enforce_required, read_raw_jsonl, write_landing
+
+    inbox = scratch_path(spark, "landing")
+    hours = pool_hours(spark, sf_dir, signed=True)
+    raw = to_raw(pool_hour_records(hours), F.col("protocol"), load_ts="load_ts")
+    few = hours.filter("tx_count <= 2").select("dex_protocol", "pool_id", "hour_ts", "tx_count")
+    raw = raw.join(few, ["dex_protocol", "pool_id", "hour_ts"], "left")
+    broken = raw.withColumns({"raw": F.when(F.coalesce("tx_count", F.lit(0)) != 1, F.col("raw")),
+                              "pool_id": F.when(F.coalesce("tx_count", F.lit(0)) != 2, F.col("pool_id"))}).drop("tx_count")
+    write_landing(broken, inbox)
+    _, rejected = enforce_required(read_raw_jsonl(spark, inbox))
+    return rejected.groupBy("dex_protocol", "hour_ts").agg(
+        F.count_if(F.col("raw").isNull()).alias("without_record"), F.count_if(F.col("pool_id").isNull()).alias("without_pool"))
+
+
 def q_labeled_table_upsert(spark, sf_dir):
     """Labelled table written by day (S-12), then the last 7 days' scores applied in place with
     an incremental materialization (V-6 -> V-2/V-5 on touched days only)."""
@@ -296,9 +323,7 @@ def q_iforest_decisions(spark, sf_dir):
 
     lab = labeled(spark, sf_dir)
     model = _model(spark, sf_dir, contamination=0.1)
-    scores = score(lab.select("pool_id", "hour_ts", *FEATURES), model)
-    written = apply_scores(lab, scores.select("pool_id", "hour_ts", "anomaly_score"))
-    out = predict_class(decide(written, threshold=3.0), model)
+    out = predict_class(decide(score(lab.select("pool_id", "hour_ts", *FEATURES), model), threshold=3.0), model)
     return round6(out.select("pool_id", "hour_ts", "anomaly_score", "is_anomaly", "threshold", "prediction"))
 
 
@@ -361,7 +386,7 @@ def _stream_runs(spark, runs: list[DataFrame], build) -> None:
 
 def q_stream_hourly_stats(spark, sf_dir):
     from tidemark.session import scratch_path
-    from tidemark.streaming.streams import stage_stream, stream_dedup, stream_hourly_stats, stream_raw
+    from tidemark.streaming.streams import heartbeat, stage_stream, stream_dedup, stream_hourly_stats, stream_raw
 
     out = scratch_path(spark, "stream-hourly-stats")
 
@@ -370,7 +395,8 @@ def q_stream_hourly_stats(spark, sf_dir):
         return (stats.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
                 .outputMode("append"))
 
-    _stream_runs(spark, _landing_runs(spark, sf_dir), build)
+    # the last drop is a heartbeat a day later: it closes every hour of the data
+    _stream_runs(spark, [*_landing_runs(spark, sf_dir), heartbeat(spark, LATER)], build)
     return round6(spark.read.parquet(out))
 
 
@@ -404,6 +430,24 @@ def q_stream_features(spark, sf_dir):
     return round6(out.select(*[c for c in features(spark, sf_dir).columns]))
 
 
+def q_stream_labeled(spark, sf_dir):
+    """Features and labels of drops that overlap, come late and come again: the protocols apart, the later half first."""
+    from tidemark.session import scratch_path
+    from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
+
+    target, marks = scratch_path(spark, "stream-features"), scratch_path(spark, "stream-labeled")
+
+    def build(inbox, ckpt):
+        body = features_batch(target, as_of=AS_OF, labeled_path=marks)
+        return stage_stream(stream_raw(spark, inbox)).writeStream.foreachBatch(body).option("checkpointLocation", ckpt)
+
+    raw = raw_envelope(spark, sf_dir)
+    one, late = F.col("dex_protocol") == "uniswap_v3", F.col("hour_ts") >= F.lit(MARK).cast("timestamp_ntz")
+    drops = [raw.filter(one & late), raw.filter(~one), raw.filter(one).unionByName(raw.filter(one & ~late))]
+    _stream_runs(spark, drops, build)
+    return round6(spark.read.parquet(marks).select(*labeled(spark, sf_dir).columns))
+
+
 def q_stream_alerts(spark, sf_dir):
     from tidemark.session import scratch_path
     from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
@@ -449,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "predict_ids": q_predict_ids,
     "raw_json_fields": q_raw_json_fields,
     "raw_table_ingest": q_raw_table_ingest,
+    "raw_rejects": q_raw_rejects,
     "labeled_table_upsert": q_labeled_table_upsert,
     "supplier_day_features": q_supplier_day_features,
     "supplier_day_labeled": q_supplier_day_labeled,
@@ -460,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_stats": q_stream_hourly_stats,
     "stream_dedup_latest": q_stream_dedup_latest,
     "stream_features": q_stream_features,
+    "stream_labeled": q_stream_labeled,
     "stream_alerts": q_stream_alerts,
 }
 

@@ -29,9 +29,6 @@ FEATURES: list[str] = [
 # Integer-typed members of the feature vector.
 INT_FEATURES: frozenset[str] = frozenset({"tx_count", "hour_of_day", "day_of_week"})
 
-# Protocol names as they appear in the data.
-PROTOCOLS: list[str] = ["uniswap_v3", "sushiswap_v3"]
-
 # Per-protocol JSON field map.  Each staging column is the first
 # non-null of its candidate paths; the name the API actually returns comes
 # first, the older/alternative name second.
@@ -50,55 +47,6 @@ FIELD_MAP: dict[str, dict[str, list[str]]] = {
     },
 }
 
-TOKEN = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("symbol", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("decimals", T.StringType()),
-    ]
-)
-
-POOL = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("token0", TOKEN),
-        T.StructField("token1", TOKEN),
-        T.StructField("feeTier", T.StringType()),
-    ]
-)
-
-# API record.  Numbers arrive as strings (some exceed DECIMAL(38)), except the epoch.
-POOL_HOUR_RECORD = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("periodStartUnix", T.LongType()),
-        T.StructField("pool", POOL),
-        *[
-            T.StructField(name, T.StringType())
-            for name in [
-                "liquidity",
-                "sqrtPrice",
-                "token0Price",
-                "token1Price",
-                "tick",
-                "feeGrowthGlobal0X128",
-                "feeGrowthGlobal1X128",
-                "tvlUSD",
-                "volumeToken0",
-                "volumeToken1",
-                "volumeUSD",
-                "feesUSD",
-                "txCount",
-                "open",
-                "high",
-                "low",
-                "close",
-            ]
-        ],
-    ]
-)
-
 # Raw landing row as written to JSONL: the record stays JSON text.
 RAW_JSONL = T.StructType(
     [
@@ -152,5 +100,4 @@ FEATURE_VALUES = T.StructType(
 # Landing-file timestamp text, ISO-8601 UTC, fraction optional.
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"
 
-EPOCH = "1970-01-01 00:00:00"
 FAR_PAST = "1900-01-01 00:00:00"

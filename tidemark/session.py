@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -39,12 +40,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) is a folder chosen and set.
+    Only a local master may leave it unset (tests): then a folder is chosen and
+    set.  Any other master must name a folder that all executors share.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        master = spark.sparkContext.master
+        if not master.split("[")[0] == "local":
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if not spark.sparkContext.getCheckpointDir():
@@ -58,3 +63,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that Python workers can import it wherever they start."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tidemark-package-"), "tidemark.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("tidemark", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    context._tidemark_shipped = True

@@ -104,7 +104,8 @@ def write_landing(df: DataFrame, path: str, files_per_partition: int | None = No
     """Landing layout ``<path>/protocol=<p>/date=<yyyy-mm-dd>/part-*`` of JSON lines (S-15).
 
     Each line is ``{"raw": <record>, "pool_id": .., "dex_protocol": .., "hour_ts": .., "load_ts": ..}``
-    with the record spliced in as JSON (not re-parsed).  Rows are rebalanced
+    with the record spliced in as JSON (not re-parsed); a missing record is JSON null, so the
+    row comes back and ``enforce_required`` can reject it.  Rows are rebalanced
     on (protocol, date) by default, so a folder gets few files instead of one
     per writing task and AQE splits a (protocol, date) that holds a large
     share of a run over several tasks; ``files_per_partition`` fixes the
@@ -116,7 +117,7 @@ def write_landing(df: DataFrame, path: str, files_per_partition: int | None = No
         F.date_format("hour_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("hour_ts"),
         F.date_format("load_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("load_ts"),
     ))
-    line = F.concat(F.lit('{"raw":'), F.col("raw"), F.lit(","), F.expr("substring(_rest, 2)"))
+    line = F.concat(F.lit('{"raw":'), F.coalesce(F.col("raw"), F.lit("null")), F.lit(","), F.expr("substring(_rest, 2)"))
     out = df.select(
         F.regexp_replace("dex_protocol", "_v3$", "").alias("protocol"),
         F.to_date("hour_ts").alias("date"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.maintenance import write_days
 from tidemark.operators.lookup import to_feature_values
 from tidemark.operators.staging import lookback_days
 from tidemark.schemas import FEATURE_VALUES
@@ -33,8 +34,10 @@ def has_files(spark: SparkSession, pattern: str) -> bool:
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
         return len(files.select("path").limit(1).collect()) > 0
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def import_feature_values(spark: SparkSession, pattern: str) -> DataFrame | None:
@@ -51,17 +54,7 @@ def training_slice(labeled: DataFrame, as_of: Column | str, days: int = 30) -> D
 
 def write_labeled(df: DataFrame, path: str) -> None:
     """Day-partitioned labelled table; rewriting a day replaces only that day (S-12)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # rebalanced by day: AQE splits a heavy day over several write tasks and packs light ones
-        (df.withColumn("hour_date", F.to_date("hour_ts"))
-           .hint("rebalance", "hour_date")
-           .sortWithinPartitions("hour_date", "pool_id", "hour_ts")
-           .write.mode("overwrite").partitionBy("hour_date").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    write_days(df.withColumn("hour_date", F.to_date("hour_ts")), path, "overwrite")
 
 
 def read_labeled(spark: SparkSession, path: str) -> DataFrame:

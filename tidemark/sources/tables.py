@@ -40,10 +40,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def as_of() -> Column:
-    return ts_literal(AS_OF)
-
-
 def _protocol(user_id: Column) -> Column:
     return F.when(user_id % 2 == 0, F.lit("uniswap_v3")).otherwise(F.lit("sushiswap_v3"))
 

@@ -17,14 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalar import instant_to_ntz, ts_literal
-from tidemark.operators.features import (
-    incremental_features,
-    pool_features,
-    series_window,
-    stored_history,
-    stored_mark,
-)
-from tidemark.operators.maintenance import dedup_latest, read_touched, table_exists, write_upsert
+from tidemark.operators.features import pool_features, series_window, stored_history
+from tidemark.operators.labels import label
+from tidemark.operators.maintenance import dedup_latest, one_per_key, read_touched, table_exists, write_upsert
 from tidemark.schemas import ISO_MICROS, RAW_JSONL
 from tidemark.session import scratch_path
 
@@ -60,30 +55,29 @@ def stream_dedup(df: DataFrame, keys: Sequence[str] = ("dex_protocol", "pool_id"
 def stream_hourly_stats(df: DataFrame, time_col: str = "event_time", delay: str | None = WATERMARK) -> DataFrame:
     """Tumbling one-hour fleet KPIs, emitted once the watermark closes the hour (T-3).
 
-    Input rows are deduplicated pool-hours, so ``active_pools`` is their count
-    (an exact distinct count, which streams refuse to plan).  Pass
-    ``delay=None`` when an upstream operator (``stream_dedup``) already set
-    the watermark.
+    ``active_pools`` counts distinct ids, kept as a set in the hour's state
+    (streams refuse a distinct count).  Labelled rows also give the series'
+    ``anomaly_count`` and ``avg_anomaly_score``.  Pass ``delay=None`` when an
+    upstream operator (``stream_dedup``) already set the watermark.  An hour
+    that no later row has closed yet is held back; ``heartbeat`` closes it.
     """
+    labelled = {"is_anomaly", "anomaly_score"} <= set(df.columns)
+    more = [F.count_if("is_anomaly").alias("anomaly_count"), F.avg("anomaly_score").alias("avg_anomaly_score")] if labelled else []
     flagged = "is_anomaly" if "is_anomaly" in df.columns else "has_negative_values"
     src = df if delay is None else df.withWatermark(time_col, delay)
     agg = (
         src
         .groupBy(F.window(time_col, "1 hour").alias("w"))
         .agg(
-            F.count(F.lit(1)).alias("active_pools"),
+            F.size(F.collect_set("pool_id")).cast("bigint").alias("active_pools"),
             F.sum("volume_usd").alias("total_volume"),
             F.sum("tvl_usd").alias("total_tvl"),
             F.sum(F.when(F.col(flagged), 1).otherwise(0)).cast("bigint").alias("flagged_count"),
+            *more,
         )
     )
     return agg.select(instant_to_ntz(F.col("w.start")).alias("hour_ts"), "active_pools", "total_volume",
-                      "total_tvl", "flagged_count")
-
-
-def _writer(df: DataFrame, name: str, checkpoint: str | None) -> DataStreamWriter:
-    ckpt = checkpoint or scratch_path(df.sparkSession, f"stream-{name}")
-    return df.writeStream.option("checkpointLocation", ckpt).queryName(name)
+                      "total_tvl", "flagged_count", *(["anomaly_count", "avg_anomaly_score"] if labelled else []))
 
 
 def run_available_now(writer: DataStreamWriter, timeout: float | None = None) -> StreamingQuery:
@@ -116,73 +110,92 @@ def upsert_latest_batch(path: str, keys: Sequence[str] = ("dex_protocol", "pool_
     return run
 
 
+KEYS = ("dex_protocol", "pool_id", "hour_ts")
 HISTORY_COLUMNS = ["dex_protocol", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity", "tx_count"]
 
 
 def features_batch(target_path: str, as_of: Column | str | None = None, model=None,
-                   alerts_path: str | None = None, threshold: float | None = None) -> Callable:
-    """``foreachBatch`` body for hourly features (T-4) and alerts (T-5).
-
-    Each micro-batch of staged rows gets its features with a 24-row warm-up
-    read from the target table (V-4), is upserted by (pool_id, hour_ts), and,
-    with a model, every pool whose newest written row is anomalous gets an
-    alert row (the dashboard's ``needs_alert`` rule, T-5).  Rows
-    not newer than the target's high-water mark are skipped, as in the
-    reference's incremental model.  The mark comes from the newest day
-    partition and the warm-up from the last days (``stored_history``), so an
-    hourly batch does not scan the whole feature table.
+                   alerts_path: str | None = None, threshold: float | None = None,
+                   labeled_path: str | None = None, relabel: bool = True) -> Callable:
+    """``foreachBatch`` body for hourly features (T-4), labels and alerts (T-5).
+
+    Rows may come late, twice, or for some series only.  Of a key given more
+    than once in the batch the newest ``load_ts`` counts, and a key that is
+    stored already is replaced (or removed, if its new row fails the quality
+    filter).  Each touched series is computed anew from its earliest touched
+    hour, with the stored rows before it as warm-up, and upserted by key; so
+    the table holds what one run over all rows would give, whatever the order
+    and the cut of the drops.
+
+    With ``labeled_path`` the labelled table is kept as well: a new row can
+    move its series' percentile, so all rows of the touched series are labelled
+    again, or, with ``relabel=False``, only the rows computed in this batch.
+    With a model, every pool whose newest written row is anomalous gets an
+    alert row (the dashboard's ``needs_alert`` rule, T-5).
     """
-    from pyspark.storagelevel import StorageLevel
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        staged = batch.drop("event_time").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            mark = stored_mark(spark, target_path) if table_exists(spark, target_path) else None
-            if mark is None:
-                feats = pool_features(staged, as_of=as_of, lookback=None)
-            else:
-                pools = staged.select("pool_id").distinct()
-                history = stored_history(spark, target_path, pools, mark.date()).select(
-                    *HISTORY_COLUMNS, F.lit(False).alias("has_negative_values"),
-                    F.lit(None).cast("timestamp_ntz").alias("load_ts"))
-                feats = incremental_features(history.unionByName(staged.select(*history.columns)), None,
-                                             as_of=as_of, mark=ts_literal(mark))
-            write_upsert(target_path, feats, ("pool_id", "hour_ts"))
-            if model is not None and alerts_path is not None:
-                from tidemark.operators.iforest import decide, score
-
-                thr = model.offset if threshold is None else threshold
-                # read back what was written for this batch (the mark moved): its days, then its keys
-                dated = staged.withColumn("hour_date", F.to_date("hour_ts"))
-                written = read_touched(spark, target_path, dated).drop("hour_date").join(
-                    staged.select("pool_id", "hour_ts"), ["pool_id", "hour_ts"], "left_semi")
-                # an alert is raised when a pool's newest row is anomalous (a catch-up batch
-                # holding many hours of a pool alerts at most once for it)
-                newest = F.row_number().over(series_window(descending=True))
-                latest = written.withColumn("_rn", newest).filter(F.col("_rn") == 1).drop("_rn")
-                alerts = decide(score(latest, model), thr).filter(F.col("is_anomaly"))
-                out = alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold")
-                write_batch_partition(out.withColumn("batch_id", F.lit(batch_id)), alerts_path)
-        finally:
-            staged.unpersist()
+        reprocess(batch.drop("event_time"), batch_id)
+
+    def reprocess(staged: DataFrame, batch_id: int) -> None:
+        spark = staged.sparkSession
+        kept = scratch_path(spark, "stream-batch")
+        staged = one_per_key(staged, KEYS)
+        staged.write.parquet(kept)  # read several times below; never held in executor memory
+        staged = spark.read.schema(staged.schema).parquet(kept)
+        since = staged.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
+        rows = staged.select(*HISTORY_COLUMNS, "has_negative_values")
+        if table_exists(spark, target_path):
+            history = stored_history(spark, target_path, since).select(*HISTORY_COLUMNS, F.lit(False).alias("has_negative_values"))
+            rows = rows.unionByName(history.join(staged.select(*KEYS), list(KEYS), "left_anti"))
+        feats = pool_features(rows, as_of=as_of, lookback=None).join(since, "pool_id").filter("hour_ts >= since").drop("since")
+        feats = feats.select(*pool_features(rows, as_of=as_of, lookback=None).columns)
+        gone = staged.filter("has_negative_values").select(*KEYS)
+        if not table_exists(spark, target_path) and feats.isEmpty():
+            return
+        write_upsert(target_path, feats, KEYS, deletes=gone)
+        touched = since.select("pool_id")
+        if labeled_path is not None:
+            series = spark.read.parquet(target_path).drop("hour_date").join(touched, "pool_id", "left_semi")
+            marks = label(series)
+            if not relabel:
+                marks = marks.join(since, "pool_id").filter("hour_ts >= since").drop("since")
+            write_upsert(labeled_path, marks, KEYS, deletes=gone)
+        if model is not None and alerts_path is not None:
+            from tidemark.operators.iforest import decide, score
+
+            thr = model.offset if threshold is None else threshold
+            # read back what was written for this batch: its days, then its keys
+            dated = staged.withColumn("hour_date", F.to_date("hour_ts"))
+            written = read_touched(spark, target_path, dated).drop("hour_date").join(
+                staged.select(*KEYS), list(KEYS), "left_semi")
+            # an alert is raised when a pool's newest row is anomalous (a catch-up batch
+            # holding many hours of a pool alerts at most once for it)
+            newest = F.row_number().over(series_window(descending=True))
+            latest = written.withColumn("_rn", newest).filter(F.col("_rn") == 1).drop("_rn")
+            alerts = decide(score(latest, model), thr).filter(F.col("is_anomaly"))
+            out = alerts.select("dex_protocol", "pool_id", "hour_ts", "anomaly_score", "threshold")
+            write_batch_partition(out.withColumn("batch_id", F.lit(batch_id)), alerts_path)
 
     return run
 
 
+def heartbeat(spark: SparkSession, hour: str) -> DataFrame:
+    """A raw envelope of no pool at a later hour: landed last, it moves the watermark past all hours before it.
+
+    Its own hour stays open and is never emitted.
+    """
+    return spark.range(1).select(
+        F.lit("{}").alias("raw"), F.lit("-").alias("pool_id"), F.lit("uniswap_v3").alias("dex_protocol"),
+        ts_literal(hour).alias("hour_ts"), ts_literal(hour).alias("load_ts"))
+
+
 def write_batch_partition(df: DataFrame, path: str, col: str = "batch_id") -> None:
     """Write a micro-batch's rows as its own ``batch_id`` partition, replacing it if present.
 
     A micro-batch replayed after a failure rewrites the same partition instead
     of appending a second copy, so the sink is idempotent per batch.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path)
 
 
 def stage_stream(raw_stream: DataFrame) -> DataFrame:
