@@ -35,8 +35,17 @@ HEADLINE = [
     "dedup_latest",
     "upsert_labeled",
     "supplier_day_labeled",
+    "raw_table_ingest",
+    "labeled_table_upsert",
     "iforest_scores",
+    "iforest_decisions",
+    "predict_pools",
+    "hourly_pipeline",
     "stream_hourly_stats",
+    "stream_dedup_latest",
+    "stream_features",
+    "stream_labeled",
+    "stream_alerts",
 ]
 
 

@@ -34,6 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
