@@ -374,8 +374,8 @@ def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs of long lists, between components, that are still plausible; each pair once.
 
     ``rows``: token, one, two (the pair of blocks of a list that meet in this
-    group), block, vid, n, place, component, tokens, parity, sorted by the
-    first three.  A pair counts only in the list of the smallest token
+    group), block, vid, n, place, component, tokens (of the vertex in these
+    lists), parity, places (of the tokens), sorted by the first three.  A pair counts only in the list of the smallest token
     through which the two can meet.
     """
     def pairs(token: int, one: int, two: int, t: pa.Table) -> pa.RecordBatch:
@@ -388,7 +388,7 @@ def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
         shared = often[which] > 1  # only tokens of two rows or more can be common
         kept, column = np.unique(which[shared], return_inverse=True)
         of = np.repeat(np.arange(len(vid)), sizes)
-        at = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[earlier][shared]
+        at = t.column(10).combine_chunks().flatten().to_numpy()[earlier][shared]
         row = of[earlier][shared]
         larger, smaller = np.zeros((len(vid), len(kept)), np.float32), np.zeros((len(vid), len(kept)), np.float32)
         larger[row, column] = 1
@@ -493,8 +493,11 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     left = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "token", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "vid", "place", "component")
-    left = (left.join(met.select("vid", "n", "tokens", "parity"), "vid")
-            .select("token", "one", "two", "block", "vid", "n", "place", "component", "tokens", "parity")
+    # of a vertex's entries only those in these lists matter there
+    own = marked.join(mixed, "token").groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).alias("own"))
+    own = own.select("vid", F.col("own.place").alias("places"), F.col("own.token").alias("tokens"))
+    left = (left.join(met.select("vid", "n", "parity").join(own, "vid"), "vid")
+            .select("token", "one", "two", "block", "vid", "n", "place", "component", "tokens", "parity", "places")
             .repartition("token", "one", "two").sortWithinPartitions("token", "one", "two"))
     across = stored(_across(left, rule), "pairs")
     edges = edges.unionByName(_verify(across, texts, rule, size))
