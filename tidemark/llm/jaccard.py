@@ -35,8 +35,8 @@ BLOCK, HUBS = 64, 16
 HELD = 4096
 #: Entries of the heavy-hitter table (16 bytes each), and how many one task may propose.
 HEAVY, HEAVY_PER_TASK = 1 << 17, 8192
-#: Bits of a set's parities; a power of two.
-PARITY = 1024
+#: Least and most bits of a set's parity, as powers of two.
+PARITY = (9, 17)
 #: Set sizes for which enumerating subsets is considered.
 SMALL_MOST = 40
 
@@ -202,22 +202,37 @@ def _subset_keys(h: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(names), np.concatenate(of)) if names else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-def parities(h: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For each given row ``PARITY`` bits: whether an odd number of its shingles falls on the bit.
+def parities(h: np.ndarray, at: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """For each given row whether an odd number of its shingles falls on each of its bits, as 64-bit words.
 
     Shingles of both sets cancel out, so two sets differ in at least as many
-    shingles as their parities differ in bits.
+    shingles as their parities differ in bits.  A set has about two to four
+    bits for each shingle; a bit is the low end of a hash, so the two halves of
+    a parity, added, are the parity of half the width.
     """
-    out = np.zeros((len(rows), PARITY // 64), np.int64)
-    for c in range(0, len(rows), 2048):
-        some = rows[c:c + 2048]
-        n = at[some + 1] - at[some]
-        bit = (mix(h[ranges(at[some], n)] + np.uint64(77)) & np.uint64(PARITY - 1)).astype(np.int64)
-        odd = np.bincount(np.repeat(np.arange(len(some)), n) * PARITY + bit, minlength=len(some) * PARITY) & 1
-        out[c:c + 2048] = np.packbits(odd.astype(np.uint8).reshape(len(some), PARITY), axis=1).view(np.int64)
+    n = at[rows + 1] - at[rows]
+    width = 1 << np.clip(np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) + 1, *PARITY)
+    out: list = [None] * len(rows)
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        step = max(1, (1 << 21) // w)
+        for c in range(0, len(own), step):
+            some = own[c:c + step]
+            bit = (mix(h[ranges(at[rows[some]], n[some])] + np.uint64(77)) & np.uint64(w - 1)).astype(np.int64)
+            odd = np.bincount(np.repeat(np.arange(len(some)), n[some]) * w + bit, minlength=len(some) * w) & 1
+            for i, words in zip(some.tolist(), np.packbits(odd.astype(np.uint8).reshape(len(some), w), axis=1).view(np.int64)):
+                out[i] = words
     return out
 
 
+def halved(words: np.ndarray, size: int) -> np.ndarray:
+    """Parities (last axis) brought down to ``size`` words."""
+    while words.shape[-1] > size:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
 def _profile(docs: DataFrame, rule: Threshold, size: int, below: int, heavy, heat) -> DataFrame:
     """One row per document: its set's size, 128-bit signature, index entries and subset keys."""
     shared = docs.sparkSession.sparkContext.broadcast((heavy, heat))
@@ -365,9 +380,20 @@ def _verify(pairs: DataFrame, texts: DataFrame, rule: Threshold, size: int) -> D
 def _plausible(pairs: DataFrame, met: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs whose parities differ in no more bits than linked sets of these sizes may differ in shingles."""
     of = lambda side: met.select(F.col("vid").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
-    bits = F.aggregate(F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    most = F.col("n_a") + F.col("n_b") - 2 * _overlap_column(rule, F.col("n_a"), F.col("n_b"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(bits <= most).select("a", "b")
+    joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "p_a", "p_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            differ = np.zeros(len(n), np.int64)
+            for i in range(len(n)):
+                x, y = (batch.column(k)[i].values.to_numpy().view(np.uint64) for k in (4, 5))
+                size = min(len(x), len(y))
+                differ[i] = np.bitwise_count(halved(x, size) ^ halved(y, size)).sum()
+            good = pa.array(np.flatnonzero(differ <= n + m - 2 * rule.overlap(n, m)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(good), batch.column(1).take(good)], ["a", "b"])
+
+    return joined.mapInArrow(run, "a long, b long")
 
 
 def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
@@ -381,7 +407,13 @@ def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
     def pairs(token: int, one: int, two: int, t: pa.Table) -> pa.RecordBatch:
         block, vid, n, place, component = (t.column(k).to_numpy() for k in range(3, 8))
         token_lists, bits = t.column(8).combine_chunks(), t.column(9).combine_chunks()
-        word = bits.flatten().to_numpy().reshape(len(vid), -1).view(np.uint64)
+        words, ends = bits.flatten().to_numpy().view(np.uint64), bits.offsets.to_numpy()
+        ends = ends - ends[0]
+        size = np.diff(ends)
+        by_size = {}  # for each width the parities of the rows that have it or twice as much, and where they stand
+        for k in np.unique(size).tolist():
+            at = np.flatnonzero((size == k) | (size == 2 * k))
+            by_size[k] = (np.stack([halved(words[ends[i]:ends[i + 1]], k) for i in at]), np.searchsorted(at, np.arange(len(vid))))
         flat, sizes = token_lists.flatten().to_numpy(), np.diff(token_lists.offsets.to_numpy())
         earlier = flat < token
         kinds, which, often = np.unique(flat[earlier], return_inverse=True, return_counts=True)
@@ -405,7 +437,12 @@ def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
             i += c
             for d in range(0, len(i), 1 << 16):
                 x, y = i[d:d + (1 << 16)], j[d:d + (1 << 16)]
-                differ = np.bitwise_count(word[x] ^ word[y]).sum(1)
+                differ, least = np.zeros(len(x), np.int64), np.minimum(size[x], size[y])
+                for k, (word, where) in by_size.items():
+                    some = np.flatnonzero(least == k)
+                    for e in range(0, len(some), max(1, (1 << 20) // k)):
+                        z = some[e:e + max(1, (1 << 20) // k)]
+                        differ[z] = np.bitwise_count(word[where[x[z]]] ^ word[where[y[z]]]).sum(1)
                 good = differ <= n[x] + n[y] - 2 * rule.overlap(n[x], n[y])
                 found.append(np.stack([vid[x[good]], vid[y[good]]]))
         every = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
