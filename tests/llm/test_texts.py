@@ -134,6 +134,17 @@ def test_long_text_in_parts(spark, docs, monkeypatch):
     assert sorted((r["doc_id"], r["__tm_bytes"], r["__tm_removed"], r["__tm_spans"], r["__tm_sha256"]) for r in out) == want
 
 
+def test_marks_of_a_text_do_not_grow_with_its_copies(spark, docs):
+    """One text far more often than ``HELD``: its marks are each start once, and every copy loses all its bytes."""
+    copied, n = words(5, 60), suffixes.HELD + 1000
+    df = docs([(0, words(6, 60))]).unionByName(docs([(1, copied)]).withColumn("doc_id", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long")))))
+    texts = df.select(F.col("doc_id").alias("__tm_id"), F.xxhash64("text").alias("__tm_h"), F.octet_length("text").alias("__tm_n"), F.col("text").alias("__tm_text"))
+    marks = suffixes.mark(texts, 200, 50).collect()
+    assert len(marks) == 1 and sum(m["count"] for m in marks[0]["marks"]) == len(copied) - 199
+    got = suffixes.remove(df).groupBy("__tm_bytes", "__tm_removed").count().collect()
+    assert {tuple(r) for r in got} == {(len(copied), len(copied), n), (len(words(6, 60)), 0, 1)}
+
+
 def test_two_stage_sort_orders_all_suffixes():
     import random
 

@@ -163,11 +163,14 @@ def owners(data: np.ndarray, offsets: np.ndarray, length: int, piece: int) -> tu
     m = -(-len(value) // width) * width
     grid = np.full(m, np.uint64(0xFFFFFFFFFFFFFFFF))
     grid[:len(value)] = value
+    total = len(value) - width + 1
+    del at, value  # arrays of the block's size go as soon as they are used
     grid = grid.reshape(-1, width)
     ahead = np.minimum.accumulate(grid, axis=1).ravel()
     behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    total = len(value) - width + 1
+    del grid
     least = np.minimum(behind[:total], ahead[width - 1:width - 1 + total])
+    del ahead, behind
     place = (np.uint64((1 << bits) - 1) - (least & np.uint64((1 << bits) - 1))).astype(np.int64)
     # starts whose string stays inside its text
     sizes = np.diff(offsets)
@@ -319,7 +322,7 @@ def _sort_contexts(rows: DataFrame, length: int) -> DataFrame:
 
 
 def mark(texts: DataFrame, length: int, piece: int) -> DataFrame:
-    """``(h, n, marks)`` of texts with repeated strings; marks: array of (start, count)."""
+    """``(h, n, marks)`` of texts with repeated strings; marks: array of distinct (start, count)."""
     rows = _find_owners(texts, length, piece).repartition("owner").sortWithinPartitions("owner", "context")
     kinds = stored(_classify(rows), "contexts")
     full = kinds.filter("kind = 0").select("h", "n", "start", "count")
@@ -335,7 +338,8 @@ def mark(texts: DataFrame, length: int, piece: int) -> DataFrame:
              .select("h", "n", (F.col("start") + F.col("k")).alias("start"), "many", "name.one", "name.two"))
     twice = names.groupBy("one", "two").agg(F.count("*").alias("rows"), F.max("many").alias("any")).filter("rows > 1 or any").select("one", "two")
     hot = names.filter("not many").join(twice, ["one", "two"]).select("h", "n", "start", F.lit(1).alias("count"))
-    found = full.unionByName(_sort_contexts(sorted_in, length)).unionByName(hot)
+    # copies of a text bring the same marks; once each they are bounded by the text, however many copies there are
+    found = full.unionByName(_sort_contexts(sorted_in, length)).unionByName(hot).distinct()
     return found.groupBy("h", "n").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
 
 
