@@ -63,6 +63,42 @@ def test_odd_conversations(spark, lines):
     assert chat.turns(chat.parse(none.select("conv", "line", "text"), chat.train(none))).collect() == []
 
 
+def test_blocks_hold_a_fixed_number_of_lines_whatever_repeats_or_is_null(spark):
+    """Lines of no conversation, of one number or of none: blocks stay small and the path is that of the whole."""
+    rows = [(c, n, t) for c in (None, 1) for n in (0, 0, 5, None) for t in ["User: hello?", "more of it", "AI: Yes.", "x" * 80 + "y", "x" * 80, ""] * 8]
+    df = spark.createDataFrame(rows, "conv long, line long, text string")
+    labelled = df.withColumn("role", F.when(F.col("text") < "N", "assistant").otherwise("user")).withColumn("first", F.col("text").contains(":"))
+    model = chat.train(labelled)
+    got = chat.parse(df, model, 7).collect()
+    assert max(Counter((r["conv"], r["block"]) for r in got).values()) == 7
+    for c in (None, 1):
+        whole = sorted((n is None, n or 0, t) for x, n, t in rows if x == c)
+        e = model.scores([t for _, _, t in whole])
+        best = model.start + e[0]
+        for x in e[1:]:
+            best = (best[:, None] + model.move).max(0) + x
+        states = model.path(e, -1, int(best.argmax()))
+        mine = sorted((r for r in got if r["conv"] == c), key=lambda r: (r["block"], r["place"]))
+        assert [(r["line"] is None, r["line"] or 0, r["text"]) for r in mine] == whole
+        assert [(r["role"], r["first"]) for r in mine] == [(chat.ROLES[s // 2], s % 2 == 0) for s in states]
+
+
+def test_training_counts_every_move(spark):
+    """600 lines of one conversation: no move is left out, wherever ranges or blocks are cut."""
+    states = [2 * (i // 7 % 2 + 1) + (i % 7 > 0) for i in range(600)]
+    rows = [(7, i, f"line {i}", chat.ROLES[s // 2], s % 2 == 0) for i, s in enumerate(states)]
+    model = chat.train(spark.createDataFrame(rows, "conv long, line long, text string, role string, first boolean").repartition(8))
+    want = chat.Model(Counter([("start", states[0], 0), *(("move", a, b) for a, b in zip(states, states[1:]))]))
+    assert np.allclose(model.move, want.move) and np.allclose(model.start, want.start)
+
+
+def test_a_turn_of_very_many_lines_ends_before_the_next(spark):
+    rows = [(1, 0, "user", "\n" * (1 << 20)), (1, 1, "assistant", "Yes."), (1, None, "user", "late")]
+    every = chat.transcripts(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    ends = every.groupBy("role", F.col("text").endswith("late")).agg(F.min("line").alias("a"), F.max("line").alias("z")).orderBy("a").collect()
+    assert len(ends) == 3 and ends[0]["z"] < ends[1]["a"] and ends[1]["role"] == "assistant"
+
+
 def test_markers():
     assert [chat.features(x)[0] for x in ("User: hi", "[assistant] hi", "### Human: hi", "Note: hi", "plain words", "A", "agent> yes")] == [2, 3, 2, 4, 0, 0, 3]
     assert chat.unmarked("User: hi") == "hi" and chat.unmarked("Note: hi") == "Note: hi" and chat.unmarked("plain") == "plain"

@@ -2,9 +2,10 @@
 
 A state is a role and whether the line begins a turn.  A line shows a speaker
 marker (or none), how it ends and begins, and its length.  Start, transition
-and emission tables are counted from labelled lines.  Conversations are cut
-into blocks: each block gives, for every state before it, the best way
-through it; a pass over the blocks in order and one in reverse settle the
+and emission tables are counted from labelled lines.  The lines of a
+conversation are numbered without gaps (counts per sorted range, then offsets)
+and cut by that number into blocks of a fixed number of rows: each block gives,
+for every state before it, the best way through it; a pass over the blocks in order and one in reverse settle the
 states at their edges, and the lines inside follow.  This is the Viterbi path
 of the whole conversation, with one block in memory at a time.
 """
@@ -18,6 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +33,10 @@ MARKERS = {
     "user": "user human customer question q prompter".split(),
     "assistant": "assistant ai bot agent answer a model".split(),
 }
-#: Numbers of lines in a block, if line numbers are dense.
+#: Lines in a block.
 SPAN = 256
+#: Characters of a text by which ranges of lines are cut; equal texts that are no longer are dealt over ranges.
+HEAD = 64
 
 _CLASS = {w: i + 1 for i, r in enumerate(ROLES) for w in MARKERS[r]}
 _MARKER = re.compile(r"\s*[\[<(*#|]{0,4}\s*([A-Za-z]{1,12})\s*(?:[\])*|]{1,3}\s*:?|>{1,2}|:[*]{0,2})(?:\s+|$)")
@@ -111,38 +115,77 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
         yield key, held
 
 
-def _blocks(lines: DataFrame, span: int, *more: str) -> DataFrame:
-    """Lines sorted within their blocks.  Lines without a number stand last, dealt over blocks by their text."""
-    last = F.lit((1 << 62) // max(span, 1))
-    block = F.coalesce(F.floor(F.col("line") / F.lit(span)), last + F.pmod(F.xxhash64("text"), F.lit(64))).cast("long")
-    rows = lines.withColumn("block", block).select("conv", "block", "line", F.coalesce("text", F.lit("")).alias("text"), *more)
-    return rows.repartition("conv", "block").sortWithinPartitions("conv", "block", F.asc_nulls_last("line"), "text")
+def _sorted(lines: DataFrame, *more: str) -> DataFrame:
+    """Lines in the order of conversation, number (null last), text, ``more``: ranges in the order of the
+    partitions, each sorted.  Equal rows can be dealt over ranges, so no key needs to fit into one."""
+    rows = lines.select("conv", "line", F.coalesce("text", F.lit("")).alias("text"), *more)
+    deal = F.when(F.char_length("text") <= HEAD, F.struct(*more, F.rand(1).alias("by")))  # null, so last: a longer text
+    rows = rows.withColumn("head", F.substring("text", 1, HEAD)).withColumn("deal", deal)
+    line = F.asc_nulls_last("line")
+    ranged = rows.repartitionByRange(F.asc("conv"), line, F.asc("head"), F.asc_nulls_last("deal")).drop("head", "deal")
+    return ranged.sortWithinPartitions("conv", line, "text", *more)
+
+
+def _blocks(lines: DataFrame, span: int) -> DataFrame:
+    """``(conv, block, number, line, text)``: lines numbered from 0 without gaps in each conversation, ``span`` to a block."""
+    rows = stored(_sorted(lines).withColumn("at", F.monotonically_increasing_id()), "chat-lines")
+    part = F.shiftright("at", 33)  # the partition's place; the lower bits count its rows
+    sizes = rows.groupBy("conv", part.alias("part")).agg(F.min("at").alias("low"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("low")
+    sizes = stored(sizes.select(F.col("conv").alias("c"), F.col("part").alias("p"), shift.alias("shift")), "chat-ranges")
+    rows = rows.withColumn("part", part).join(sizes, F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
+    number = F.col("at") + F.col("shift")
+    return rows.select("conv", F.floor(number / F.lit(span)).cast("long").alias("block"), number.alias("number"), "line", "text")
 
 
 def train(lines: DataFrame, span: int = SPAN) -> Model:
     """Counts from labelled lines: ``conv``, ``line``, ``text``, ``role``, ``first`` (the line begins a turn).
 
-    All lines are counted; what returns is one row for each cell of the
-    tables.  Moves across block edges are left out.  Lines of other roles are
-    not counted.
+    All lines and all moves are counted, whatever ``span``; what returns is one
+    row for each cell of the tables and the first and last line's state of
+    each range.  Lines of other roles are not counted.
     """
     known = lines.filter(F.col("role").isin(*ROLES))
+    conv = lines.schema["conv"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         counts: Counter = Counter()
-        for (_, block), rows in _groups(batches, 2):
-            last = None
-            for _, text, role, first in rows:
-                state = 2 * ROLES.index(role) + (0 if first else 1)
-                counts["start" if last is None else "move", state if last is None else last, 0 if last is None else state] += block == 0 or last is not None
+        kind, now, state, first = None, None, None, None
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for c, _, text, role, begins in zip(*(x.to_pylist() for x in batch.columns)):
+                last, state = state, 2 * ROLES.index(role) + (0 if begins else 1)
+                if last is None:
+                    first = (c, state)  # what stands before it is another range's
+                elif c == now:
+                    counts["move", last, state] += 1
+                else:
+                    counts["start", state, 0] += 1
                 for f, v in enumerate(features(text)):
                     counts[f"show{f}", state, v] += 1
-                last = state
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
-                                          pa.array([k[2] for k in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())], ["kind", "i", "j", "n"])
-
-    cells = _blocks(known, span, "role", "first").mapInArrow(run, "kind string, i int, j int, n long").groupBy("kind", "i", "j").agg(F.sum("n").alias("n"))
-    return Model({(r["kind"], r["i"], r["j"]): r["n"] for r in cells.collect()})
+                now = c
+        if first is None:
+            return
+        edges = [("first", part, first[1], 0, first[0]), ("last", part, state, 0, now)]
+        columns = zip(*edges, *((*k, n, None) for k, n in counts.items()))
+        types = [pa.string(), pa.int32(), pa.int32(), pa.int64(), kind]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], ["kind", "i", "j", "n", "conv"])
+
+    found = stored(_sorted(known, "role", "first").mapInArrow(run, f"kind string, i int, j int, n long, conv {conv}"), "cells")
+    edge = F.col("kind").isin("first", "last")
+    cells = found.filter(~edge).groupBy("kind", "i", "j").agg(F.sum("n").alias("n"))
+    counts: Counter = Counter({(r["kind"], r["i"], r["j"]): r["n"] for r in cells.collect()})
+    before = None
+    for r in sorted(found.filter(edge).collect(), key=lambda r: (r["i"], r["kind"])):
+        if r["kind"] == "last":
+            before = r
+        elif before is not None and before["conv"] == r["conv"]:
+            counts["move", before["j"], r["j"]] += 1
+        else:
+            counts["start", r["j"], 0] += 1
+    return Model(counts)
 
 
 def _edges(found: DataFrame, conv: str, model: Model) -> DataFrame:
@@ -206,13 +249,13 @@ def parse(lines: DataFrame, model: Model, span: int = SPAN) -> DataFrame:
     """``(conv, block, line, text, role, first)`` of every line: the role and whether a turn begins.
 
     ``lines``: ``conv`` (a conversation's id, null is one of its own),
-    ``line`` (its number, null last), ``text`` (null: empty).  Ties in number
-    are read in the order of their texts; repeated lines stay.  ``span``: line
-    numbers that go into one block.
+    ``line`` (its number or anything with an order, null last), ``text`` (null:
+    empty).  Ties in number are read in the order of their texts; repeated lines
+    stay.  ``span``: lines that go into one block, the most that a task holds.
     """
     conv = lines.schema["conv"].dataType.simpleString()
-    blocks = stored(_blocks(lines, span), "chat-blocks").repartition("conv", "block").sortWithinPartitions(
-        "conv", "block", F.asc_nulls_last("line"), "text")
+    blocks = _blocks(lines, span)
+    in_order = blocks.select("conv", "block", "text", "number").repartition("conv", "block").sortWithinPartitions("conv", "block", "number")
 
     def ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
@@ -222,18 +265,18 @@ def parse(lines: DataFrame, model: Model, span: int = SPAN) -> DataFrame:
                 kind = b.schema.field(0).type
                 yield b
         for (c, block), rows in _groups(typed(), 2):
-            e = model.scores([r[1] for r in rows])
+            e = model.scores([r[0] for r in rows])
             opening = model.start + e[0]
             for x in e[1:]:
                 opening = (opening[:, None] + model.move).max(0) + x
             yield pa.RecordBatch.from_arrays([pa.array([c], kind), pa.array([block], pa.int64()), pa.array([model.through(e).ravel().tolist()], pa.list_(pa.float64())),
                                               pa.array([opening.tolist()], pa.list_(pa.float64()))], ["conv", "block", "way", "opening"])
 
-    found = stored(blocks.mapInArrow(ways, f"conv {conv}, block long, way array<double>, opening array<double>"), "ways")
+    found = stored(in_order.mapInArrow(ways, f"conv {conv}, block long, way array<double>, opening array<double>"), "ways")
     edges = _edges(found, conv, model)
     joined = blocks.join(edges.withColumnsRenamed({"conv": "c", "block": "b"}), F.col("conv").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")))
-    joined = joined.select("conv", "block", "before", "end", "line", "text").repartition("conv", "block").sortWithinPartitions(
-        "conv", "block", F.asc_nulls_last("line"), "text")
+    joined = joined.select("conv", "block", "before", "end", "line", "text", "number").repartition("conv", "block").sortWithinPartitions(
+        "conv", "block", "number")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = []
@@ -283,7 +326,7 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     """Labelled transcript lines of a table of turns, as plain chat logs have them.
 
     A conversation writes its speakers in one of six ways; one turn in six has
-    no marker.  Line numbers are turn * 2**20 + the line's place in the turn.
+    no marker.  A line's number is its turn's (null last) and its place there.
     Repeated rows are one turn.
     """
     styles = (("System", "User", "Assistant", ": "), ("SYSTEM", "HUMAN", "AI", ": "), ("[system]", "[user]", "[assistant]", " "),
@@ -298,7 +341,7 @@ def transcripts(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", "role", "text").distinct()
     rows = rows.withColumn("marker", marker).select("*", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("k", "t"))
     first = F.col("k") == 0
-    return rows.select(F.col("conv_id").alias("conv"), (F.col("turn") * (1 << 20) + F.col("k")).alias("line"),
+    return rows.select(F.col("conv_id").alias("conv"), F.struct(F.col("turn").isNull().alias("unnumbered"), "turn", "k").alias("line"),
                        F.when(first, F.concat("marker", "t")).otherwise(F.col("t")).alias("text"), "role", first.alias("first"))
 
 
@@ -306,6 +349,5 @@ def op9(spark, sf_dir: str) -> DataFrame:
     """All conversations, written as transcripts, parsed and rendered turn by turn; the model counts three ids in four."""
     lines = stored(transcripts(table(spark, sf_dir, "conversations")), "transcripts")
     learned = lines.filter(F.crc32(F.coalesce(F.col("conv").cast("string"), F.lit("")).cast("binary")) % 4 != 2)
-    span = 64 << 20
-    found = turns(parse(lines.select("conv", "line", "text"), train(learned, span), span))
+    found = turns(parse(lines.select("conv", "line", "text"), train(learned)))
     return found.withColumnRenamed("conv", "conv_id")
