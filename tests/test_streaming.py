@@ -108,6 +108,40 @@ def test_a_row_that_turns_negative_leaves_the_table(spark, tmp_shared):
     assert spark.read.parquet(f"{tmp_shared}/features").count() == n - 1
 
 
+def test_an_older_copy_that_comes_again_changes_nothing(spark, tmp_shared):
+    """Older copies with other values, also of a key whose newest row was removed, leave features and labels alone."""
+    from tidemark.operators.features import pool_features
+    from tidemark.operators.labels import label
+    from tidemark.streaming.streams import features_batch
+
+    staged = stage_pool_hourly(raw_envelope(spark, SF001)).filter("pool_id IN ('pool_1', 'pool_2')")
+    body = features_batch(f"{tmp_shared}/features", labeled_path=f"{tmp_shared}/labels")
+    body(staged, 0)
+    older = F.col("load_ts") - F.expr("INTERVAL 1 DAY")
+    body(staged.withColumns({"load_ts": older, "volume_usd": F.col("volume_usd") * 3 + 1, "has_negative_values": F.lit(False)}), 1)
+    want = label(pool_features(staged, lookback=None))
+    assert staged.filter("has_negative_values").count() > 0
+    got = spark.read.parquet(f"{tmp_shared}/labels").select(*want.columns)
+    assert got.count() == want.count() and round6(got).exceptAll(round6(want)).count() == 0
+
+
+def test_a_day_that_loses_its_only_row_goes(spark, tmp_shared):
+    from tidemark.streaming.streams import features_batch
+
+    good = stage_pool_hourly(raw_envelope(spark, SF001)).filter("pool_id = 'pool_1' AND NOT has_negative_values")
+    two = good.groupBy(F.to_date("hour_ts")).agg(F.min("hour_ts").alias("hour_ts")).orderBy("hour_ts").limit(2).select("hour_ts")
+    rows = good.join(two, "hour_ts").select(*good.columns)
+    bad = lambda df: df.withColumns({"volume_usd": F.lit(-1.0), "has_negative_values": F.lit(True)})
+    body = features_batch(f"{tmp_shared}/features", labeled_path=f"{tmp_shared}/labels")
+    body(rows, 0)
+    assert spark.read.parquet(f"{tmp_shared}/features").count() == spark.read.parquet(f"{tmp_shared}/labels").count() == 2
+    body(bad(rows.orderBy("hour_ts").limit(1)), 1)
+    assert spark.read.parquet(f"{tmp_shared}/features").count() == spark.read.parquet(f"{tmp_shared}/labels").count() == 1
+    body(bad(rows), 2)  # the last rows go; the tables are empty and can be filled again
+    body(rows.withColumn("load_ts", F.col("load_ts") + F.expr("INTERVAL 1 DAY")), 3)
+    assert spark.read.parquet(f"{tmp_shared}/features").count() == spark.read.parquet(f"{tmp_shared}/labels").count() == 2
+
+
 def test_hours_are_closed_by_the_heartbeat(spark, tmp_shared):
     from tidemark.streaming.streams import heartbeat
 

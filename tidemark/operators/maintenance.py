@@ -81,8 +81,8 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
     a staging folder under the shared checkpoint dir, so the target is never
     read and overwritten by the same plan.  The updates are written there too
     and read for both uses: nothing is held in executor memory.  A day that
-    loses its only rows to ``deletes`` keeps them: an overwrite by days has
-    nothing to replace them with.
+    loses its only rows to ``deletes`` has nothing to be overwritten with; its
+    partition is deleted after the others are written.
     """
     from tidemark.session import scratch_path
 
@@ -103,7 +103,19 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
     merged = kept.unionByName(upd.select(*current.columns))
     merged.write.parquet(f"{stage}/merged")
     staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
+    emptied = set()
+    if deletes is not None:
+        days = lambda df: {r[0] for r in df.select(partition_col).distinct().collect()} - {None}
+        emptied = days(current) - days(staged)
     write_days(staged, spark_path, "overwrite", partition_col)
+    for day in emptied:
+        drop_partition(spark, f"{spark_path}/{partition_col}={day}")
+
+
+def drop_partition(spark, path: str) -> None:
+    """Delete one partition's folder, on whatever file system it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table_exists(spark, path: str) -> bool:

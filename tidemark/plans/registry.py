@@ -431,7 +431,8 @@ def q_stream_features(spark, sf_dir):
 
 
 def q_stream_labeled(spark, sf_dir):
-    """Features and labels of drops that overlap, come late and come again: the protocols apart, the later half first."""
+    """Features and labels of drops that overlap, come late and come again: the protocols apart, the later half first,
+    last an older copy of one protocol with other volumes, which changes nothing."""
     from tidemark.session import scratch_path
     from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
 
@@ -444,7 +445,9 @@ def q_stream_labeled(spark, sf_dir):
     raw = raw_envelope(spark, sf_dir)
     one, late = F.col("dex_protocol") == "uniswap_v3", F.col("hour_ts") >= F.lit(MARK).cast("timestamp_ntz")
     drops = [raw.filter(one & late), raw.filter(~one), raw.filter(one).unionByName(raw.filter(one & ~late))]
-    _stream_runs(spark, drops, build)
+    older = raw.filter(one).withColumns({"load_ts": F.col("load_ts") - F.expr("INTERVAL 1 DAY"),
+                                         "raw": F.regexp_replace("raw", r'("volumeUSD":"?-?)', "$1" + "9")})
+    _stream_runs(spark, [*drops, older], build)
     return round6(spark.read.parquet(marks).select(*labeled(spark, sf_dir).columns))
 
 

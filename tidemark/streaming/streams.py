@@ -114,15 +114,28 @@ KEYS = ("dex_protocol", "pool_id", "hour_ts")
 HISTORY_COLUMNS = ["dex_protocol", "pool_id", "hour_ts", "volume_usd", "tvl_usd", "liquidity", "tx_count"]
 
 
+def _not_older(spark: SparkSession, staged: DataFrame, loads_path: str) -> DataFrame:
+    """Rows of a batch, one per key, without those older than the copy of their key that was taken before."""
+    if not table_exists(spark, loads_path):
+        return staged
+    taken = read_touched(spark, loads_path, staged.withColumn("hour_date", F.to_date("hour_ts")))
+    taken = taken.select(*KEYS, F.col("load_ts").alias("_taken"))
+    older = F.col("_taken").isNotNull() & (F.col("load_ts").isNull() | (F.col("load_ts") < F.col("_taken")))
+    return staged.join(taken, list(KEYS), "left").filter(~older).select(*staged.columns)
+
+
 def features_batch(target_path: str, as_of: Column | str | None = None, model=None,
                    alerts_path: str | None = None, threshold: float | None = None,
                    labeled_path: str | None = None, relabel: bool = True) -> Callable:
     """``foreachBatch`` body for hourly features (T-4), labels and alerts (T-5).
 
     Rows may come late, twice, or for some series only.  Of a key given more
-    than once in the batch the newest ``load_ts`` counts, and a key that is
-    stored already is replaced (or removed, if its new row fails the quality
-    filter).  Each touched series is computed anew from its earliest touched
+    than once, in the batch or in batches before, the newest ``load_ts`` counts
+    (of equal ones in two batches the later batch's): a key that is stored
+    already is replaced (or removed, if its new row fails the quality filter)
+    unless its new row is older than the one taken before.  The load times of
+    all keys taken, removed ones too, are kept in a table beside the target
+    (``<target_path>-loads``); without ``load_ts`` the later batch counts.  Each touched series is computed anew from its earliest touched
     hour, with the stored rows before it as warm-up, and upserted by key; so
     the table holds what one run over all rows would give, whatever the order
     and the cut of the drops.
@@ -133,6 +146,8 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
     With a model, every pool whose newest written row is anomalous gets an
     alert row (the dashboard's ``needs_alert`` rule, T-5).
     """
+    loads_path = f"{target_path.rstrip('/')}-loads"
+
     def run(batch: DataFrame, batch_id: int) -> None:
         reprocess(batch.drop("event_time"), batch_id)
 
@@ -142,6 +157,11 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
         staged = one_per_key(staged, KEYS)
         staged.write.parquet(kept)  # read several times below; never held in executor memory
         staged = spark.read.schema(staged.schema).parquet(kept)
+        if "load_ts" in staged.columns:
+            _not_older(spark, staged, loads_path).write.parquet(f"{kept}-current")
+            staged = spark.read.schema(staged.schema).parquet(f"{kept}-current")
+            # a batch replayed after a failure finds its own load times, which are not newer than its rows
+            write_upsert(loads_path, staged.select(*KEYS, "load_ts"), KEYS)
         since = staged.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
         rows = staged.select(*HISTORY_COLUMNS, "has_negative_values")
         if table_exists(spark, target_path):
@@ -155,12 +175,13 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
         write_upsert(target_path, feats, KEYS, deletes=gone)
         touched = since.select("pool_id")
         if labeled_path is not None:
-            series = spark.read.parquet(target_path).drop("hour_date").join(touched, "pool_id", "left_semi")
+            series = spark.read.parquet(target_path).drop("hour_date") if table_exists(spark, target_path) else feats.limit(0)
+            series = series.join(touched, "pool_id", "left_semi")
             marks = label(series)
             if not relabel:
                 marks = marks.join(since, "pool_id").filter("hour_ts >= since").drop("since")
             write_upsert(labeled_path, marks, KEYS, deletes=gone)
-        if model is not None and alerts_path is not None:
+        if model is not None and alerts_path is not None and table_exists(spark, target_path):
             from tidemark.operators.iforest import decide, score
 
             thr = model.offset if threshold is None else threshold
