@@ -188,6 +188,14 @@ def test_each_stage_equals_brute_force(spark, docs):
     assert sum(r["length"] for r in five) == total and len({r["sequence_id"] for r in five}) == len(five)
 
 
+def test_jaccard_stage_loses_no_row_by_its_id(spark, docs):
+    """Different texts under one id stay; near and exact copies go, also without an id."""
+    a, b, c, d = (words(700 + i, 60) for i in range(4))
+    rows = [(1, a), (1, b), (1, b), (0, None), (0, ""), (None, c), (None, c), (7, c + " more"), (None, d), (None, d), (None, None), (None, None)]
+    got = Counter((r["doc_id"], r["text"]) for r in stages.one_of_each_group(spark, docs(rows), "").collect())
+    assert got == Counter([(1, a), (1, b), (0, None), (0, ""), (7, c + " more"), (None, d), (None, None), (None, None)])
+
+
 def test_stages_of_empty_and_unlabelled_tables(spark, docs):
     df = docs([])
     for f in (stages.known_language, stages.one_of_each_group, stages.without_repeated_bytes, stages.without_personal_data, stages.packed):

@@ -6,10 +6,11 @@ the filtering stages as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, language, packing, pii, suffixes
+from tidemark.llm.common import stored
 
 #: Letters from which on a cosine at chance level says that a text is in no learned language.
 LETTERS_TO_TELL = 100
@@ -36,14 +37,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of 5-word shingle Jaccard 0.8: the one with the smallest id (of rows with that id,
-    the one with the smallest text hash).  Rows without an id are linked with nothing and stay."""
-    groups = jaccard.join(docs, size=5, per_cent=80)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    same = Window.partitionBy("doc_id").orderBy("__tm_hash")
-    kept = (docs.filter(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").withColumn("__tm_hash", F.xxhash64("text"))
-            .withColumn("__tm_row", F.row_number().over(same)).filter("__tm_row = 1"))
-    return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One row of each component of 5-word shingle Jaccard 0.8: the one with the smallest id (null last), of those the one
+    with the smallest text hash.  Rows are linked by their texts alone: different texts under one id stay, copies without
+    an id go.  Texts without a word are linked with nothing and stay."""
+    rows = stored(docs.withColumn("__tm_row", F.monotonically_increasing_id()), "numbered")
+    groups = jaccard.join(rows, id="__tm_row", size=5, per_cent=80).select("__tm_row", "component_id")
+    order = rows.select("__tm_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "__tm_row").alias("order"))
+    first = groups.join(order, "__tm_row").groupBy("component_id").agg(F.min("order").alias("first")).select("first.__tm_row")
+    return rows.join(first, "__tm_row", "left_semi").select(*docs.columns)
 
 
 def without_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
