@@ -354,6 +354,12 @@ def brute_base(text):
     return sorted(out)
 
 
+def test_ip_parts_count_by_value_however_long():
+    zeros = "0" * 5000
+    for text, ok in ((f"at {'0' * 21}1.2.3.4 now", True), (f"{zeros}255.0.{zeros}.1", True), (f"{zeros}256.0.0.1", False), (f"{'9' * 5000}.0.0.1", False)):
+        assert [k for _, k, _ in pii.base_spans(text) if k == 1] == [1] * ok
+
+
 def test_base_spans_equal_the_patterns():
     import random
 

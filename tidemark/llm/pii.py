@@ -68,7 +68,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 def _valid(kind: int, text: str) -> bool:
     if kind == 1:
-        return all(len(p) < 20 and int(p) <= 255 for p in text.split("."))
+        return all(len(p) <= 3 and int(p or 0) <= 255 for p in (part.lstrip("0") for part in text.split(".")))
     if kind == 2:
         d = _digits(text)
         return 12 <= len(d) <= 19 and luhn(d)
