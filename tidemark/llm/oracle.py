@@ -84,3 +84,41 @@ WITH RECURSIVE w AS (
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id
 FROM w LEFT JOIN n USING (r) LEFT JOIN least ON least.id = w.doc_id
 """
+
+#: All sequences of 1 to 5 words, counted; 1000 a n in 128 bits.
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents
+), lists AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM lists, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)
+), f AS (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL
+), total AS (
+  SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang
+), cand AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= 100
+), inner_parts AS (
+  SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS part
+  FROM (SELECT lang, a, w, k, unnest(range(1, m - k + 2)) AS i FROM cand, (SELECT unnest(range(2, 5)) AS k) WHERE k < m)
+), gone AS (
+  SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN inner_parts p ON p.lang = c.lang AND p.part = c.phrase WHERE 100 * p.a >= 100 * c.a
+), cuts AS (
+  SELECT lang, phrase, a, w, unnest(range(1, m)) AS k FROM cand ANTI JOIN gone USING (lang, phrase)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN total USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.m = k AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.m = len(w) - k AND y.phrase = array_to_string(w[k + 1:], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, jaccard, language, oracle, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
+from tidemark.llm import chat, collocations, jaccard, language, oracle, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting": vectors.op1,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shingle_components": jaccard.op8,
     "op9_transcript_roles": chat.op9,
     "op10_spot_signatures": spotsigs.op10,
+    "op11_phrase_automata": collocations.op11,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -26,4 +27,5 @@ ORACLE: dict[str, str] = {
     "op1_collision_counting": oracle.OP1,
     "op4_repeated_bytes": oracle.OP4,
     "op8_shingle_components": oracle.OP8,
+    "op11_phrase_automata": oracle.OP11,
 }
