@@ -109,7 +109,7 @@ def _bitmap(names: DataFrame) -> np.ndarray:
 
 
 def _has(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
-    p = names & np.uint64(BITS - 1)
+    p = names & np.uint64(8 * len(bits) - 1)
     return (bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
@@ -123,6 +123,7 @@ def _united(parts: DataFrame, least: int) -> DataFrame:
     A range's rows come one after another and are united as they come, so the
     memory of a task is that of one range's distinct sequences.
     """
+    arcs = ARCS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, size = None, [], 0
@@ -140,7 +141,7 @@ def _united(parts: DataFrame, least: int) -> DataFrame:
                     now, held, size = r, [], 0
                 held.append(automata.load(data.as_py()))
                 size += sum(len(x[0]) for x in held[-1])
-                if len(held) > 1 and size > 2 * sum(len(x[0]) for x in held[0]) + ARCS // 4:
+                if len(held) > 1 and size > 2 * sum(len(x[0]) for x in held[0]) + arcs // 4:
                     held = [automata.union(held)]
                     size = sum(len(x[0]) for x in held[0])
         if held:
@@ -151,7 +152,7 @@ def _united(parts: DataFrame, least: int) -> DataFrame:
 
 def count_phrases(source: DataFrame, length: int, parts: np.ndarray, n_ranges: int, least: int, seed: int) -> DataFrame:
     """``(range, a)``: automata of the sequences of ``length`` words counted ``least`` times or more."""
-    bits = source.sparkSession.sparkContext.broadcast(parts)
+    bits, arcs = source.sparkSession.sparkContext.broadcast(parts), ARCS
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         held, size = [], 0
@@ -172,10 +173,10 @@ def count_phrases(source: DataFrame, length: int, parts: np.ndarray, n_ranges: i
                 columns = [w.key[at + k] for k in range(length)]
                 held.append(automata.build([_range(columns[0], columns[1], n_ranges), *columns]))
                 size += sum(len(x[0]) for x in held[-1])
-                if size > 2 * ARCS:
+                if size > 2 * arcs:
                     held = [automata.union(held)]
                     size = sum(len(x[0]) for x in held[0])
-                    if size > ARCS:
+                    if size > arcs:
                         yield held[0]
                         held, size = [], 0
         if held:

@@ -122,3 +122,26 @@ WITH pieces AS (
 SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
 FROM ranked WHERE rank <= 2000
 """
+
+#: All anchors against all rows.
+OP13 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, b.r AS o,
+         list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT r, anchor_id, o, other_id AS positive_id, score AS positive_score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) <= 5
+), ranked AS (
+  SELECT p.*, n.other_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.r, p.o ORDER BY n.score DESC, n.other_id)::INT AS rank
+  FROM positive p JOIN pair n ON n.r = p.r AND NOT n.same AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""

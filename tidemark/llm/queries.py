@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, collocations, jaccard, language, oracle, packing, pieces, pii, sharding, spotsigs, suffixes, vectors
+from tidemark.llm import chat, collocations, jaccard, language, negatives, oracle, packing, pieces, pii, sharding, spotsigs, suffixes, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_collision_counting": vectors.op1,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_transcript_roles": chat.op9,
     "op10_spot_signatures": spotsigs.op10,
     "op11_phrase_automata": collocations.op11,
+    "op12_recurrent_toxicity": toxicity.op12,
+    "op13_coordinate_negatives": negatives.op13,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -28,4 +30,5 @@ ORACLE: dict[str, str] = {
     "op4_repeated_bytes": oracle.OP4,
     "op8_shingle_components": oracle.OP8,
     "op11_phrase_automata": oracle.OP11,
+    "op13_coordinate_negatives": oracle.OP13,
 }
