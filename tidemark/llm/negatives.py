@@ -85,7 +85,7 @@ class Bucket:
 
 
 def _matrix(values: pd.Series) -> np.ndarray:
-    return np.array(values.tolist(), np.int64).reshape(len(values), len(values.iloc[0]))
+    return np.array(values.tolist(), np.int64).reshape(len(values), len(values.iloc[0]) if len(values) else 0)
 
 
 def _buckets(rows: pd.DataFrame, most: int) -> list[Bucket]:
