@@ -7,11 +7,11 @@ so scores lie in (0, 1] and higher means more anomalous.
 
 How it runs on Spark:
 
-* Sampling is driven by a hash of (seed, tree, row key), never by row order or
-  partitioning, so the same data gives the same forest on any cluster: every
-  tree takes the ``psi`` rows with its smallest hashes, at every table size.
-* Each tree is grown in one ``applyInPandas`` group of psi rows: groups are
-  bounded by psi, whatever the data size.
+* Sampling is driven by draws named by (seed, tree, row key), never by row
+  order or partitioning, so the same data gives the same forest on any cluster:
+  every tree takes the ``psi`` rows with its smallest draws, at every table size.
+* Each tree is grown level by level in one ``applyInPandas`` group of psi rows:
+  groups are bounded by psi, whatever the data size.
 * The forest has at most ``n_trees * (2 psi - 1)`` nodes (about 100k for the
   defaults), a proven bound, so it is broadcast to ``mapInPandas`` scorers
   that walk all trees with vectorised numpy over Arrow batches.
@@ -19,6 +19,7 @@ How it runs on Spark:
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Iterator, Sequence
@@ -46,7 +47,6 @@ NODE_SCHEMA = T.StructType(
 )
 
 EULER_GAMMA = 0.5772156649015329
-_U53 = (1 << 53) - 1
 
 
 def average_path_length(n: np.ndarray | float) -> np.ndarray:
@@ -72,6 +72,7 @@ class IForestModel:
     offset: float = 0.5  # rows scoring above it are class -1 (anomaly)
     contamination: str | float = "auto"
     version: str = "1"
+    digits: int | None = None
     meta: dict = field(default_factory=dict)
     _forest_bc: object = field(default=None, init=False, repr=False, compare=False)
     _nodes_pd: object = field(default=None, init=False, repr=False, compare=False)
@@ -102,43 +103,84 @@ class IForestModel:
             "random_state": int(self.seed),
             "contamination": self.contamination,
             "offset": float(self.offset),
+            "digits": self.digits,
         }
 
 
-def _uniform(*cols: Column) -> Column:
-    """A reproducible U[0,1) draw from a hash of the given columns."""
-    return (F.xxhash64(*cols).bitwiseAND(F.lit(_U53))).cast("double") / F.lit(float(1 << 53))
+def hash_number(*parts: Column | str, digits: int = 12) -> Column:
+    """The first hexadecimal ``digits`` of the MD5 of the parts joined by ``|``, as a number: the same in any engine."""
+    text = [F.coalesce(F.col(p).cast("string") if isinstance(p, str) else p.cast("string"), F.lit("")) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *text).cast("binary")), 1, digits), 16, 10).cast("bigint")
+
+
+#: Modulus of the sampling draws, a prime (fixed value).
+_PRIME = (1 << 31) - 1
+
+
+def _multipliers(seed: int, tree: int) -> tuple[int, int]:
+    """The two numbers of a tree's draw ``(a key + b) mod p``."""
+    number = lambda name: int(hashlib.md5(f"{seed}|{tree}|{name}".encode()).hexdigest()[:12], 16)
+    return number("a") % (_PRIME - 1) + 1, number("b") % _PRIME
+
+
+def _draw(key: Column, a: Column, b: Column) -> Column:
+    """A tree's draw for a row, in [0, 1): whole-number arithmetic that any engine repeats."""
+    return F.pmod(a * F.pmod(key, F.lit(_PRIME)) + b, F.lit(_PRIME)) / F.lit(float(_PRIME))
+
+
+def _uniform(seed: Column, tree: Column, key: Column) -> Column:
+    """The draw of ``tree`` for the row with this key, in [0, 1)."""
+    return _draw(key, F.pmod(hash_number(seed, tree, F.lit("a")), F.lit(_PRIME - 1)) + 1, F.pmod(hash_number(seed, tree, F.lit("b")), F.lit(_PRIME)))
+
+
+def _rounded(x: Column, digits: int | None) -> Column:
+    """Values to ``digits`` decimals, so that sums taken in another order give the same vector; ``None`` leaves them."""
+    if digits is None:
+        return x
+    scale = F.lit(float(10**digits))
+    return F.transform(x, lambda v: F.round(v * scale) / scale)
 
 
 def _vector(features: Sequence[str], default: float) -> Column:
     return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float(default))) for c in features])
 
 
-def _grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes ``(node, feature, split, left, right, size, depth)`` of one isolation tree."""
-    nodes: list[list] = []
-    stack = [(np.arange(len(x)), 0, 0)]
-    nodes.append(None)  # placeholder for the root
-    while stack:
-        idx, depth, node_id = stack.pop()
-        sub = x[idx]
-        lo = sub.min(axis=0) if len(idx) else np.zeros(x.shape[1])
-        hi = sub.max(axis=0) if len(idx) else np.zeros(x.shape[1])
-        candidates = np.flatnonzero(hi > lo)
-        if depth >= max_depth or len(idx) <= 1 or len(candidates) == 0:
-            nodes[node_id] = [node_id, -1, 0.0, -1, -1, len(idx), depth]
-            continue
-        q = int(candidates[rng.integers(len(candidates))])
-        p = float(lo[q] + rng.random() * (hi[q] - lo[q]))
-        if not lo[q] < p <= hi[q]:
-            p = float((lo[q] + hi[q]) / 2.0)
-        go_left = sub[:, q] < p
-        left_id, right_id = len(nodes), len(nodes) + 1
-        nodes.extend([None, None])
-        nodes[node_id] = [node_id, q, p, left_id, right_id, len(idx), depth]
-        stack.append((idx[~go_left], depth + 1, right_id))
-        stack.append((idx[go_left], depth + 1, left_id))
-    return [tuple(n) for n in nodes]
+def _node_fraction(seed: int, tree: int, node: int, name: str) -> float:
+    """The draw of a node, in [0, 1): MD5 digits, as ``hash_number`` takes them."""
+    return int(hashlib.md5(f"{seed}|{tree}|{node}|{name}".encode()).hexdigest()[:12], 16) / float(1 << 48)
+
+
+def grow_tree(x: np.ndarray, tree: int, max_depth: int, seed: int) -> list[tuple]:
+    """Rows ``(node, feature, split, size, depth)`` of the tree grown on the rows of ``x``, level by level.
+
+    A level takes the minimum and maximum of every feature in each of its
+    nodes, draws a feature among those with a spread and a split in it, and
+    sends the node's rows left (``x < split``) or right.  Draws are named by
+    (seed, tree, node); nodes are numbered in heap order (children of ``i``:
+    ``2i + 1`` and ``2i + 2``).
+    """
+    out, node = [], np.zeros(len(x), np.int64)
+    for depth in range(max_depth + 1):
+        if not len(x):
+            break
+        order = np.argsort(node, kind="stable")
+        x, node = x[order], node[order]
+        names, first, size = np.unique(node, return_index=True, return_counts=True)
+        low, high = np.minimum.reduceat(x, first), np.maximum.reduceat(x, first)
+        feature, split = np.full(len(names), -1), np.zeros(len(names))
+        for i, name in enumerate(names.tolist() if depth < max_depth else []):
+            spread = np.flatnonzero(high[i] > low[i])
+            if len(spread):
+                f = int(spread[int(_node_fraction(seed, tree, name, "feature") * len(spread))])
+                a, z = float(low[i, f]), float(high[i, f])
+                p = a + _node_fraction(seed, tree, name, "split") * (z - a)
+                feature[i], split[i] = f, p if a < p <= z else (a + z) / 2.0
+        out += zip(names.tolist(), feature.tolist(), split.tolist(), size.tolist(), [depth] * len(names))
+        at = np.repeat(np.arange(len(names)), size)
+        inner = feature[at] >= 0
+        x, node, at = x[inner], node[inner], at[inner]
+        node = 2 * node + np.where(x[np.arange(len(x)), feature[at]] < split[at], 1, 2)
+    return out
 
 
 def _sample(df: DataFrame, key: Column, n: int, n_trees: int, psi: int, seed: int) -> DataFrame:
@@ -151,13 +193,14 @@ def _sample(df: DataFrame, key: Column, n: int, n_trees: int, psi: int, seed: in
     depends neither on the threshold nor on the partitioning.
     """
     share = min(1.0, 4.0 * psi / max(n, 1))
-    draw = lambda t: F.struct(t.cast("int").alias("tree"), _uniform(F.lit(seed), t, F.col("_k")).alias("u"))
+    numbers = F.array(*[F.struct(F.lit(t).alias("tree"), *(F.lit(v).cast("bigint").alias(name) for name, v in zip("ab", _multipliers(seed, t))))
+                        for t in range(n_trees)])
     while True:
-        hashes = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), draw)
+        hashes = F.transform(numbers, lambda m: F.struct(m["tree"].alias("tree"), _draw(F.col("_k"), m["a"], m["b"]).alias("u")))
         limit = F.lit(share)
         below = F.filter(hashes, lambda h: h["u"] < limit)
         rows = df.select(key.alias("_k"), "x").select("_k", "x", F.explode(below).alias("h")).select("_k", "x", "h.tree", "h.u")
-        rn = F.row_number().over(Window.partitionBy("tree").orderBy("u", "_k"))
+        rn = F.row_number().over(Window.partitionBy("tree").orderBy("u", "_k", "x"))
         sample = rows.withColumn("_rn", rn).filter(F.col("_rn") <= psi).select("tree", "u", "x")
         # bounded (n_trees * psi rows): written once to the shared checkpoint dir, then reused
         sample = sample.checkpoint(eager=True)
@@ -176,21 +219,26 @@ def fit_iforest(
     key_cols: Sequence[str] | None = None,
     default: float = 0.0,
     version: str = "1",
+    digits: int | None = None,
 ) -> IForestModel:
     """Train an Isolation Forest on ``df`` (I-1, I-2).  Labels, if any, are ignored.
 
     ``contamination='auto'`` puts the class boundary at score 0.5; a number
-    ``c`` puts it at the ``1 - c`` quantile of the training scores.
+    ``c`` puts it at the ``1 - c`` quantile of the training scores.  ``digits``
+    rounds every vector, here and when scoring, to that many decimals.
+
+    Draws are made of MD5 digits and whole-number arithmetic, so the same rows
+    give the same forest on any cluster and in any engine.
     """
     from tidemark.session import checkpoint_dir, scratch_path
 
     checkpoint_dir(df.sparkSession)  # the bounded sample is checkpointed to the shared folder
     features = list(features)
-    key = F.xxhash64(*[F.col(c) for c in (key_cols or features)])
+    key = hash_number(*(key_cols or features), digits=15)
     # The projected vectors are read up to three times (count, sample, contamination
     # scores): written once, so a lost executor costs a re-read and no executor memory is held.
     path = scratch_path(df.sparkSession, "training-vectors")
-    data = df.select(key.alias("_key"), _vector(features, default).alias("x"))
+    data = df.select(key.alias("_key"), _rounded(_vector(features, default), digits).alias("x"))
     data.write.parquet(path)
     data = df.sparkSession.read.schema(data.schema).parquet(path)
     n = data.count()
@@ -203,21 +251,19 @@ def fit_iforest(
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values("u", kind="mergesort")
         x = np.array(pdf["x"].tolist(), dtype=np.float64).reshape(-1, n_feat)
-        rng = np.random.default_rng([seed, tree])
-        rows = _grow_tree(x, rng, max_depth)
-        out = pd.DataFrame(rows, columns=["node", "feature", "split", "left", "right", "size", "depth"])
-        out.insert(0, "tree", tree)
-        return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32",
-                           "right": "int32", "size": "int64", "depth": "int32"})
+        out = pd.DataFrame(grow_tree(x, tree, max_depth, seed), columns=["node", "feature", "split", "size", "depth"])
+        inner = out["feature"] >= 0
+        out["left"], out["right"], out["tree"] = (2 * out["node"] + 1).where(inner, -1), (2 * out["node"] + 2).where(inner, -1), tree
+        kinds = {f.name: {"integer": "int32", "double": "float64", "long": "int64"}[f.dataType.typeName()] for f in NODE_SCHEMA}
+        return out[list(kinds)].astype(kinds)
 
     nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
     # Materialise the (bounded) node table once so scoring and saving reuse it.
     nodes_pd = nodes.toPandas()
     nodes = df.sparkSession.createDataFrame(nodes_pd, NODE_SCHEMA)
     model = IForestModel(nodes=nodes, features=features, n_trees=n_trees, psi=psi_eff, seed=seed, n_train=n,
-                         contamination=contamination, version=version)
+                         contamination=contamination, version=version, digits=digits)
     model._nodes_pd = nodes_pd  # the bounded node table is already on the driver: score from it
     if contamination == "auto":
         model.offset = 0.5
@@ -267,7 +313,8 @@ class _Forest:
         lf = ~inner
         span = 2 ** (height - depth[lf])
         start = (hp[lf] + 1) * span - n_leaf
-        value = depth[lf] + average_path_length(pdf["size"].to_numpy()[lf])
+        # to 40 binary digits: the sum over the trees is then exact in any order
+        value = np.round((depth[lf] + average_path_length(pdf["size"].to_numpy()[lf])) * 2.0**40) / 2.0**40
         offs = np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span)
         self.leaf_path = np.zeros((n_trees, n_leaf))
         self.leaf_path[np.repeat(tree[lf], span), np.repeat(start, span) + offs] = np.repeat(value, span)
@@ -322,7 +369,7 @@ def score(
     n_feat = len(model.features)
     tmp = "_iforest_x"
     base = df.drop(out_col) if out_col in df.columns else df
-    src = base.withColumn(tmp, F.col(vector_col) if vector_col else _vector(model.features, default))
+    src = base.withColumn(tmp, _rounded(F.col(vector_col) if vector_col else _vector(model.features, default), model.digits))
     schema = T.StructType(src.schema.fields + [T.StructField(out_col, T.DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -459,6 +506,6 @@ def load_model(spark: SparkSession, path: str, version: str = "latest") -> IFore
     model = IForestModel(nodes=spark.createDataFrame(nodes_pd, NODE_SCHEMA), features=meta["feature_names"],
                          n_trees=meta["n_estimators"], psi=meta["max_samples"], seed=meta["random_state"],
                          n_train=meta["training_samples"], offset=meta["offset"],
-                         contamination=meta["contamination"], version=ver, meta=meta)
+                         contamination=meta["contamination"], version=ver, digits=meta.get("digits"), meta=meta)
     model._nodes_pd = nodes_pd
     return model

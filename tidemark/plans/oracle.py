@@ -248,7 +248,21 @@ WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 1 HOUR AND hour_ts < {AS_OF_SQL}
 """
 
 
-def _read_features_sql(default: str | None) -> str:
+#: Every pool, and ids without rows.
+ALL_IDS = """
+ids AS (SELECT DISTINCT pool_id FROM pool_hours UNION ALL SELECT 'absent_' || CAST(s_suppkey AS VARCHAR) FROM supplier)"""
+
+
+def latest_cte(source: str = "lab", where: str = "TRUE", name: str = "l") -> str:
+    """The newest value of each feature that is not NULL."""
+    cells = ", ".join(f"arg_max({c}, hour_ts) FILTER ({c} IS NOT NULL) AS {c}" for c in _FEATS13)
+    return f"""
+{name} AS (
+  SELECT pool_id AS entity_id, max(hour_ts) AS feature_timestamp, {cells} FROM {source} WHERE {where} GROUP BY pool_id
+)"""
+
+
+def _read_features_sql(default: str | None, source: str = "lab", more: tuple[str, ...] = ()) -> str:
     def val(c: str) -> str:
         v = f"CAST(l.{c} AS DOUBLE)"
         v = v if default is None else f"coalesce({v}, {default})"
@@ -256,28 +270,25 @@ def _read_features_sql(default: str | None) -> str:
 
     used = " + ".join(f"(CASE WHEN l.{c} IS NOT NULL THEN 1 ELSE 0 END)" for c in _FEATS13)
     return f"""
-{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())},
-vals AS (
-  SELECT pool_id AS entity_id, hour_ts AS feature_timestamp, {", ".join(_FEATS13)}
-  FROM lab
-),
-latest AS (
-  SELECT * FROM (
-    SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id ORDER BY feature_timestamp DESC) AS rn FROM vals
-  ) WHERE rn = 1
-),
-ids AS (SELECT DISTINCT pool_id FROM pool_hours UNION ALL SELECT 'absent_' || CAST(s_suppkey AS VARCHAR) FROM supplier)
+{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte(), *more, latest_cte(source), ALL_IDS)}
 SELECT ids.pool_id,
   {", ".join(val(c) for c in _FEATS13)},
   CAST({used} AS BIGINT) AS features_used,
   CAST(13 - ({used}) AS BIGINT) AS features_missing
-FROM ids LEFT JOIN latest l ON ids.pool_id = l.entity_id
+FROM ids LEFT JOIN l ON ids.pool_id = l.entity_id
 """
 
 
 SQL["latest_features"] = _read_features_sql("0.0")
 SQL["feature_lookup"] = _read_features_sql(None)
 
+_DERIVED = [c for c in _FEATS13 if c not in ("volume_usd", "tvl_usd", "liquidity", "tx_count")]
+SQL["partial_rows_lookup"] = _read_features_sql(None, "cut", (f"""
+cut AS (
+  SELECT pool_id, hour_ts, {", ".join(c if c not in _DERIVED else f"CASE WHEN tx_count > 1 THEN {c} END AS {c}" for c in _FEATS13)}
+  FROM lab
+)""",))
+
 SQL["incremental_features"] = SQL["pool_features"]
 
 SQL["upsert_labeled"] = f"""
@@ -449,3 +460,143 @@ SQL["stream_labeled"] = SQL["pool_features_labeled"]
 
 SQL["raw_table_ingest"] = SQL["stg_pool_hourly_all"]
 SQL["labeled_table_upsert"] = SQL["upsert_labeled"]
+
+# ---- Isolation Forest: sample, growth and walk, level by level ---------------------------
+
+TREES, PSI, HEIGHT, SEED, PRIME = 200, 256, 8, 42, 2147483647
+
+
+def _digits(*parts: str, n: int = 12) -> str:
+    return f"('0x' || substr(md5({" || '|' || ".join(parts)}), 1, {n}))::BIGINT"
+
+
+def _vec(prefix: str = "") -> str:
+    return "[" + ", ".join(f"round(coalesce(CAST({prefix}{c} AS DOUBLE), 0.0) * 1e6) / 1e6" for c in _FEATS13) + "]"
+
+
+def forest_cte() -> str:
+    """``nodes`` of the forest trained on the last 30 days of ``lab``."""
+    lo = ", ".join(f"min(x[{i}])" for i in range(1, 14))
+    hi = ", ".join(f"max(x[{i}])" for i in range(1, 14))
+    fraction = lambda name: f"{_digits(repr(str(SEED)), 'tree', 'node', repr(name))} / 281474976710656.0"
+    ctes = [f"""
+train AS MATERIALIZED (
+  SELECT {_digits("pool_id", "CAST(hour_ts AS VARCHAR)", n=15)} AS k, {_vec()} AS x
+  FROM lab WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 30 DAY
+),
+numbers AS (
+  SELECT t AS tree, {_digits(repr(str(SEED)), "t", "'a'")} % {PRIME - 1} + 1 AS a, {_digits(repr(str(SEED)), "t", "'b'")} % {PRIME} AS b
+  FROM (SELECT unnest(range(0, {TREES})) AS t)
+),
+l0 AS MATERIALIZED (
+  SELECT tree, x, 0 AS node FROM train, numbers
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (a * (k % {PRIME}) + b) % {PRIME}, k, x) <= {PSI}
+)"""]
+    for d in range(HEIGHT + 1):
+        ctes.append(f"""
+s{d} AS (
+  SELECT tree, node, count(*) AS size, [{lo}] AS lo, [{hi}] AS hi FROM l{d} GROUP BY tree, node
+),
+o{d} AS (
+  SELECT *, list_filter(range(1, 14), lambda i: hi[i] > lo[i]) AS open FROM s{d}
+),
+f{d} AS (
+  SELECT *, CASE WHEN {d} < {HEIGHT} AND len(open) > 0
+    THEN open[1 + CAST(floor({fraction("feature")} * len(open)) AS INT)] ELSE 0 END AS feature FROM o{d}
+),
+a{d} AS (
+  SELECT *, lo[feature] + {fraction("split")} * (hi[feature] - lo[feature]) AS s FROM f{d}
+),
+n{d} AS MATERIALIZED (
+  SELECT tree, node, feature, CASE WHEN feature = 0 THEN 0.0 WHEN s > lo[feature] AND s <= hi[feature] THEN s
+    ELSE (lo[feature] + hi[feature]) / 2.0 END AS split, size, {d} AS depth FROM a{d}
+)""")
+        if d < HEIGHT:
+            ctes.append(f"""
+l{d + 1} AS MATERIALIZED (
+  SELECT l.tree, x, 2 * l.node + CASE WHEN x[feature] < split THEN 1 ELSE 2 END AS node
+  FROM l{d} l JOIN n{d} n ON n.tree = l.tree AND n.node = l.node WHERE feature > 0
+)""")
+    ctes.append("""
+nodes AS MATERIALIZED (
+""" + " UNION ALL ".join(f"SELECT * FROM n{d}" for d in range(HEIGHT + 1)) + """
+)""")
+    return ",".join(ctes)
+
+
+def scored_cte(source: str, name: str = "scored", key: str = "r") -> str:
+    """``(key, score)`` of every row of ``source``, which has ``key`` and the vector ``x``."""
+    c = lambda n: f"CASE WHEN {n} > 2 THEN 2.0 * (ln({n} - 1.0) + 0.5772156649015329) - 2.0 * ({n} - 1.0) / {n} WHEN {n} = 2 THEN 1.0 ELSE 0.0 END"
+    ctes = [f"""
+{name}_w0 AS (SELECT {key}, x, t AS tree, 0 AS node FROM {source}, (SELECT unnest(range(0, {TREES})) AS t))"""]
+    for d in range(HEIGHT):
+        ctes.append(f"""
+{name}_w{d + 1} AS (
+  SELECT w.{key}, x, w.tree, CASE WHEN feature = 0 THEN w.node WHEN x[feature] < split THEN 2 * w.node + 1 ELSE 2 * w.node + 2 END AS node
+  FROM {name}_w{d} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node
+)""")
+    psi = f"(SELECT least({PSI}, count(*)) FROM train)"
+    ctes.append(f"""
+{name} AS MATERIALIZED (
+  SELECT w.{key}, pow(2.0, -(sum(round((depth + {c("size")}) * 1099511627776.0) / 1099511627776.0) / {TREES}) / (SELECT {c("n")} FROM (SELECT {psi} AS n))) AS score
+  FROM {name}_w{HEIGHT} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node GROUP BY w.{key}
+)""")
+    return ",".join(ctes)
+
+
+def _forest_sql(*more: str) -> str:
+    return with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte(), forest_cte(), *more)
+
+
+ALL_ROWS = f"""
+points AS MATERIALIZED (SELECT row_number() OVER () AS r, dex_protocol, pool_id, hour_ts, {_vec()} AS x FROM lab)"""
+OFFSET = """
+edge AS (SELECT quantile_disc(score, 0.9) AS cut FROM scored)"""
+
+SQL["iforest_scores"] = f"""
+{_forest_sql(ALL_ROWS, scored_cte("points"))}
+SELECT pool_id, hour_ts, round(score, 6) AS anomaly_score FROM points JOIN scored USING (r)
+"""
+
+SQL["iforest_decisions"] = f"""
+{_forest_sql(ALL_ROWS, scored_cte("points"), OFFSET)}
+SELECT pool_id, hour_ts, round(score, 6) AS anomaly_score, score >= 3.0 AS is_anomaly, 3.0::DOUBLE AS threshold,
+  CASE WHEN score > cut THEN -1 ELSE 1 END AS prediction
+FROM points JOIN scored USING (r), edge
+"""
+
+SQL["iforest_mean_score"] = f"""
+{_forest_sql(ALL_ROWS, scored_cte("points"))}
+SELECT round(avg(score), 6) AS mean_anomaly_score, count(*) AS rows FROM scored
+"""
+
+_USED = " + ".join(f"(CASE WHEN l.{c} IS NOT NULL THEN 1 ELSE 0 END)" for c in _FEATS13)
+SQL["predict_pools"] = f"""
+{_forest_sql(latest_cte(), ALL_IDS, f"""
+asked AS MATERIALIZED (
+  SELECT ids.pool_id, {_vec("l.")} AS x, {_USED} AS used FROM ids LEFT JOIN l ON l.entity_id = ids.pool_id
+)""", scored_cte("asked", key="pool_id"))}
+SELECT pool_id, round(score, 6) AS score, score >= 3.0 AS is_anomaly, 3.0::DOUBLE AS threshold, used::BIGINT AS features_used,
+  (13 - used)::BIGINT AS features_missing, NULL::VARCHAR AS error
+FROM asked JOIN scored USING (pool_id)
+"""
+
+_EXPORTED = f"pool_id IN (SELECT pool_id FROM lab WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 1 HOUR AND hour_ts < {AS_OF_SQL})"
+SQL["hourly_pipeline"] = f"""
+{_forest_sql(latest_cte(where=_EXPORTED), f"""
+asked AS MATERIALIZED (SELECT entity_id, feature_timestamp, {_vec()} AS x FROM l)""", scored_cte("asked", key="entity_id"))}
+SELECT entity_id, feature_timestamp, round(score, 6) AS anomaly_score, score >= 3.0 AS is_anomaly,
+  CASE WHEN score > 0.5 THEN -1 ELSE 1 END AS prediction
+FROM asked JOIN scored USING (entity_id)
+"""
+
+# One batch up to the mark and one after it; the newest row of a pool in a batch is judged.
+SQL["stream_alerts"] = f"""
+{_forest_sql(ALL_ROWS, scored_cte("points"), OFFSET)},
+newest AS (
+  SELECT *, CASE WHEN hour_ts < TIMESTAMP '2024-01-25 00:00:00' THEN 0 ELSE 1 END AS batch_id FROM points
+  QUALIFY row_number() OVER (PARTITION BY pool_id, batch_id ORDER BY hour_ts DESC, dex_protocol DESC) = 1
+)
+SELECT dex_protocol, pool_id, hour_ts, round(score, 6) AS anomaly_score, round(cut, 6) AS threshold, batch_id
+FROM newest JOIN scored USING (r), edge WHERE score >= cut
+"""

@@ -138,6 +138,15 @@ def q_feature_lookup(spark, sf_dir):
     return round6(read_features(_store_values(spark, sf_dir), _all_pool_ids(spark, sf_dir), default=None))
 
 
+def q_partial_rows_lookup(spark, sf_dir):
+    """A store whose rows of hours with one event hold the four measures alone: the other features come from older rows."""
+    values = _store_values(spark, sf_dir)
+    whole = F.col("tx_count") > 1
+    derived = [c for c in FEATURES if c not in ("volume_usd", "tvl_usd", "liquidity", "tx_count")]
+    values = values.withColumns({c: F.when(whole, F.col(c)) for c in derived})
+    return round6(read_features(values, _all_pool_ids(spark, sf_dir), default=None))
+
+
 MARK = "2024-01-25 00:00:00"
 LATER = "2024-02-01 00:00:00"
 
@@ -303,7 +312,7 @@ def q_supplier_day_labeled(spark, sf_dir):
     return round6(label(supplier_features(spark, sf_dir)))
 
 
-# ---- Isolation Forest (no SQL oracle: checked by properties in tests/) -----------
+# ---- Isolation Forest ------------------------------------------------------------
 
 def _model(spark, sf_dir, contamination="auto"):
     from tidemark.plans.pipeline import train_model
@@ -485,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "feature_export": q_feature_export,
     "latest_features": q_latest_features,
     "feature_lookup": q_feature_lookup,
+    "partial_rows_lookup": q_partial_rows_lookup,
     "incremental_features": q_incremental_features,
     "upsert_labeled": q_upsert_labeled,
     "dedup_latest": q_dedup_latest,
