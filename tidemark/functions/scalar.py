@@ -72,6 +72,11 @@ def ntz_to_seconds(ts: Column | str) -> Column:
     return F.timestamp_diff("SECOND", epoch_ntz(), _c(ts))
 
 
+def epoch_hours(ts: Column | str) -> Column:
+    """Whole hours since the epoch, the order of time-exact frames."""
+    return F.floor(ntz_to_seconds(ts) / F.lit(3600))
+
+
 def instant_to_ntz(ts: Column | str) -> Column:
     """A zoned TIMESTAMP (an instant) -> its UTC wall-clock TIMESTAMP_NTZ, zone independent."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(ts)), epoch_ntz())

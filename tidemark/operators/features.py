@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import (
     change_rate,
     day_of_week,
+    epoch_hours,
     hour_of_day,
     hours_between,
     safe_div,
@@ -62,13 +63,27 @@ def pool_features(
     partition_by: Sequence[str] = ("pool_id",),
     rate_form: str = "diff",
     quality_filter: bool = True,
+    frame: str = "rows",
 ) -> DataFrame:
     """The 13-feature time series plus ``hours_ago`` (M-2).
 
-    Lags and frames count rows, not hours (a gap shifts them), as the
-    reference does.  ``rate_form='ratio'`` gives ``v / v24 - 1`` (W-6).
+    With ``frame='rows'`` lags and frames count rows (a gap shifts them), as
+    the reference does; with ``'hours'`` they are exact in time (D-4): the
+    averages take the rows of the last 6 and 24 hours, a rate compares with
+    the row exactly 24 hours before (the mean of its rows, should a series
+    have several in that hour) and is NULL where there is none.
+    ``rate_form='ratio'`` gives ``v / v24 - 1`` (W-6).
     """
     w = series_window(partition_by)
+    if frame == "rows":
+        last = lambda n: w.rowsBetween(-(n - 1), 0)
+        before = lambda c: F.lag(c, LAG_ROWS).over(w)
+    elif frame == "hours":
+        hours = Window.partitionBy(*partition_by).orderBy(epoch_hours("hour_ts"))
+        last = lambda n: hours.rangeBetween(-(n - 1), 0)
+        before = lambda c: F.avg(c).over(hours.rangeBetween(-LAG_ROWS, -LAG_ROWS))
+    else:
+        raise ValueError(f"unknown frame {frame!r}")
     src = staged.filter(~F.col("has_negative_values")) if quality_filter else staged
     vol = F.col("volume_usd")
     metrics = src.select(
@@ -79,11 +94,11 @@ def pool_features(
         "tvl_usd",
         "liquidity",
         "tx_count",
-        F.lag(vol, LAG_ROWS).over(w).alias("_vol_prev"),
-        F.lag("tvl_usd", LAG_ROWS).over(w).alias("_tvl_prev"),
-        F.avg(vol).over(w.rowsBetween(-(SHORT_ROWS - 1), 0)).alias("vol_ma_6h"),
-        F.avg(vol).over(w.rowsBetween(-(LONG_ROWS - 1), 0)).alias("vol_ma_24h"),
-        F.stddev_samp(vol).over(w.rowsBetween(-(LONG_ROWS - 1), 0)).alias("vol_std_24h"),
+        before(vol).alias("_vol_prev"),
+        before(F.col("tvl_usd")).alias("_tvl_prev"),
+        F.avg(vol).over(last(SHORT_ROWS)).alias("vol_ma_6h"),
+        F.avg(vol).over(last(LONG_ROWS)).alias("vol_ma_24h"),
+        F.stddev_samp(vol).over(last(LONG_ROWS)).alias("vol_std_24h"),
     )
     now = None if as_of is None else (ts_literal(as_of) if isinstance(as_of, str) else as_of)
     out = metrics.select(
@@ -178,3 +193,44 @@ def stored_history(spark, path: str, since: DataFrame, rows: int = LAG_ROWS, day
     short = since.join(enough, "pool_id", "left_anti").select("pool_id")
     older = table.filter(F.col(partition_col) < F.lit(start)).join(short, "pool_id", "left_semi")
     return recent.drop("since").unionByName(older.select(*table.columns))
+
+
+def warm_history(spark, path: str, start: str, rows: int = LAG_ROWS, days: int = WARM_DAYS, partition_by: Sequence[str] = ("pool_id",),
+                 partition_col: str = "hour_date", end: str | None = None, monthly: bool = False) -> DataFrame:
+    """Stored staging rows from which all features from ``start`` on (before ``end``, if given) can be computed (D-5).
+
+    The look-back sits below the windows: day partitions from ``days`` before
+    ``start`` are read, and only series that are seen from ``start`` on with
+    fewer than ``rows`` accepted rows before it have older days read, of which
+    their last rows alone go on.  The ids of those series stay in a semi-join.
+    ``monthly``: the partition column holds the first day of the month.
+    """
+    import datetime as _dt
+
+    first = _dt.datetime.fromisoformat(start)
+    floor = (lambda d: d.replace(day=1)) if monthly else (lambda d: d)
+    edge = floor(first.date() - _dt.timedelta(days=days))
+    table = spark.read.parquet(path).filter(~F.col("has_negative_values"))
+    recent = table.filter(F.col(partition_col) >= F.lit(edge))
+    if end is not None:
+        last = _dt.datetime.fromisoformat(end)
+        recent = recent.filter((F.col(partition_col) <= F.lit(floor(last.date()))) & (F.col("hour_ts") < F.lit(last)))
+    now = F.col("hour_ts") >= F.lit(first)
+    asked = (recent.groupBy(*partition_by).agg(F.count_if(now).alias("_now"), F.count_if(~now).alias("_before"))
+             .filter((F.col("_now") > 0) & (F.col("_before") < rows)).select(*partition_by))
+    older = table.filter(F.col(partition_col) < F.lit(edge)).join(asked, list(partition_by), "left_semi")
+    rn = F.row_number().over(series_window(partition_by, descending=True))
+    older = older.withColumn("_rn", rn).filter(F.col("_rn") <= rows).drop("_rn")
+    return recent.unionByName(older.select(*recent.columns))
+
+
+def recent_features(spark, path: str, start: str, as_of: Column | str | None = None, end: str | None = None, rate_form: str = "diff",
+                    partition_by: Sequence[str] = ("pool_id",), **layout) -> DataFrame:
+    """Features of the rows from ``start`` on (before ``end``) of a day-partitioned staging table.
+
+    Equal to computing the whole history and keeping those rows, at the cost
+    of the days asked for and their warm-up.  ``layout`` as in ``warm_history``.
+    """
+    rows = warm_history(spark, path, start, partition_by=partition_by, end=end, **layout)
+    out = pool_features(rows, as_of=as_of, lookback=None, partition_by=partition_by, rate_form=rate_form, quality_filter=False)
+    return out.filter(F.col("hour_ts") >= ts_literal(start))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.staging import lookback_days
@@ -39,17 +39,28 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("pool_id", "hour_ts")) -> DataFrame:
-    """Merge on a unique key: matched rows are replaced, new ones inserted (V-2, V-5).
+    """Merge on a unique key: matched rows are replaced, new ones inserted (V-2, V-5).  NULL key parts are equal.
 
     Updates that give a key more than once count once: the newest ``load_ts``
     wins if they have one, else the row with the largest hash.  An anti join plus a union; AQE broadcasts the update keys only when their
     measured size is under the broadcast threshold, else it sort-merges.
     """
     updates = one_per_key(updates, keys)
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    kept = without_keys(target, updates, keys)
     return kept.unionByName(updates.select(*target.columns))
 
 
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``other``; NULL key parts are equal, so a keyless row replaces its like."""
+    names = [f"_key_{i}" for i in range(len(keys))]
+    given = other.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    same = None
+    for k, n in zip(keys, names):
+        equal = F.col(k).eqNullSafe(F.col(n))
+        same = equal if same is None else same & equal
+    return df.join(given, same, "left_anti")
+
+
 def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hour_date") -> DataFrame:
     """The partitions of the table at ``path`` that ``updates`` touches.
 
@@ -58,7 +69,10 @@ def read_touched(spark, path: str, updates: DataFrame, partition_col: str = "hou
     whatever the size estimate of ``updates``.
     """
     days = [r[0] for r in updates.select(partition_col).distinct().collect()]
-    return spark.read.parquet(path).filter(F.col(partition_col).isin(days))
+    touched = F.col(partition_col).isin([d for d in days if d is not None])
+    if None in days:  # rows without a day have a partition of their own, which is rewritten like any other
+        touched = touched | F.col(partition_col).isNull()
+    return spark.read.parquet(path).filter(touched)
 
 
 def write_days(df: DataFrame, path: str, mode: str, partition_col: str = "hour_date") -> None:
@@ -99,17 +113,17 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
     if deletes is not None:
         gone = gone.unionByName(dated(deletes).select(partition_col, *keys).distinct())
     current = read_touched(spark, spark_path, gone, partition_col)
-    kept = current.join(gone.select(*keys), list(keys), "left_anti")
+    kept = without_keys(current, gone, keys)
     merged = kept.unionByName(upd.select(*current.columns))
     merged.write.parquet(f"{stage}/merged")
     staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
     emptied = set()
     if deletes is not None:
-        days = lambda df: {r[0] for r in df.select(partition_col).distinct().collect()} - {None}
+        days = lambda df: {r[0] for r in df.select(partition_col).distinct().collect()}
         emptied = days(current) - days(staged)
     write_days(staged, spark_path, "overwrite", partition_col)
     for day in emptied:
-        drop_partition(spark, f"{spark_path}/{partition_col}={day}")
+        drop_partition(spark, f"{spark_path}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
 
 
 def drop_partition(spark, path: str) -> None:
@@ -136,6 +150,104 @@ def prune(df: DataFrame, as_of: Column | str, days: int, col: str = "hour_ts") -
     return lookback_days(df, as_of, days, col=col, by_date=True)
 
 
+def _hadoop(spark, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def partitions(spark, path: str, partition_col: str = "hour_date") -> dict[str, tuple[int, int]]:
+    """``{value: (files, bytes)}`` of a table's partitions, from the file system's own listing (no file is opened)."""
+    system, folder = _hadoop(spark, path)
+    found: dict[str, tuple[int, int]] = {}
+    for entry in system.listStatus(folder):
+        name = entry.getPath().getName()
+        if entry.isDirectory() and name.startswith(f"{partition_col}="):
+            files = [f for f in system.listStatus(entry.getPath()) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+            found[name.split("=", 1)[1]] = (len(files), sum(f.getLen() for f in files))
+    return found
+
+
+def prune_table(spark, path: str, as_of: str, days: int, partition_col: str = "hour_date") -> list[str]:
+    """Retention on disk (S-14): delete the partitions older than the last ``days`` calendar days before ``as_of``.
+
+    Partition values are dates, or instants that begin with one (an export's
+    ``run_time``).  Only folders are listed and deleted; running it again
+    changes nothing, and a run that was cut short is completed by the next.
+    The partition of rows without a day, and values that are no date, stay.
+    Returns the values deleted.
+    """
+    import datetime as _dt
+
+    keep_from = _dt.date.fromisoformat(as_of[:10]) - _dt.timedelta(days=days)
+    gone = []
+    for value in sorted(partitions(spark, path, partition_col)):
+        try:
+            day = _dt.date.fromisoformat(value[:10])
+        except ValueError:
+            continue
+        if day < keep_from:
+            drop_partition(spark, f"{path.rstrip('/')}/{partition_col}={value}")
+            gone.append(value)
+    return gone
+
+
+def compact(spark, path: str, most_files: int = 4, partition_col: str = "hour_date") -> list[str]:
+    """Rewrite the days of an appended table that have more than ``most_files`` files (S-4).
+
+    A table that gets a file from every hourly run ends up with many small
+    ones.  The days concerned are read once, staged in the shared folder and
+    written back as files near the advisory partition size, sorted by series,
+    so that row groups can be skipped; the other days are not touched.  Rows
+    do not change.  The rewrite replaces whole days: appends to the same days
+    must not run beside it.  Returns the days rewritten.
+    """
+    from tidemark.session import scratch_path
+
+    days = sorted(v for v, (files, _) in partitions(spark, path, partition_col).items() if files > most_files and v != "__HIVE_DEFAULT_PARTITION__")
+    if not days:
+        return []
+    table = spark.read.parquet(path)
+    some = table.filter(F.col(partition_col).cast("string").isin(days))
+    stage = scratch_path(spark, "compact")
+    some.write.parquet(stage)
+    write_days(spark.read.schema(some.schema).parquet(stage), path, "overwrite", partition_col)
+    spark.catalog.refreshByPath(path)
+    return days
+
+
+PAGE_ORDER = ("hour_ts", "pool_id", "dex_protocol")
+
+
+def write_pages(df: DataFrame, path: str, order: Sequence[str] = PAGE_ORDER, rows_per_range: int = 100_000) -> None:
+    """Write ``df`` in key ranges with an exact index, so that any page is read from its own ranges (O-4).
+
+    One range exchange puts the rows in order over ``rows / rows_per_range``
+    ranges; each is a partition of the table.  The index counts the rows of
+    every range and those before it: one row for each range.
+    """
+    spark = df.sparkSession
+    n = df.count()
+    ranges = max(1, -(-n // rows_per_range))
+    placed = df.repartitionByRange(ranges, *order).withColumn("page_range", F.spark_partition_id())
+    placed.sortWithinPartitions("page_range", *order).write.partitionBy("page_range").parquet(f"{path}/rows")
+    sizes = spark.read.parquet(f"{path}/rows").groupBy("page_range").agg(F.count(F.lit(1)).alias("rows")) if n else spark.createDataFrame(
+        [], "page_range int, rows long")
+    before = F.sum("rows").over(Window.orderBy("page_range").rowsBetween(Window.unboundedPreceding, -1))
+    sizes.withColumn("before", F.coalesce(before, F.lit(0))).coalesce(1).write.parquet(f"{path}/index")
+    df.limit(0).write.parquet(f"{path}/schema")
+
+
+def read_page(spark, path: str, first: int, skip: int = 0, order: Sequence[str] = PAGE_ORDER) -> DataFrame:
+    """Rows ``skip`` to ``skip + first`` of a table written by ``write_pages``; reads and sorts only the ranges they lie in."""
+    schema = spark.read.parquet(f"{path}/schema").schema
+    index = spark.read.schema("page_range int, rows long, before long").parquet(f"{path}/index")
+    hit = index.filter((F.col("before") < skip + first) & (F.col("before") + F.col("rows") > skip)).orderBy("page_range").collect()
+    if not hit:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("page_range").isin([r["page_range"] for r in hit]))
+    return rows.orderBy(*order).offset(skip - hit[0]["before"]).limit(first).select(*schema.fieldNames())
+
+
 def page(df: DataFrame, first: int, skip: int = 0, order: Sequence[str] = ("hour_ts", "pool_id", "dex_protocol")) -> DataFrame:
     """Ordered ``first``/``skip`` slice (O-4).  The order must be total (unique key) to page stably."""
     return df.orderBy(*order).offset(skip).limit(first)

@@ -189,14 +189,15 @@ SELECT {r6(LABELED_COLS, LABELED_DOUBLES)} FROM flat
 """
 
 # A pool's week as one sorted list: totals are list aggregates, the rows its unnested entries from the newest back.
-SQL["anomaly_dashboard"] = f"""
-{with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())},
+def _dashboard_sql(ctes: str, as_of: str = AS_OF_SQL, days: int = 7) -> str:
+    return f"""
+{ctes},
 week AS (
   SELECT pool_id, list(struct_pack(h := hour_ts, d := dex_protocol, v := volume_usd, t := tvl_usd, l := liquidity,
                                    s := anomaly_score, a := is_anomaly) ORDER BY hour_ts DESC, dex_protocol DESC) AS e,
          avg(volume_usd) AS mean_volume, avg(tvl_usd) AS mean_tvl
   FROM lab
-  WHERE date_diff('second', hour_ts, {AS_OF_SQL}) <= 7 * 86400
+  WHERE date_diff('second', hour_ts, {as_of}) <= {days} * 86400
   GROUP BY pool_id
 ),
 spread AS (
@@ -215,6 +216,9 @@ SELECT pool_id, e[k].h AS hour_ts, round(e[k].v, 6) AS volume_usd, round(e[k].t,
 FROM spread
 """
 
+
+SQL["anomaly_dashboard"] = _dashboard_sql(with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte()))
+
 # The earlier hour is found by its rank among the hours, not by a lag.
 SQL["anomaly_timeseries"] = f"""
 {with_ctes(POOL_HOURS, STG, features_cte(), labeled_cte())},
@@ -461,6 +465,70 @@ SQL["stream_labeled"] = SQL["pool_features_labeled"]
 SQL["raw_table_ingest"] = SQL["stg_pool_hourly_all"]
 SQL["labeled_table_upsert"] = SQL["upsert_labeled"]
 
+# ---- the same views from written tables ---------------------------------------------------
+
+SQL["stored_feature_export"] = SQL["feature_export"]
+SQL["stored_latest_status"] = SQL["latest_status"]
+SQL["stored_dashboard"] = SQL["anomaly_dashboard"]
+SQL["stored_timeseries"] = SQL["anomaly_timeseries"]
+
+SQL["last_hour_features"] = f"""
+{with_ctes(POOL_HOURS, STG, features_cte())}
+SELECT {r6(FEATURE_COLS + ["hours_ago"], FEATURE_DOUBLES)} FROM f
+WHERE hour_ts >= {AS_OF_SQL} - INTERVAL 1 HOUR AND hour_ts < {AS_OF_SQL}
+"""
+
+# The value 24 hours before by a join on the hour; averages over ranges of time.
+SQL["pool_features_by_time"] = f"""
+{with_ctes(POOL_HOURS, STG)},
+good AS (SELECT * FROM stg WHERE NOT has_negative_values),
+spans AS (
+  SELECT *,
+    avg(volume_usd) OVER (PARTITION BY pool_id ORDER BY hour_ts RANGE BETWEEN INTERVAL 5 HOUR PRECEDING AND CURRENT ROW) AS vol_ma_6h,
+    avg(volume_usd) OVER (PARTITION BY pool_id ORDER BY hour_ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW) AS vol_ma_24h,
+    stddev_samp(volume_usd) OVER (PARTITION BY pool_id ORDER BY hour_ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW) AS vol_std_24h
+  FROM good
+),
+f AS (
+  SELECT s.dex_protocol, s.pool_id, s.hour_ts, s.volume_usd, s.tvl_usd, s.liquidity, s.tx_count,
+    (s.volume_usd - p.volume_usd) / nullif(p.volume_usd, 0) AS vol_rate_24h,
+    (s.tvl_usd - p.tvl_usd) / nullif(p.tvl_usd, 0) AS tvl_rate_24h,
+    s.vol_ma_6h, s.vol_ma_24h, s.vol_std_24h, s.volume_usd / nullif(s.tvl_usd, 0) AS vol_tvl_ratio,
+    (s.volume_usd - s.vol_ma_24h) / nullif(s.vol_std_24h, 0) AS volume_zscore,
+    CAST(hour(s.hour_ts) AS BIGINT) AS hour_of_day, CAST(dayofweek(s.hour_ts) + 1 AS BIGINT) AS day_of_week,
+    CAST(date_diff('hour', s.hour_ts, {AS_OF_SQL}) AS BIGINT) AS hours_ago
+  FROM spans s LEFT JOIN good p ON p.pool_id = s.pool_id AND p.hour_ts = s.hour_ts - INTERVAL 24 HOUR
+  WHERE s.hour_ts >= {AS_OF_SQL} - INTERVAL 90 DAY
+)
+SELECT {r6(FEATURE_COLS + ["hours_ago"], FEATURE_DOUBLES)} FROM f
+"""
+
+SQL["retention_table"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+SELECT {r6(STG_COLS, {"volume_usd", "tvl_usd", "liquidity"})}, NOT has_negative_values AS exported
+FROM stg
+WHERE CAST(hour_ts AS DATE) >= CAST({AS_OF_SQL} AS DATE) - INTERVAL 7 DAY
+"""
+
+SQL["compacted_table"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+SELECT {r6(STG_COLS, {"volume_usd", "tvl_usd", "liquidity"})}, TRUE AS few_files FROM stg
+"""
+
+SQL["seek_page"] = f"""
+{with_ctes(POOL_HOURS, STG)}
+SELECT {r6(STG_COLS, {"volume_usd", "tvl_usd", "liquidity"})}
+FROM stg ORDER BY hour_ts, pool_id, dex_protocol LIMIT 333 OFFSET 444
+"""
+
+SQL["supplier_recent_features"] = f"""
+{with_ctes(SUPPLIER_DAYS, STG, features_cte(as_of_sql=SUPPLY_AS_OF_SQL, lookback=90))}
+SELECT {r6(FEATURE_COLS + ["hours_ago"], FEATURE_DOUBLES)} FROM f
+"""
+
+SQL["supplier_dashboard"] = _dashboard_sql(
+    with_ctes(SUPPLIER_DAYS, STG, features_cte(as_of_sql=SUPPLY_AS_OF_SQL, lookback=None), labeled_cte()), SUPPLY_AS_OF_SQL, 1500)
+
 # ---- Isolation Forest: sample, growth and walk, level by level ---------------------------
 
 TREES, PSI, HEIGHT, SEED, PRIME = 200, 256, 8, 42, 2147483647
@@ -600,3 +668,24 @@ newest AS (
 SELECT dex_protocol, pool_id, hour_ts, round(score, 6) AS anomaly_score, round(cut, 6) AS threshold, batch_id
 FROM newest JOIN scored USING (r), edge WHERE score >= cut
 """
+
+SQL["hourly_write_back"] = f"""
+{_forest_sql(latest_cte(where=_EXPORTED), f"""
+asked AS MATERIALIZED (SELECT entity_id, feature_timestamp, {_vec()} AS x FROM l)""", scored_cte("asked", key="entity_id"))}
+SELECT {r6([f"{c}" for c in FEATURE_COLS], FEATURE_DOUBLES, "lab.")}, is_anomaly, round(score, 6) AS anomaly_score
+FROM lab LEFT JOIN asked ON lab.pool_id = asked.entity_id AND lab.hour_ts = asked.feature_timestamp LEFT JOIN scored USING (entity_id)
+"""
+
+SQL["iforest_saved_model"] = SQL["iforest_scores"].replace("round(score, 6) AS anomaly_score FROM", "round(score, 6) AS anomaly_score, '1' AS version FROM")
+
+SQL["instance_errors"] = f"""
+{_forest_sql(ALL_ROWS, scored_cte("points"), OFFSET)},
+checked AS (
+  SELECT p.pool_id, p.hour_ts, score, cut, CASE lab.tx_count WHEN 1 THEN 'expected 13 features, got 12' WHEN 2 THEN 'non-finite feature value'
+    WHEN 3 THEN 'missing instance' END AS error
+  FROM points p JOIN scored USING (r) JOIN lab ON lab.pool_id = p.pool_id AND lab.hour_ts = p.hour_ts AND lab.dex_protocol = p.dex_protocol, edge
+)
+SELECT pool_id, hour_ts, CASE WHEN error IS NULL THEN round(score, 6) ELSE 0.0 END AS anomaly_score, error IS NULL AND score >= 0.5 AS is_anomaly,
+  0.5::DOUBLE AS threshold, CASE WHEN error IS NULL THEN CASE WHEN score > cut THEN -1 ELSE 1 END END AS prediction, error
+FROM checked
+"""

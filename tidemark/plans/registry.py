@@ -148,6 +148,7 @@ def q_partial_rows_lookup(spark, sf_dir):
 
 
 MARK = "2024-01-25 00:00:00"
+SUPPLY_FROM = "2001-08-07 00:00:00"  # 90 days before the supplier series' own now
 LATER = "2024-02-01 00:00:00"
 
 
@@ -296,6 +297,101 @@ def q_labeled_table_upsert(spark, sf_dir):
     return round6(out.drop("hour_date"))
 
 
+def _labeled_table(spark, sf_dir) -> str:
+    from tidemark.session import scratch_path
+    from tidemark.sources.store import write_labeled
+
+    path = scratch_path(spark, "labeled-table")
+    write_labeled(scored_labeled(spark, sf_dir), path)
+    return path
+
+
+def q_stored_feature_export(spark, sf_dir):
+    """The last hour's export from the written labelled table: one day partition is read, nothing is computed again."""
+    from tidemark.sources.store import read_labeled_since
+
+    return round6(export_feature_values(read_labeled_since(spark, _labeled_table(spark, sf_dir), AS_OF, 1), AS_OF))
+
+
+def q_stored_latest_status(spark, sf_dir):
+    from tidemark.sources.store import read_labeled_since
+
+    return round6(latest_status(read_labeled_since(spark, _labeled_table(spark, sf_dir), AS_OF, 24), AS_OF))
+
+
+def q_stored_dashboard(spark, sf_dir):
+    from tidemark.sources.store import read_labeled_since
+
+    return round6(anomaly_dashboard(read_labeled_since(spark, _labeled_table(spark, sf_dir), AS_OF, 7 * 24), AS_OF))
+
+
+def q_stored_timeseries(spark, sf_dir):
+    from tidemark.sources.store import read_labeled_since
+
+    return round6(anomaly_timeseries(read_labeled_since(spark, _labeled_table(spark, sf_dir), AS_OF, 30 * 24), AS_OF))
+
+
+def q_last_hour_features(spark, sf_dir):
+    """Features of the last hour from the written staging table: its day, a week of warm-up, and older rows of sparse series."""
+    from tidemark.operators.features import recent_features
+    from tidemark.operators.maintenance import write_days
+    from tidemark.session import scratch_path
+
+    path = scratch_path(spark, "staging")
+    write_days(staged(spark, sf_dir).withColumn("hour_date", F.to_date("hour_ts")), path, "append")
+    return round6(recent_features(spark, path, "2024-01-30 23:00:00", as_of=AS_OF, end=AS_OF))
+
+
+def q_pool_features_by_time(spark, sf_dir):
+    """Features with time-exact frames (D-4)."""
+    return round6(pool_features(staged(spark, sf_dir), as_of=AS_OF, frame="hours"))
+
+
+def q_retention_table(spark, sf_dir):
+    """Retention on disk (S-14): staging and exports written by day and run, older partitions deleted twice over, the rest read."""
+    from tidemark.operators.maintenance import prune_table, write_days
+    from tidemark.session import scratch_path
+
+    path, exports = scratch_path(spark, "staging"), scratch_path(spark, "exports")
+    rows = staged(spark, sf_dir)
+    write_days(rows.withColumn("hour_date", F.to_date("hour_ts")), path, "append")
+    runs = to_feature_values(scored_labeled(spark, sf_dir)).withColumn("run_time", F.date_format("feature_timestamp", "yyyy-MM-dd'T'000000"))
+    runs.hint("rebalance", "run_time").write.partitionBy("run_time").parquet(exports)
+    for _ in range(2):
+        prune_table(spark, path, AS_OF, 7)
+        prune_table(spark, exports, AS_OF, 7, partition_col="run_time")
+    kept = spark.read.parquet(exports).select(F.col("entity_id").alias("pool_id"), F.col("feature_timestamp").alias("hour_ts"), F.lit(True).alias("exported"))
+    out = spark.read.parquet(path).drop("hour_date").join(kept, ["pool_id", "hour_ts"], "left")
+    return round6(out.select(*rows.columns, F.coalesce("exported", F.lit(False)).alias("exported")))
+
+
+def q_compacted_table(spark, sf_dir):
+    """A raw table appended by six runs, compacted (S-4): rows and files by day."""
+    from tidemark.operators.maintenance import compact, partitions
+    from tidemark.session import scratch_path
+    from tidemark.sources.raw import append_raw
+
+    path = scratch_path(spark, "raw-table")
+    raw = raw_envelope(spark, sf_dir).checkpoint()
+    for run in range(6):
+        append_raw(raw.filter(F.hour("hour_ts") % 6 == run), path)
+    most = max(files for files, _ in partitions(spark, path).values())
+    compact(spark, path, most_files=2)
+    compacted = max(files for files, _ in partitions(spark, path).values()) <= max(2, most // 3)
+    rows = stage_pool_hourly(spark.read.parquet(path).drop("hour_date"), as_of=AS_OF)
+    return round6(rows.withColumn("few_files", F.lit(compacted)))
+
+
+def q_seek_page(spark, sf_dir):
+    """A page by the index of key ranges (O-4): only the ranges that hold it are read."""
+    from tidemark.operators.maintenance import read_page, write_pages
+    from tidemark.session import scratch_path
+
+    path = scratch_path(spark, "pages")
+    write_pages(staged(spark, sf_dir), path, rows_per_range=150)
+    return round6(read_page(spark, path, first=333, skip=444))
+
+
 # ---- the daily supplier series over lineitem: same operators, longer series ----------
 
 def supplier_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,6 +408,23 @@ def q_supplier_day_labeled(spark, sf_dir):
     return round6(label(supplier_features(spark, sf_dir)))
 
 
+def q_supplier_recent_features(spark, sf_dir):
+    """The last 90 days of every supplier from a table written by month, with a warm-up that reaches behind them (P-7, D-5)."""
+    from tidemark.operators.features import recent_features
+    from tidemark.session import scratch_path
+
+    path = scratch_path(spark, "supplier-days")
+    rows = flag_negative(supplier_days(spark, sf_dir)).withColumn("month", F.trunc("hour_ts", "month"))
+    rows.hint("rebalance", "month").sortWithinPartitions("month", "pool_id").write.partitionBy("month").parquet(path)
+    return round6(recent_features(spark, path, SUPPLY_FROM, as_of=SUPPLY_AS_OF, partition_col="month", monthly=True))
+
+
+def q_supplier_dashboard(spark, sf_dir):
+    """The dashboard over 1,500 days of suppliers: more rows than it shows, so the cut at 168 binds (O-3)."""
+    lab = label(supplier_features(spark, sf_dir))
+    return round6(anomaly_dashboard(with_score(lab, F.abs(F.col("volume_zscore"))), SUPPLY_AS_OF, days=1500))
+
+
 # ---- Isolation Forest ------------------------------------------------------------
 
 def _model(spark, sf_dir, contamination="auto"):
@@ -351,14 +464,54 @@ def q_predict_pools(spark, sf_dir):
 
 
 def q_hourly_pipeline(spark, sf_dir):
+    """The hourly job with its export written and imported again (S-7, S-8, S-9)."""
     from tidemark.plans.pipeline import hourly_pipeline
+    from tidemark.session import scratch_path
 
     lab = labeled(spark, sf_dir)
-    res = hourly_pipeline(lab, _store_values(spark, sf_dir), _model(spark, sf_dir), AS_OF)
+    path = scratch_path(spark, "exports")
+    res = hourly_pipeline(lab, _store_values(spark, sf_dir), _model(spark, sf_dir), AS_OF, export_path=path)
     return round6(res.predictions.select("entity_id", "feature_timestamp", "anomaly_score", "is_anomaly",
                                          "prediction"))
 
 
+def q_hourly_write_back(spark, sf_dir):
+    """The labelled table after the hourly job: scores of the exported pools on their newest rows (J-6)."""
+    from tidemark.plans.pipeline import hourly_pipeline
+
+    res = hourly_pipeline(labeled(spark, sf_dir), _store_values(spark, sf_dir), _model(spark, sf_dir), AS_OF)
+    return round6(res.labeled)
+
+
+def q_iforest_saved_model(spark, sf_dir):
+    """Fitted, saved twice under other versions, an alias set back to the first, loaded by it, scored (I-11)."""
+    from tidemark.operators.iforest import load_model, save_model, score, set_alias
+    from tidemark.session import scratch_path
+
+    path, lab = scratch_path(spark, "models"), labeled(spark, sf_dir)
+    model = _model(spark, sf_dir)
+    save_model(model, path, aliases=("latest", "production"))
+    other = _model(spark, sf_dir, contamination=0.1)
+    other.version = "2"
+    save_model(other, path, aliases=("latest", "production"))
+    set_alias(spark, path, "production", "1")
+    back = load_model(spark, path, "production")
+    return round6(score(lab, back).select("pool_id", "hour_ts", "anomaly_score", F.lit(back.version).alias("version")))
+
+
+def q_instance_errors(spark, sf_dir):
+    """Instance vectors with faults (I-7, I-8): rows of one event lack a value, of two hold a NaN, of three have no vector."""
+    from tidemark.operators.iforest import score_vectors
+    from tidemark.operators.lookup import feature_vector
+
+    rows = feature_vector(labeled(spark, sf_dir))
+    n = F.col("tx_count")
+    bad = F.transform("features", lambda x, i: F.when(i == 4, F.lit(float("nan"))).otherwise(x))
+    instance = F.when(n == 1, F.slice("features", 1, 12)).when(n == 2, bad).when(n != 3, F.col("features"))
+    out = score_vectors(rows.withColumn("instance", instance), _model(spark, sf_dir, contamination=0.1), threshold=0.5)
+    return round6(out.select("pool_id", "hour_ts", "anomaly_score", "is_anomaly", "threshold", "prediction", "error"))
+
+
 # ---- Structured Streaming: landing drops -> stream -> table in the shared folder ----
 
 KEYS3 = ("dex_protocol", "pool_id", "hour_ts")
@@ -515,6 +668,20 @@ QUERIES: dict[str, Query] = {
     "iforest_mean_score": q_iforest_mean_score,
     "predict_pools": q_predict_pools,
     "hourly_pipeline": q_hourly_pipeline,
+    "stored_feature_export": q_stored_feature_export,
+    "stored_latest_status": q_stored_latest_status,
+    "stored_dashboard": q_stored_dashboard,
+    "stored_timeseries": q_stored_timeseries,
+    "last_hour_features": q_last_hour_features,
+    "pool_features_by_time": q_pool_features_by_time,
+    "retention_table": q_retention_table,
+    "compacted_table": q_compacted_table,
+    "seek_page": q_seek_page,
+    "supplier_recent_features": q_supplier_recent_features,
+    "supplier_dashboard": q_supplier_dashboard,
+    "hourly_write_back": q_hourly_write_back,
+    "iforest_saved_model": q_iforest_saved_model,
+    "instance_errors": q_instance_errors,
     "stream_hourly_stats": q_stream_hourly_stats,
     "stream_dedup_latest": q_stream_dedup_latest,
     "stream_features": q_stream_features,

@@ -61,6 +61,19 @@ def read_labeled(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_labeled_since(spark: SparkSession, path: str, as_of: str, hours: int) -> DataFrame:
+    """The last ``hours`` hours of a labelled table before ``as_of``: its days as a partition filter, then the instants.
+
+    ``latest_status``, ``anomaly_dashboard``, ``anomaly_timeseries`` and the
+    hourly export read this and compute nothing older again.
+    """
+    import datetime as _dt
+
+    since = _dt.datetime.fromisoformat(as_of) - _dt.timedelta(hours=hours)
+    table = spark.read.parquet(path)
+    return table.filter((F.col("hour_date") >= F.lit(since.date())) & (F.col("hour_ts") >= F.lit(since))).drop("hour_date")
+
+
 def register_views(layers: dict[str, DataFrame]) -> list[str]:
     """Named views over each layer (S-13)."""
     for name, df in layers.items():

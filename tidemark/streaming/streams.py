@@ -21,6 +21,7 @@ from tidemark.operators.features import pool_features, series_window, stored_his
 from tidemark.operators.labels import label
 from tidemark.operators.maintenance import dedup_latest, one_per_key, read_touched, table_exists, write_upsert
 from tidemark.schemas import ISO_MICROS, RAW_JSONL
+from tidemark.sources.raw import enforce_required
 from tidemark.session import scratch_path
 
 WATERMARK = "2 hours"
@@ -55,29 +56,26 @@ def stream_dedup(df: DataFrame, keys: Sequence[str] = ("dex_protocol", "pool_id"
 def stream_hourly_stats(df: DataFrame, time_col: str = "event_time", delay: str | None = WATERMARK) -> DataFrame:
     """Tumbling one-hour fleet KPIs, emitted once the watermark closes the hour (T-3).
 
-    ``active_pools`` counts distinct ids, kept as a set in the hour's state
-    (streams refuse a distinct count).  Labelled rows also give the series'
-    ``anomaly_count`` and ``avg_anomaly_score``.  Pass ``delay=None`` when an
-    upstream operator (``stream_dedup``) already set the watermark.  An hour
-    that no later row has closed yet is held back; ``heartbeat`` closes it.
+    Two chained aggregations: one row of state per (hour, pool), then one per
+    hour that counts them, so ``active_pools`` is exact and no state row grows
+    with the number of pools.  Labelled rows also give ``anomaly_count`` and
+    ``avg_anomaly_score``.  Pass ``delay=None`` when an upstream operator
+    (``stream_dedup``) already set the watermark.  An hour that no later row
+    has closed yet is held back; ``heartbeat`` closes it.
     """
     labelled = {"is_anomaly", "anomaly_score"} <= set(df.columns)
-    more = [F.count_if("is_anomaly").alias("anomaly_count"), F.avg("anomaly_score").alias("avg_anomaly_score")] if labelled else []
     flagged = "is_anomaly" if "is_anomaly" in df.columns else "has_negative_values"
     src = df if delay is None else df.withWatermark(time_col, delay)
-    agg = (
-        src
-        .groupBy(F.window(time_col, "1 hour").alias("w"))
-        .agg(
-            F.size(F.collect_set("pool_id")).cast("bigint").alias("active_pools"),
-            F.sum("volume_usd").alias("total_volume"),
-            F.sum("tvl_usd").alias("total_tvl"),
-            F.sum(F.when(F.col(flagged), 1).otherwise(0)).cast("bigint").alias("flagged_count"),
-            *more,
-        )
-    )
-    return agg.select(instant_to_ntz(F.col("w.start")).alias("hour_ts"), "active_pools", "total_volume",
-                      "total_tvl", "flagged_count", *(["anomaly_count", "avg_anomaly_score"] if labelled else []))
+    parts = {"total_volume": F.sum("volume_usd"), "total_tvl": F.sum("tvl_usd"),
+             "flagged_count": F.count_if(flagged)}
+    if labelled:
+        parts |= {"anomaly_count": F.count_if("is_anomaly"), "score_sum": F.sum("anomaly_score"), "score_count": F.count("anomaly_score")}
+    pools = src.groupBy(F.window(time_col, "1 hour").alias("w"), "pool_id").agg(*[c.alias(k) for k, c in parts.items()])
+    # a row without a pool id is in the sums but is no pool
+    hours = pools.groupBy(F.window("w", "1 hour").alias("h")).agg(
+        F.count("pool_id").alias("active_pools"), *[F.sum(k).alias(k) for k in parts])
+    more = ["anomaly_count", (F.col("score_sum") / F.nullif("score_count", F.lit(0))).alias("avg_anomaly_score")] if labelled else []
+    return hours.select(instant_to_ntz(F.col("h.start")).alias("hour_ts"), "active_pools", "total_volume", "total_tvl", "flagged_count", *more)
 
 
 def run_available_now(writer: DataStreamWriter, timeout: float | None = None) -> StreamingQuery:
@@ -89,16 +87,25 @@ def run_available_now(writer: DataStreamWriter, timeout: float | None = None) ->
     return q
 
 
+def _with_keys(batch: DataFrame, keys: Sequence[str], batch_id: int, rejects_path: str | None) -> DataFrame:
+    """The rows of a batch whose keys are all there (S-3); the others go to ``rejects_path``, as the batch's partition."""
+    good, rejected = enforce_required(batch, list(keys))
+    if rejects_path is not None:
+        write_batch_partition(rejected.withColumn("batch_id", F.lit(batch_id)), rejects_path)
+    return good
+
+
 def upsert_latest_batch(path: str, keys: Sequence[str] = ("dex_protocol", "pool_id", "hour_ts"),
-                        order: str = "load_ts", partition_col: str = "hour_date") -> Callable:
+                        order: str = "load_ts", partition_col: str = "hour_date", rejects_path: str | None = None) -> Callable:
     """``foreachBatch`` body: newest ``order`` per key wins across all batches (V-3 on a stream).
 
     Only the day partitions the batch touches are read back from the table.
+    Rows without a key do not enter it (S-3).
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = dedup_latest(batch.drop("event_time"), keys, order)
+        rows = dedup_latest(_with_keys(batch.drop("event_time"), keys, batch_id, rejects_path), keys, order)
         if table_exists(spark, path):
             dated = rows.withColumn(partition_col, F.to_date("hour_ts"))
             cur = read_touched(spark, path, dated, partition_col).drop(partition_col).select(*rows.columns)
@@ -126,7 +133,7 @@ def _not_older(spark: SparkSession, staged: DataFrame, loads_path: str) -> DataF
 
 def features_batch(target_path: str, as_of: Column | str | None = None, model=None,
                    alerts_path: str | None = None, threshold: float | None = None,
-                   labeled_path: str | None = None, relabel: bool = True) -> Callable:
+                   labeled_path: str | None = None, relabel: bool = True, rejects_path: str | None = None) -> Callable:
     """``foreachBatch`` body for hourly features (T-4), labels and alerts (T-5).
 
     Rows may come late, twice, or for some series only.  Of a key given more
@@ -143,13 +150,14 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
     With ``labeled_path`` the labelled table is kept as well: a new row can
     move its series' percentile, so all rows of the touched series are labelled
     again, or, with ``relabel=False``, only the rows computed in this batch.
+    Rows without a key are rejected (S-3), to ``rejects_path`` if it is given.
     With a model, every pool whose newest written row is anomalous gets an
     alert row (the dashboard's ``needs_alert`` rule, T-5).
     """
     loads_path = f"{target_path.rstrip('/')}-loads"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        reprocess(batch.drop("event_time"), batch_id)
+        reprocess(_with_keys(batch.drop("event_time"), KEYS, batch_id, rejects_path), batch_id)
 
     def reprocess(staged: DataFrame, batch_id: int) -> None:
         spark = staged.sparkSession
