@@ -21,16 +21,39 @@ INVERSE = pow(MULT, -1, 1 << 64)
 MULT2 = 0xD1342543DE82EF95
 
 
+#: Spark's own switch that deletes a query's shuffle files when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage at a written table, so a lost executor costs a re-read and
     not a recomputation, and the columns keep one value for every later use.
+    The shuffle files of the write go when it ends.  ``discard`` deletes the
+    table when nothing reads it any more.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     schema = df.schema
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if before is not None:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored``, on whatever file system they lie; frames that still read them fail from now on."""
+    for df in tables:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

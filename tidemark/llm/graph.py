@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import discard, stored
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -20,8 +20,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates two steps until nothing changes: every vertex hands its larger
     neighbours to the smallest vertex it knows, then its smaller ones too.
     Edges become stars around the smallest ids in a few rounds, whatever the
-    size of a component.  Each round is a written table; groups are only
-    aggregated or joined, never gathered.  Loops and null ends are ignored.
+    size of a component.  Each round is a written table, deleted after the next;
+    groups are only aggregated or joined, never gathered.  Loops and null ends are ignored.
     """
     pairs = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter(F.col("u") != F.col("v"))
     now = stored(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
@@ -32,7 +32,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = large.filter(F.col("u") != F.col("v")).distinct()
         near = _nearest(large)
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
-        now = stored(small.filter(F.col("u") != F.col("v")).distinct(), "edges")
+        last, now = now, stored(small.filter(F.col("u") != F.col("v")).distinct(), "edges")
+        discard(last)
         said = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
         if mark == said:
             break

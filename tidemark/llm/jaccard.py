@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
+from tidemark.llm.common import blocks, discard, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
 from tidemark.llm.graph import components
 
 #: Lists up to this length have all their pairs verified at once.
@@ -496,6 +496,10 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     vertices = (profile.filter((F.col("n") > 0) & F.col("id").isNotNull())
                 .withColumn("k", F.row_number().over(same)).filter("k = 1").drop("k"))
     vertices = stored(vertices.withColumn("vid", F.monotonically_increasing_id()), "vertices")
+    members = stored(profile.select("id", "n", "s1", "s2").join(vertices.select("s1", "s2", "n", "vid"), ["s1", "s2", "n"], "left")
+                     .select("id", "n", F.when(F.col("id").isNotNull(), F.col("vid")).alias("vid")), "members")
+    names_of = stored(vertices.select("vid", "id"), "vertex-ids")
+    discard(profile)
 
     # small sets: the smallest set with a subset links with all that need no more than it
     keys = (vertices.filter(F.size("keys") > 0)
@@ -505,6 +509,7 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     light = (keys.join(least, ["key", "c"]).filter(F.col("vid") != F.col("first.vid"))
              .filter(_overlap_column(rule, F.col("n"), F.col("first.n")) <= F.col("c"))
              .select(F.col("first.vid").alias("a"), F.col("vid").alias("b")))
+    light = stored(light, "light-links")
 
     # large sets: scan the lists of their rarest shingles
     lists = vertices.filter(F.size("tokens") > 0).select("vid", "n", F.posexplode("tokens").alias("place", "token"))
@@ -513,6 +518,7 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     pairs = scanned.filter("token is null").select("a", "b").distinct()
     wanted = scanned.select(F.col("a").alias("vid")).unionByName(scanned.filter("token is null").select(F.col("b").alias("vid"))).distinct()
     met = stored(vertices.join(wanted, "vid").select("vid", "n", "id", "text_hash", "tokens", "parity"), "met")
+    discard(vertices)
     pairs = stored(_plausible(pairs, met, rule), "pairs")
     wanted = (scanned.filter("token is not null").select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("a").alias("vid")))
               .unionByName(pairs.select(F.col("b").alias("vid"))).distinct())
@@ -520,11 +526,13 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     texts = whole.join(wanted, ["__tm_id", "__tm_hash"]).dropDuplicates(["__tm_id", "__tm_hash"])  # keys of the join: no further shuffle
     texts = stored(texts.select("vid", F.col("__tm_text").alias("text")), "texts")
     edges = stored(_verify(pairs, texts, rule, size).unionByName(light), "links")
+    discard(pairs, light)
 
     # long lists: what is in one component by now needs no more; the rest is compared across components
     rows = scanned.filter("token is not null").select("token", "n", "place", F.col("a").alias("vid")).distinct()
     marked = rows.join(components(edges).withColumnRenamed("id", "vid"), "vid", "left")
     marked = stored(marked.withColumn("component", F.coalesce("component", "vid")), "long-lists")
+    discard(scanned)
     mixed = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).filter("lo < hi")
     mixed = mixed.select("token", F.ceil(F.col("rows") / F.lit(HELD // 2)).cast("long").alias("blocks"))
     left = marked.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")))
@@ -537,18 +545,19 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
             .select("token", "one", "two", "block", "vid", "n", "place", "component", "tokens", "parity", "places")
             .repartition("token", "one", "two").sortWithinPartitions("token", "one", "two"))
     across = stored(_across(left, rule), "pairs")
-    edges = edges.unionByName(_verify(across, texts, rule, size))
+    discard(marked, met)
+    more = stored(_verify(across, texts, rule, size), "links")
+    discard(across, texts)
 
     # rows of one id are one vertex
-    members = stored(profile.select("id", "n", "s1", "s2").join(vertices.select("s1", "s2", "n", "vid"), ["s1", "s2", "n"], "left")
-                     .select("id", "n", F.when(F.col("id").isNotNull(), F.col("vid")).alias("vid")), "members")
     spread = members.filter("vid is not null").groupBy("id").agg(F.min("vid").alias("a"), F.max("vid").alias("z")).filter("a < z")
     same_id = members.join(spread, "id").filter("vid > a").select("a", F.col("vid").alias("b"))
-    found = components(edges.unionByName(same_id)).withColumnRenamed("id", "vid")
-    named = vertices.select("vid", "id").join(found, "vid")
+    found = components(edges.unionByName(more).unionByName(same_id)).withColumnRenamed("id", "vid")
+    discard(edges, more)
+    named = names_of.join(found, "vid")
     names = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = named.join(names, "component").select("vid", "component_id")
-    first = vertices.select("vid", F.col("id").alias("first_id")).join(named, "vid", "left")
+    first = names_of.select("vid", F.col("id").alias("first_id")).join(named, "vid", "left")
     first = first.select("vid", F.coalesce("component_id", "first_id").alias("component_id"))
     return (members.join(first, "vid", "left")
             .select(F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))

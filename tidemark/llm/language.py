@@ -122,7 +122,8 @@ def train(docs: DataFrame, fit: Column, text: str = "text", lang: str = "lang",
     first = Window.partitionBy("lang").orderBy("h")
     limits = (labelled.select("lang", "h").distinct().withColumn("n", F.row_number().over(first))
               .filter(F.col("n") <= per_language).groupBy("lang").agg(F.max("h").alias("most")))
-    sample = labelled.join(limits, "lang").filter(F.col("h") <= F.col("most")).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    # one row for each language: broadcast, so that only texts below a limit are moved
+    sample = labelled.join(F.broadcast(limits), "lang").filter(F.col("h") <= F.col("most")).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

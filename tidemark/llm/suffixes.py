@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, blocks, prefix_hash, ranges, runs, span_hash, stored, table,
+from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, blocks, discard, prefix_hash, ranges, runs, span_hash, stored, table,
                                  text_buffers, text_or_empty)
 
 #: Bytes of contexts that one suffix array holds; more contexts of other owners go to the next one.
@@ -340,7 +340,9 @@ def mark(texts: DataFrame, length: int, piece: int) -> DataFrame:
     hot = names.filter("not many").join(twice, ["one", "two"]).select("h", "n", "start", F.lit(1).alias("count"))
     # copies of a text bring the same marks; once each they are bounded by the text, however many copies there are
     found = full.unionByName(_sort_contexts(sorted_in, length)).unionByName(hot).distinct()
-    return found.groupBy("h", "n").agg(F.collect_list(F.struct("start", "count")).alias("marks"))
+    marks = stored(found.groupBy("h", "n").agg(F.collect_list(F.struct("start", "count")).alias("marks")), "marks")
+    discard(kinds, cut)
+    return marks
 
 
 def remove(docs: DataFrame, text: str = "text", length: int = 200, piece: int = 50, id: str = "doc_id") -> DataFrame:
