@@ -13,7 +13,7 @@ How it runs on Spark:
 * Each tree is grown level by level in one ``applyInPandas`` group of psi rows:
   groups are bounded by psi, whatever the data size.
 * The forest has at most ``n_trees * (2 psi - 1)`` nodes (about 100k for the
-  defaults), a proven bound, so it is broadcast to ``mapInPandas`` scorers
+  defaults), a proven bound, so it is broadcast to ``mapInArrow`` scorers
   that walk all trees with vectorised numpy over Arrow batches.
 """
 
@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -370,19 +371,17 @@ def score(
     tmp = "_iforest_x"
     base = df.drop(out_col) if out_col in df.columns else df
     src = base.withColumn(tmp, _rounded(F.col(vector_col) if vector_col else _vector(model.features, default), model.digits))
-    schema = T.StructType(src.schema.fields + [T.StructField(out_col, T.DoubleType())])
+    schema = T.StructType(base.schema.fields + [T.StructField(out_col, T.DoubleType())])
+    names = base.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(**{out_col: pd.Series(dtype="float64")})
-                continue
-            x = np.array(pdf[tmp].tolist(), dtype=np.float64).reshape(-1, n_feat)
-            pdf[out_col] = f.score(x)
-            yield pdf
-
-    return src.mapInPandas(run, schema).drop(tmp)
+        for batch in batches:
+            x = batch.column(len(names)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, n_feat)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(f.score(x), pa.float64())], [*names, out_col])
+
+    # the other columns pass as they came: NaN stays NaN, in arrays too
+    return src.select(*names, tmp).mapInArrow(run, schema)
 
 
 def decide(df: DataFrame, threshold: float = 3.0, col: str = "anomaly_score") -> DataFrame:
