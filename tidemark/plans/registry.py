@@ -581,11 +581,11 @@ def q_stream_features(spark, sf_dir):
     from tidemark.session import scratch_path
     from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
 
-    target = scratch_path(spark, "stream-features")
+    target, rings = scratch_path(spark, "stream-features"), scratch_path(spark, "stream-rings")
 
     def build(inbox, ckpt):
         return (stage_stream(stream_raw(spark, inbox)).writeStream
-                .foreachBatch(features_batch(target, as_of=AS_OF)).option("checkpointLocation", ckpt))
+                .foreachBatch(features_batch(target, as_of=AS_OF, ring_path=rings)).option("checkpointLocation", ckpt))
 
     _stream_runs(spark, _landing_runs(spark, sf_dir, split_at=MARK), build)
     out = spark.read.parquet(target).drop("hour_date")

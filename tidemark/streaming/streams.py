@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalar import instant_to_ntz, ts_literal
-from tidemark.operators.features import pool_features, series_window, stored_history
+from tidemark.operators.features import LAG_ROWS, pool_features, series_window, stored_history
 from tidemark.operators.labels import label
 from tidemark.operators.maintenance import dedup_latest, one_per_key, read_touched, table_exists, write_upsert
 from tidemark.schemas import ISO_MICROS, RAW_JSONL
@@ -131,9 +131,47 @@ def _not_older(spark: SparkSession, staged: DataFrame, loads_path: str) -> DataF
     return staged.join(taken, list(KEYS), "left").filter(~older).select(*staged.columns)
 
 
+#: Hash partitions of the ring table: a batch rewrites those of its series.
+RING_BUCKETS = 64
+
+
+def _ring_rows(ring: DataFrame) -> DataFrame:
+    return ring.select(F.explode("rows").alias("r")).select("r.*")
+
+
+def _write_ring(path: str, rows: DataFrame) -> None:
+    """Keep the last ``LAG_ROWS`` accepted rows of each series of ``rows``, one table row a series."""
+    rn = F.row_number().over(series_window(descending=True))
+    last = rows.filter(~F.col("has_negative_values")).withColumn("_rn", rn).filter(F.col("_rn") <= LAG_ROWS)
+    row = F.struct("hour_ts", "dex_protocol", *[c for c in HISTORY_COLUMNS if c not in ("hour_ts", "dex_protocol")])
+    rings = last.groupBy("pool_id").agg(F.sort_array(F.collect_list(row)).alias("rows"), F.max("hour_ts").alias("last_hour"))
+    bucket = F.pmod(F.xxhash64("pool_id"), F.lit(RING_BUCKETS)).cast("int").alias("bucket")
+    write_upsert(path, rings.select("pool_id", "rows", "last_hour", bucket), ("pool_id",), partition_col="bucket")
+
+
+def _warm_up(spark: SparkSession, staged: DataFrame, since: DataFrame, target_path: str, ring_path: str | None) -> DataFrame | None:
+    """The stored rows that the features of a batch need: rings of the series whose rows all come after those stored,
+    the table's history for the others."""
+    if not table_exists(spark, target_path):
+        return None
+    lit = F.lit(False).alias("has_negative_values")
+    if ring_path is None or not table_exists(spark, ring_path):
+        return stored_history(spark, target_path, since).select(*HISTORY_COLUMNS, lit)
+    rings = read_touched(spark, ring_path, since.withColumn("bucket", F.pmod(F.xxhash64("pool_id"), F.lit(RING_BUCKETS)).cast("int")), "bucket")
+    rings = rings.join(since, "pool_id")
+    later = rings.filter(F.col("since") > F.col("last_hour"))
+    rows = _ring_rows(later).select(*HISTORY_COLUMNS, lit)
+    # a series without a ring may have rows all the same (all of them rejected since, or a table older than its rings)
+    late = since.join(later.select("pool_id"), "pool_id", "left_anti")
+    if late.isEmpty():
+        return rows
+    return rows.unionByName(stored_history(spark, target_path, late).select(*HISTORY_COLUMNS, lit))
+
+
 def features_batch(target_path: str, as_of: Column | str | None = None, model=None,
                    alerts_path: str | None = None, threshold: float | None = None,
-                   labeled_path: str | None = None, relabel: bool = True, rejects_path: str | None = None) -> Callable:
+                   labeled_path: str | None = None, relabel: bool = True, rejects_path: str | None = None,
+                   ring_path: str | None = None) -> Callable:
     """``foreachBatch`` body for hourly features (T-4), labels and alerts (T-5).
 
     Rows may come late, twice, or for some series only.  Of a key given more
@@ -151,6 +189,10 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
     move its series' percentile, so all rows of the touched series are labelled
     again, or, with ``relabel=False``, only the rows computed in this batch.
     Rows without a key are rejected (S-3), to ``rejects_path`` if it is given.
+    With ``ring_path`` the last 24 rows of every series are kept as one row of
+    a state table: a batch whose rows come after those stored reads its series'
+    rings and no history; series with late rows are read from the table.  A
+    replayed batch finds its own rows in the ring and takes the second way.
     With a model, every pool whose newest written row is anomalous gets an
     alert row (the dashboard's ``needs_alert`` rule, T-5).
     """
@@ -172,15 +214,20 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
             write_upsert(loads_path, staged.select(*KEYS, "load_ts"), KEYS)
         since = staged.groupBy("pool_id").agg(F.min("hour_ts").alias("since"))
         rows = staged.select(*HISTORY_COLUMNS, "has_negative_values")
-        if table_exists(spark, target_path):
-            history = stored_history(spark, target_path, since).select(*HISTORY_COLUMNS, F.lit(False).alias("has_negative_values"))
+        history = _warm_up(spark, staged, since, target_path, ring_path)
+        if history is not None:
             rows = rows.unionByName(history.join(staged.select(*KEYS), list(KEYS), "left_anti"))
+        if ring_path is not None:
+            rows.write.parquet(f"{kept}-rows")  # read for the features and for the new rings
+            rows = spark.read.schema(rows.schema).parquet(f"{kept}-rows")
         feats = pool_features(rows, as_of=as_of, lookback=None).join(since, "pool_id").filter("hour_ts >= since").drop("since")
         feats = feats.select(*pool_features(rows, as_of=as_of, lookback=None).columns)
         gone = staged.filter("has_negative_values").select(*KEYS)
         if not table_exists(spark, target_path) and feats.isEmpty():
             return
         write_upsert(target_path, feats, KEYS, deletes=gone)
+        if ring_path is not None:
+            _write_ring(ring_path, rows)
         touched = since.select("pool_id")
         if labeled_path is not None:
             series = spark.read.parquet(target_path).drop("hour_date") if table_exists(spark, target_path) else feats.limit(0)
