@@ -260,3 +260,26 @@ def test_drops_in_order_read_rings_and_no_history(spark, tmp_shared, monkeypatch
     ring = {r.pool_id: r for r in spark.read.parquet(f"{tmp_shared}/ring").collect()}
     accepted = {k: sorted(r.hour_ts for r in df.filter(~F.col("has_negative_values")).filter(F.col("pool_id") == k).collect()) for k in ring}
     assert all([x.hour_ts for x in ring[k].rows] == accepted[k][-24:] for k in ring) and set(ring) == {"dense", "sparse", "ended", "new", "signs"}
+
+
+def test_labels_of_a_stream_from_counted_values(spark, tmp_shared):
+    from tidemark.streaming import streams
+
+    df = history(spark)
+    mid = F.lit(dt.datetime(2024, 1, 10))
+    body = streams.features_batch(f"{tmp_shared}/t", ring_path=f"{tmp_shared}/ring", percentile_path=f"{tmp_shared}/pct")
+    body(df.filter(F.col("hour_ts") >= mid), 0)
+    body(df.filter((F.col("hour_ts") < mid) & (F.col("pool_id") != "ended")), 1)
+    body(df.filter((F.col("hour_ts") < mid) & (F.col("pool_id") != "ended")), 1)  # replayed whole
+    streams._apply_changes(spark, f"{tmp_shared}/pct/changes/batch=1", f"{tmp_shared}/pct", 1, 0.9)  # and in part
+    body(df.filter("pool_id = 'ended'"), 2)
+    # values replaced and taken back by newer loads
+    newer = df.filter("pool_id in ('dense', 'signs') and day(hour_ts) = 5").withColumn("load_ts", F.col("load_ts") + F.expr("INTERVAL 1 DAY"))
+    newer = newer.withColumn("volume_usd", F.when(F.hour("hour_ts") < 12, F.col("volume_usd") + 100).otherwise(-1.0))
+    newer = newer.withColumn("has_negative_values", F.col("volume_usd") < 0)
+    body(newer, 3)
+    keys = ["dex_protocol", "pool_id", "hour_ts"]
+    final = df.join(newer.select(*keys), keys, "left_anti").unionByName(newer.select(*df.columns))
+    want = label(pool_features(final, lookback=None))
+    got = streams.stream_labels(spark, f"{tmp_shared}/t", f"{tmp_shared}/pct")
+    assert rows_of(got, *want.columns) == rows_of(want, *want.columns)

@@ -128,8 +128,8 @@ def write_upsert(spark_path: str, updates: DataFrame, keys: Sequence[str] = ("po
 
 def drop_partition(spark, path: str) -> None:
     """Delete one partition's folder, on whatever file system it lies."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    system, folder = _hadoop(spark, path)
+    system.delete(folder, True)
 
 
 def table_exists(spark, path: str) -> bool:
@@ -155,6 +155,12 @@ def _hadoop(spark, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def written(spark, path: str) -> bool:
+    """True when a write to ``path`` was completed: its success marker is there."""
+    system, marker = _hadoop(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return bool(system.exists(marker))
+
+
 def partitions(spark, path: str, partition_col: str = "hour_date") -> dict[str, tuple[int, int]]:
     """``{value: (files, bytes)}`` of a table's partitions, from the file system's own listing (no file is opened)."""
     system, folder = _hadoop(spark, path)

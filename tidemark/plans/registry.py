@@ -596,12 +596,12 @@ def q_stream_labeled(spark, sf_dir):
     """Features and labels of drops that overlap, come late and come again: the protocols apart, the later half first,
     last an older copy of one protocol with other volumes, which changes nothing."""
     from tidemark.session import scratch_path
-    from tidemark.streaming.streams import features_batch, stage_stream, stream_raw
+    from tidemark.streaming.streams import features_batch, stage_stream, stream_labels, stream_raw
 
-    target, marks = scratch_path(spark, "stream-features"), scratch_path(spark, "stream-labeled")
+    target, rings, marks = (scratch_path(spark, name) for name in ("stream-features", "stream-rings", "stream-percentiles"))
 
     def build(inbox, ckpt):
-        body = features_batch(target, as_of=AS_OF, labeled_path=marks)
+        body = features_batch(target, as_of=AS_OF, ring_path=rings, percentile_path=marks)
         return stage_stream(stream_raw(spark, inbox)).writeStream.foreachBatch(body).option("checkpointLocation", ckpt)
 
     raw = raw_envelope(spark, sf_dir)
@@ -610,7 +610,7 @@ def q_stream_labeled(spark, sf_dir):
     older = raw.filter(one).withColumns({"load_ts": F.col("load_ts") - F.expr("INTERVAL 1 DAY"),
                                          "raw": F.regexp_replace("raw", r'("volumeUSD":"?-?)', "$1" + "9")})
     _stream_runs(spark, [*drops, older], build)
-    return round6(spark.read.parquet(marks).select(*labeled(spark, sf_dir).columns))
+    return round6(stream_labels(spark, target, marks))
 
 
 def q_stream_alerts(spark, sf_dir):

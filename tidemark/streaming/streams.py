@@ -18,9 +18,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.functions.scalar import instant_to_ntz, ts_literal
 from tidemark.operators.features import LAG_ROWS, pool_features, series_window, stored_history
-from tidemark.operators.labels import label
-from tidemark.operators.maintenance import dedup_latest, one_per_key, read_touched, table_exists, write_upsert
-from tidemark.schemas import ISO_MICROS, RAW_JSONL
+from tidemark.operators.labels import LABEL_P, label
+from tidemark.operators.maintenance import dedup_latest, one_per_key, read_touched, table_exists, write_days, write_upsert, written
+from tidemark.schemas import ISO_MICROS, LABELED, RAW_JSONL
 from tidemark.sources.raw import enforce_required
 from tidemark.session import scratch_path
 
@@ -145,8 +145,7 @@ def _write_ring(path: str, rows: DataFrame) -> None:
     last = rows.filter(~F.col("has_negative_values")).withColumn("_rn", rn).filter(F.col("_rn") <= LAG_ROWS)
     row = F.struct("hour_ts", "dex_protocol", *[c for c in HISTORY_COLUMNS if c not in ("hour_ts", "dex_protocol")])
     rings = last.groupBy("pool_id").agg(F.sort_array(F.collect_list(row)).alias("rows"), F.max("hour_ts").alias("last_hour"))
-    bucket = F.pmod(F.xxhash64("pool_id"), F.lit(RING_BUCKETS)).cast("int").alias("bucket")
-    write_upsert(path, rings.select("pool_id", "rows", "last_hour", bucket), ("pool_id",), partition_col="bucket")
+    write_upsert(path, rings.select("pool_id", "rows", "last_hour", _bucket()), ("pool_id",), partition_col="bucket")
 
 
 def _warm_up(spark: SparkSession, staged: DataFrame, since: DataFrame, target_path: str, ring_path: str | None) -> DataFrame | None:
@@ -157,7 +156,7 @@ def _warm_up(spark: SparkSession, staged: DataFrame, since: DataFrame, target_pa
     lit = F.lit(False).alias("has_negative_values")
     if ring_path is None or not table_exists(spark, ring_path):
         return stored_history(spark, target_path, since).select(*HISTORY_COLUMNS, lit)
-    rings = read_touched(spark, ring_path, since.withColumn("bucket", F.pmod(F.xxhash64("pool_id"), F.lit(RING_BUCKETS)).cast("int")), "bucket")
+    rings = read_touched(spark, ring_path, since.select("*", _bucket()), "bucket")
     rings = rings.join(since, "pool_id")
     later = rings.filter(F.col("since") > F.col("last_hour"))
     rows = _ring_rows(later).select(*HISTORY_COLUMNS, lit)
@@ -168,10 +167,70 @@ def _warm_up(spark: SparkSession, staged: DataFrame, since: DataFrame, target_pa
     return rows.unionByName(stored_history(spark, target_path, late).select(*HISTORY_COLUMNS, lit))
 
 
+def _bucket(col: str = "pool_id") -> Column:
+    return F.pmod(F.xxhash64(col), F.lit(RING_BUCKETS)).cast("int").alias("bucket")
+
+
+def _save_changes(spark: SparkSession, staged: DataFrame, target_path: str, path: str) -> None:
+    """How often each volume of a series comes (+) and goes (-) by this batch, against the table as it is before it.
+
+    Written once, before the table changes: a replayed batch takes the file it
+    wrote, so that it adds nothing twice.
+    """
+    if written(spark, path):
+        return
+    one = lambda n: (F.col("pool_id"), F.col("volume_usd"), F.lit(n).cast("bigint").alias("n"))
+    moved = staged.filter(~F.col("has_negative_values")).select(*one(1))
+    if table_exists(spark, target_path):
+        before = read_touched(spark, target_path, staged.withColumn("hour_date", F.to_date("hour_ts")))
+        moved = moved.unionByName(before.join(staged.select(*KEYS), list(KEYS), "left_semi").select(*one(-1)))
+    moved = moved.filter(F.col("volume_usd").isNotNull()).groupBy("pool_id", "volume_usd").agg(F.sum("n").alias("n")).filter("n <> 0")
+    moved.write.mode("overwrite").parquet(path)
+
+
+def _apply_changes(spark: SparkSession, path: str, root: str, batch_id: int, p: float) -> None:
+    """Add a batch's changes to the value counts of its series, and set their percentiles anew.
+
+    The counts lie in hash partitions that say which batch they hold last, so
+    a replay passes over those that have it already.  A value that is gone
+    keeps a row of count 0.
+    """
+    schema = "pool_id string, volume_usd double, n bigint"
+    moved = spark.read.schema(schema).parquet(path).select("*", _bucket())
+    values, marks = f"{root}/values", f"{root}/percentiles"
+    stage = scratch_path(spark, "percentiles")
+    if table_exists(spark, values):
+        now = read_touched(spark, values, moved, "bucket")
+        done = now.filter(F.col("batch_id") == batch_id).select("bucket").distinct()
+        moved_on = moved.join(done, "bucket", "left_anti").unionByName(now.join(done, "bucket", "left_anti").select(*moved.columns))
+    else:
+        moved_on = moved
+    summed = moved_on.groupBy("bucket", "pool_id", "volume_usd").agg(F.sum("n").alias("n")).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    summed.write.parquet(stage)
+    write_days(spark.read.schema(summed.schema).parquet(stage), values, "overwrite" if table_exists(spark, values) else "append", "bucket")
+    if not table_exists(spark, values):
+        return
+    held = read_touched(spark, values, moved, "bucket").filter("n > 0")
+    new = held.groupBy("bucket", "pool_id").agg(F.percentile("volume_usd", F.lit(p), F.col("n")).alias("pct_90"))
+    write_days(new, marks, "overwrite" if table_exists(spark, marks) else "append", "bucket")
+
+
+def stream_labels(spark: SparkSession, target_path: str, percentile_path: str) -> DataFrame:
+    """Labelled features of a stream (M-3, A-7, J-1): the stored features against their series' stored percentile.
+
+    A new row can move its series' percentile and with it the labels of all
+    its rows; the percentile alone is stored, so no batch writes labels again.
+    """
+    marks = spark.read.schema("pool_id string, pct_90 double, bucket int").parquet(f"{percentile_path}/percentiles").select("pool_id", "pct_90")
+    rows = spark.read.parquet(target_path).drop("hour_date").join(marks, "pool_id", "left")
+    flag = F.coalesce(F.col("volume_usd") >= F.col("pct_90"), F.lit(False))
+    return rows.select("*", flag.alias("is_anomaly"), F.lit(None).cast("double").alias("anomaly_score")).select(*LABELED.fieldNames())
+
+
 def features_batch(target_path: str, as_of: Column | str | None = None, model=None,
                    alerts_path: str | None = None, threshold: float | None = None,
                    labeled_path: str | None = None, relabel: bool = True, rejects_path: str | None = None,
-                   ring_path: str | None = None) -> Callable:
+                   ring_path: str | None = None, percentile_path: str | None = None, p: float = LABEL_P) -> Callable:
     """``foreachBatch`` body for hourly features (T-4), labels and alerts (T-5).
 
     Rows may come late, twice, or for some series only.  Of a key given more
@@ -193,6 +252,8 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
     a state table: a batch whose rows come after those stored reads its series'
     rings and no history; series with late rows are read from the table.  A
     replayed batch finds its own rows in the ring and takes the second way.
+    With ``percentile_path`` each series' values are counted in a state table
+    and its percentile kept beside it; ``stream_labels`` reads the labels.
     With a model, every pool whose newest written row is anomalous gets an
     alert row (the dashboard's ``needs_alert`` rule, T-5).
     """
@@ -223,11 +284,16 @@ def features_batch(target_path: str, as_of: Column | str | None = None, model=No
         feats = pool_features(rows, as_of=as_of, lookback=None).join(since, "pool_id").filter("hour_ts >= since").drop("since")
         feats = feats.select(*pool_features(rows, as_of=as_of, lookback=None).columns)
         gone = staged.filter("has_negative_values").select(*KEYS)
+        if percentile_path is not None:
+            changes = f"{percentile_path}/changes/batch={batch_id}"
+            _save_changes(spark, staged, target_path, changes)
         if not table_exists(spark, target_path) and feats.isEmpty():
             return
         write_upsert(target_path, feats, KEYS, deletes=gone)
         if ring_path is not None:
             _write_ring(ring_path, rows)
+        if percentile_path is not None:
+            _apply_changes(spark, changes, percentile_path, batch_id, p)
         touched = since.select("pool_id")
         if labeled_path is not None:
             series = spark.read.parquet(target_path).drop("hour_date") if table_exists(spark, target_path) else feats.limit(0)
