@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import blocks, discard, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
 from tidemark.llm.graph import components
 
+#: Bits of the map of rows whose texts are verified (4 MB).
+BITMAP = 1 << 25
 #: Lists up to this length have all their pairs verified at once.
 SHORT = 16
 #: A long list has one hub for so many rows, and at most so many hubs: its rows are compared with them first.
@@ -377,6 +379,35 @@ def _verify(pairs: DataFrame, texts: DataFrame, rule: Threshold, size: int) -> D
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _texts(whole: DataFrame, met: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(vid, text)`` of the vertices that stand in a pair, one text for each.
+
+    Rows that are in no pair fall away by a bitmap of fixed size before the
+    texts are moved; two rows that share a bit only let one more through to
+    the join.
+    """
+    asked = pairs.select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("b").alias("vid"))).distinct()
+    wanted = stored(met.select("vid", F.col("id").alias("__tm_id"), F.col("text_hash").alias("__tm_hash")).join(asked, "vid"), "wanted")
+    place = F.xxhash64("__tm_id", "__tm_hash").bitwiseAND(F.lit(BITMAP - 1))
+    pieces = wanted.select(place.alias("p")).groupBy(F.shiftright("p", 15).alias("piece")).agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("bits"))
+    bits = np.zeros(BITMAP // 8, np.uint8)
+    for r in pieces.collect():  # at most BITMAP / 2**15 pieces of 4 KB
+        bits[r["piece"] * 4096:(r["piece"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = whole.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(3).to_numpy()
+            yield batch.filter(pa.array((shared.value[p >> 3] >> (p & 7).astype(np.uint8) & 1).astype(bool))).select([0, 1, 2])
+
+    names = ["__tm_id", "__tm_hash", "__tm_text"]
+    some = whole.filter(F.col("__tm_id").isNotNull()).select(*names, place.alias("p")).mapInArrow(run, "__tm_id long, __tm_hash long, __tm_text string")
+    found = some.join(wanted, ["__tm_id", "__tm_hash"]).dropDuplicates(["__tm_id", "__tm_hash"])  # keys of the join: no further shuffle
+    found = stored(found.select("vid", F.col("__tm_text").alias("text")), "texts")
+    discard(wanted)
+    return found
+
+
 def _plausible(pairs: DataFrame, met: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs whose parities differ in no more bits than linked sets of these sizes may differ in shingles."""
     of = lambda side: met.select(F.col("vid").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
@@ -520,13 +551,9 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     met = stored(vertices.join(wanted, "vid").select("vid", "n", "id", "text_hash", "tokens", "parity"), "met")
     discard(vertices)
     pairs = stored(_plausible(pairs, met, rule), "pairs")
-    wanted = (scanned.filter("token is not null").select(F.col("a").alias("vid")).unionByName(pairs.select(F.col("a").alias("vid")))
-              .unionByName(pairs.select(F.col("b").alias("vid"))).distinct())
-    wanted = met.join(wanted, "vid").select("vid", F.col("id").alias("__tm_id"), F.col("text_hash").alias("__tm_hash"))
-    texts = whole.join(wanted, ["__tm_id", "__tm_hash"]).dropDuplicates(["__tm_id", "__tm_hash"])  # keys of the join: no further shuffle
-    texts = stored(texts.select("vid", F.col("__tm_text").alias("text")), "texts")
+    texts = _texts(whole, met, pairs)
     edges = stored(_verify(pairs, texts, rule, size).unionByName(light), "links")
-    discard(pairs, light)
+    discard(pairs, light, texts)
 
     # long lists: what is in one component by now needs no more; the rest is compared across components
     rows = scanned.filter("token is not null").select("token", "n", "place", F.col("a").alias("vid")).distinct()
@@ -545,7 +572,9 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
             .select("token", "one", "two", "block", "vid", "n", "place", "component", "tokens", "parity", "places")
             .repartition("token", "one", "two").sortWithinPartitions("token", "one", "two"))
     across = stored(_across(left, rule), "pairs")
-    discard(marked, met)
+    discard(marked)
+    texts = _texts(whole, met, across)
+    discard(met)
     more = stored(_verify(across, texts, rule, size), "links")
     discard(across, texts)
 
