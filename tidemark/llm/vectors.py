@@ -120,7 +120,7 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", embedding: str = "em
     e = F.col(embedding)
     good = F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     rows = vectors.select(F.col(id).alias("id"), e.alias("e"), F.coalesce(good, F.lit(False)).alias("good"))
-    rows = rows.withColumns({"h1": F.xxhash64("e"), "h2": F.xxhash64("e", F.lit("second"))})
+    rows = rows.withColumns({"h1": F.xxhash64("e"), "h2": F.xxhash64(F.lit("second"), "e")})
     vertices = (rows.filter("good").groupBy("h1", "h2").agg(F.first("e").alias("e"), F.count("*").alias("weight"), F.min("id").alias("first_id")))
     vertices = stored(vertices.withColumns({"vid": F.monotonically_increasing_id(), "size": F.size("e")}), "vectors")
     counts = {r["size"]: ceil(r["count"] / BLOCK) for r in vertices.groupBy("size").count().collect()}  # a row for each length
