@@ -46,6 +46,11 @@ HEADLINE = [
     "stream_features",
     "stream_labeled",
     "stream_alerts",
+    "partial_rows_lookup",
+    "last_hour_features",
+    "stored_feature_export",
+    "seek_page",
+    "compacted_table",
 ]
 
 

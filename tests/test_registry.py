@@ -7,15 +7,12 @@ from tidemark.plans import registry
 from tests.conftest import SF001
 from tidemark.sources.tables import TABLES
 
-ROWS_ONLY = {"iforest_scores", "iforest_decisions", "iforest_mean_score", "predict_pools", "hourly_pipeline",
-             "stream_alerts"}
-SLOW = {"stream_hourly_stats", "stream_dedup_latest", "stream_features", "stream_labeled"}
+SLOW = {"stream_hourly_stats", "stream_dedup_latest", "stream_features", "stream_labeled", "stream_alerts"}
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
+def test_every_query_has_an_oracle():
     q, o = registry.queries(), registry.oracle_sql()
-    assert set(o) <= set(q) <= set(entry_mod.queries())
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(o) == set(q) <= set(entry_mod.queries())
 
 
 def test_entry_smoke(spark):
@@ -49,8 +46,3 @@ def test_oracle_pair_sf0001(spark, duck, name):
     assert sorted(got.columns) == sorted(exp.columns)
     assert len(got) == len(exp)
     pd.testing.assert_frame_equal(_norm(got), _norm(exp))
-
-
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY - {"stream_alerts"}))
-def test_rows_only_queries_run(spark, name):
-    assert entry_mod.queries()[name](spark, SF001).count() >= 0
