@@ -33,6 +33,8 @@ from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, blocks, discard, pref
 
 #: Bytes of contexts that one suffix array holds; more contexts of other owners go to the next one.
 ARRAY_BYTES = 2 << 20
+#: Bytes of text whose owners are found, or whose strings are named or cut, at once.
+STEP_BYTES = 2 << 20
 #: Owner hashes with more different contexts than this compare named windows instead of one array.
 HOT_CONTEXTS = 2048
 #: Rows of one owner hash held at a time.
@@ -187,7 +189,7 @@ def owners(data: np.ndarray, offsets: np.ndarray, length: int, piece: int) -> tu
 
 def _parts(batch: pa.RecordBatch, text: int, length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, int]]:
     """Blocks of a batch; a text over the block size comes in overlapping parts with their place in it."""
-    for part in blocks(batch, text):
+    for part in blocks(batch, text, STEP_BYTES):
         data, offsets = text_buffers(part.column(text))
         if part.num_rows == 1 and len(data) > 2 * BLOCK_BYTES:
             for base in range(0, len(data), BLOCK_BYTES):
@@ -265,7 +267,7 @@ def _cut_contexts(joined: DataFrame, length: int) -> DataFrame:
     """The bytes of every wanted context; for hot owners the 128-bit names of its strings instead."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, 2):
+            for part in blocks(batch, 2, STEP_BYTES):
                 data, offsets = text_buffers(part.column(2))
                 out: list[list] = [[] for _ in range(9)]
                 for i in range(part.num_rows):
@@ -365,7 +367,7 @@ def remove(docs: DataFrame, text: str = "text", length: int = 200, piece: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(names)
         for batch in batches:
-            for part in blocks(batch, k):
+            for part in blocks(batch, k, STEP_BYTES):
                 data, offsets = text_buffers(part.column(k))
                 marks = part.column(k + 1)
                 size, gone, spans, digest, kept = [], [], [], [], []
