@@ -194,8 +194,9 @@ def _sample(df: DataFrame, key: Column, n: int, n_trees: int, psi: int, seed: in
     depends neither on the threshold nor on the partitioning.
     """
     share = min(1.0, 4.0 * psi / max(n, 1))
-    numbers = F.array(*[F.struct(F.lit(t).alias("tree"), *(F.lit(v).cast("bigint").alias(name) for name, v in zip("ab", _multipliers(seed, t))))
-                        for t in range(n_trees)])
+    # one literal, not a column object for each number
+    numbers = F.expr("array(" + ", ".join(
+        "named_struct('tree', {}, 'a', {}L, 'b', {}L)".format(t, *_multipliers(seed, t)) for t in range(n_trees)) + ")")
     while True:
         hashes = F.transform(numbers, lambda m: F.struct(m["tree"].alias("tree"), _draw(F.col("_k"), m["a"], m["b"]).alias("u")))
         limit = F.lit(share)
