@@ -76,6 +76,25 @@ def test_pages_by_index_equal_the_offset_form(spark, tmp_shared):
     assert "PartitionFilters: [page_range" in plan or "page_range" in plan.split("PartitionFilters:")[1].split("\n")[0]
 
 
+def test_pages_hold_few_tasks_and_files(spark, tmp_shared, monkeypatch):
+    """Short ranges share a task and a file: the driver hears of groups of rows, not of every range."""
+    from tidemark.operators import maintenance
+
+    df = series(spark, "a", "2024-01-01", [1.0] * 600).unionByName(series(spark, "b", "2024-01-01", [2.0] * 600))
+    write_pages(df, f"{tmp_shared}/one", rows_per_range=5)
+    assert list(partitions(spark, f"{tmp_shared}/one/rows", "page_range_group").values())[0][0] == 1
+    assert len(partitions(spark, f"{tmp_shared}/one/rows", "page_range_group")) == 1
+    index = spark.read.parquet(f"{tmp_shared}/one/index").orderBy("page_range").collect()
+    assert [r["rows"] for r in index] == [5] * 240 and [r["before"] for r in index] == list(range(0, 1200, 5))
+    monkeypatch.setattr(maintenance, "PAGE_GROUP_ROWS", 300)
+    write_pages(df, f"{tmp_shared}/more", rows_per_range=7)
+    assert 2 <= len(partitions(spark, f"{tmp_shared}/more/rows", "page_range_group")) <= 4
+    for path in (f"{tmp_shared}/one", f"{tmp_shared}/more"):
+        for first, skip in ((10, 0), (700, 290), (5, 1198), (3, 1200), (1200, 0)):
+            got = [tuple(r) for r in read_page(spark, path, first, skip).select("hour_ts", "pool_id").collect()]
+            assert got == [tuple(r) for r in page(df, first, skip).select("hour_ts", "pool_id").collect()]
+
+
 def test_pages_of_nothing(spark, tmp_shared):
     write_pages(series(spark, "a", "2024-01-01", [1.0]).limit(0), tmp_shared)
     assert read_page(spark, tmp_shared, 10).collect() == []

@@ -222,36 +222,58 @@ def compact(spark, path: str, most_files: int = 4, partition_col: str = "hour_da
 
 
 PAGE_ORDER = ("hour_ts", "pool_id", "dex_protocol")
+PAGE_INDEX = "page_range_group int, page_range bigint, rows bigint, before bigint"
+#: Rows of a paged table that one task writes into one partition.
+PAGE_GROUP_ROWS = 100_000
 
 
 def write_pages(df: DataFrame, path: str, order: Sequence[str] = PAGE_ORDER, rows_per_range: int = 100_000) -> None:
     """Write ``df`` in key ranges with an exact index, so that any page is read from its own ranges (O-4).
 
-    One range exchange puts the rows in order over ``rows / rows_per_range``
-    ranges; each is a partition of the table.  The index counts the rows of
-    every range and those before it: one row for each range.
+    One range exchange puts the rows in order over groups of about
+    ``PAGE_GROUP_ROWS`` rows (or one range, if that is more); each is a
+    partition of the table, and what the driver gets grows with the groups,
+    not with the ranges.  In a group the ordered rows are cut into ranges of
+    ``rows_per_range``, numbered in order over the whole table; the files'
+    pages are as long, so their own statistics pick the ranges asked for.  The
+    index counts the rows of every range and those before it: one row for each range.
     """
     spark = df.sparkSession
     n = df.count()
-    ranges = max(1, -(-n // rows_per_range))
-    placed = df.repartitionByRange(ranges, *order).withColumn("page_range", F.spark_partition_id())
-    placed.sortWithinPartitions("page_range", *order).write.partitionBy("page_range").parquet(f"{path}/rows")
-    sizes = spark.read.parquet(f"{path}/rows").groupBy("page_range").agg(F.count(F.lit(1)).alias("rows")) if n else spark.createDataFrame(
-        [], "page_range int, rows long")
-    before = F.sum("rows").over(Window.orderBy("page_range").rowsBetween(Window.unboundedPreceding, -1))
-    sizes.withColumn("before", F.coalesce(before, F.lit(0))).coalesce(1).write.parquet(f"{path}/index")
+    groups = max(1, -(-n // max(rows_per_range, PAGE_GROUP_ROWS)))
+    # the place of a row in the sorted group: the id's lower 33 bits, the group above them
+    ordered = df.repartitionByRange(groups, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    group, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = ordered.withColumns({"page_range_group": group.cast("int"), "page_range": F.shiftleft(group, 33) + F.floor(place / rows_per_range)})
+    (placed.drop("_id").sortWithinPartitions("page_range_group", "page_range").write.option("parquet.page.row.count.limit", rows_per_range)
+     .partitionBy("page_range_group").parquet(f"{path}/rows"))
+    if not n:
+        spark.createDataFrame([], PAGE_INDEX).write.parquet(f"{path}/index")
+    else:
+        sizes = spark.read.parquet(f"{path}/rows").groupBy("page_range_group", "page_range").agg(F.count(F.lit(1)).alias("rows"))
+        # ranges are summed up in their group, and groups in one task: one row for each group
+        earlier = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        sizes = sizes.withColumn("_within", earlier(Window.partitionBy("page_range_group").orderBy("page_range"), "rows"))
+        totals = sizes.groupBy("page_range_group").agg(F.sum("rows").alias("_n"))
+        totals = totals.select("page_range_group", earlier(Window.orderBy("page_range_group"), "_n").alias("_first"))
+        index = sizes.join(totals, "page_range_group").select("page_range_group", "page_range", "rows", (F.col("_first") + F.col("_within")).alias("before"))
+        index.hint("rebalance").write.parquet(f"{path}/index")
     df.limit(0).write.parquet(f"{path}/schema")
 
 
 def read_page(spark, path: str, first: int, skip: int = 0, order: Sequence[str] = PAGE_ORDER) -> DataFrame:
     """Rows ``skip`` to ``skip + first`` of a table written by ``write_pages``; reads and sorts only the ranges they lie in."""
     schema = spark.read.parquet(f"{path}/schema").schema
-    index = spark.read.schema("page_range int, rows long, before long").parquet(f"{path}/index")
-    hit = index.filter((F.col("before") < skip + first) & (F.col("before") + F.col("rows") > skip)).orderBy("page_range").collect()
-    if not hit:
+    index = spark.read.schema(PAGE_INDEX).parquet(f"{path}/index")
+    hit = index.filter((F.col("before") < skip + first) & (F.col("before") + F.col("rows") > skip)).agg(
+        *[f(c).alias(f"{name}_{c}") for c in ("page_range_group", "page_range") for name, f in (("first", F.min), ("last", F.max))],
+        F.min("before").alias("before")).first()
+    if hit["before"] is None:
         return spark.createDataFrame([], schema)
-    rows = spark.read.parquet(f"{path}/rows").filter(F.col("page_range").isin([r["page_range"] for r in hit]))
-    return rows.orderBy(*order).offset(skip - hit[0]["before"]).limit(first).select(*schema.fieldNames())
+    rows = spark.read.parquet(f"{path}/rows")
+    for c in ("page_range_group", "page_range"):
+        rows = rows.filter(F.col(c).between(hit[f"first_{c}"], hit[f"last_{c}"]))
+    return rows.orderBy(*order).offset(skip - hit["before"]).limit(first).select(*schema.fieldNames())
 
 
 def page(df: DataFrame, first: int, skip: int = 0, order: Sequence[str] = ("hour_ts", "pool_id", "dex_protocol")) -> DataFrame:
