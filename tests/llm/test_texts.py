@@ -336,6 +336,27 @@ def test_language_of_odd_texts(spark, docs):
     assert language.predict(docs([]), names, prototypes).collect() == []
 
 
+def test_language_holds_little_memory(spark, docs):
+    """The text goes to Python once, and a task's arrays stay small however many n-grams a block has."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from tidemark.llm.common import blocks
+
+    df = docs(ODD)
+    names, prototypes = language.train(df, F.lit(True))
+    assert "__tm_text" not in language.predict(df, names, prototypes)._jdf.queryExecution().executedPlan().children().head().toString()
+    letters = np.random.default_rng(1).integers(0x61, 0x7B, (400, 5000), np.uint8)
+    batch = pa.RecordBatch.from_arrays([pa.array([row.tobytes().decode() for row in letters])], ["text"])
+    list(language.bundles(pa.array(["abc"])))  # the table of letters is made once
+    tracemalloc.start()
+    found = sum(1 for part in blocks(batch, 0, language.COUNTED_BYTES) for _ in language.bundles(part.column(0)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 400 and peak < 80e6
+
+
 # --- personal data ------------------------------------------------------------------------------------------
 
 PATTERNS = [re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

@@ -13,6 +13,8 @@ from tidemark.session import scratch_path
 
 #: Bytes of text that one vectorised step works on; bounds the memory of a Python worker.
 BLOCK_BYTES = 4 << 20
+#: The same for the steps of the pipeline's stages, whose workers stay with what the stages before them left.
+STEP_BYTES = 1 << 20
 
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64 (fixed values).
 MULT = 0x9E3779B97F4A7C15

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, discard, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
+from tidemark.llm.common import STEP_BYTES, blocks, discard, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
 from tidemark.llm.graph import components
 
 #: Bits of the map of rows whose texts are verified (4 MB).
@@ -37,6 +37,8 @@ BLOCK, HUBS = 64, 16
 HELD = 4096
 #: Entries of the heavy-hitter table (16 bytes each), and how many one task may propose.
 HEAVY, HEAVY_PER_TASK = 1 << 17, 8192
+#: Shingles that a task of the survey holds before it counts them; counting takes about 50 bytes each.
+SURVEYED = 1_000_000
 #: Least and most bits of a set's parity, as powers of two.
 PARITY = (9, 17)
 #: Set sizes for which enumerating subsets is considered.
@@ -167,13 +169,13 @@ def _survey(docs: DataFrame, size: int) -> tuple[dict[int, int], np.ndarray, np.
             return kinds[often], total[often]
 
         for batch in batches:
-            for part in blocks(batch, 0):
+            for part in blocks(batch, 0, STEP_BYTES):
                 h, at = sets(*text_buffers(part.column(0)), size)
                 n = np.diff(at)
                 histogram += np.bincount(n[n < len(histogram)], minlength=len(histogram))
                 seen.append(h)
                 held += len(h)
-                if held > 4_000_000:
+                if held > SURVEYED:
                     names, counts = settle(names, counts, seen)
                     seen, held = [], 0
         names, counts = settle(names, counts, seen)
@@ -242,7 +244,7 @@ def _profile(docs: DataFrame, rule: Threshold, size: int, below: int, heavy, hea
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, heat = shared.value
         for batch in batches:
-            for part in blocks(batch, 2):
+            for part in blocks(batch, 2, STEP_BYTES):
                 h, at = sets(*text_buffers(part.column(2)), size, heat, heavy)
                 n = np.diff(at)
                 full = np.flatnonzero(n)
@@ -361,7 +363,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, rule: Threshold, size: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, base = None, np.zeros(0, np.uint64)
         for batch in batches:
-            for part in blocks(batch, 3):
+            for part in blocks(batch, 3, STEP_BYTES):
                 h, at = sets(*text_buffers(part.column(3)), size)
                 a, other, v = (part.column(k).to_numpy(zero_copy_only=False) for k in range(3))
                 linked = []

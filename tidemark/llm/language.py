@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, mix, table, text_buffers, text_or_empty
+from tidemark.llm.common import blocks, mix, table, text_buffers
 
 #: Length of the vectors; a multiple of 64.
 DIMENSIONS = 1024
@@ -25,7 +26,7 @@ ORDER = 3
 #: Bound of the training sample: distinct texts taken per language, those of the smallest hashes.
 SAMPLE_PER_LANGUAGE = 1000
 #: Bytes of text whose n-grams are counted at once; the counts take about 60 times as much.
-COUNTED_BYTES = 2 << 20
+COUNTED_BYTES = 1 << 19
 #: The name for texts without a letter.
 UNDETERMINED = "und"
 
@@ -82,7 +83,7 @@ def _counts(column: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return doc, np.stack([gram // n ** (order - 1 - k) % n for k in range(order)], axis=1), count, letters
 
 
-def bundles(column: pa.Array, dimensions: int = DIMENSIONS, order: int = ORDER, chunk: int = 8192) -> Iterator[tuple[int, np.ndarray]]:
+def bundles(column: pa.Array, dimensions: int = DIMENSIONS, order: int = ORDER, chunk: int = 2048) -> Iterator[tuple[int, np.ndarray]]:
     """``(row, vector)`` of every text with a letter.  n-gram vectors are made ``chunk`` at a time."""
     doc, grams, count, letters = _counts(column, order)
     if not len(doc):
@@ -94,20 +95,20 @@ def bundles(column: pa.Array, dimensions: int = DIMENSIONS, order: int = ORDER,
         out = rolled[0][rows[:, 0]]
         for k in range(1, order):
             out = out * rolled[k][rows[:, k]]
-        return out.astype(np.float32)
+        return out
 
     n = len(letters)
     name = (grams * (n ** np.arange(order - 1, -1, -1))).sum(1)
     kinds, which = np.unique(name, return_inverse=True)
     known = None
-    if len(kinds) <= 2 * chunk:  # the block's n-grams fit: each is bound once
+    if len(kinds) <= 8 * chunk:  # the block's n-grams fit: each is bound once
         known = bind(np.stack([kinds // n ** (order - 1 - k) % n for k in range(order)], axis=1))
     edges = np.append(np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))), len(doc))
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         out = np.zeros(dimensions, np.float32)
         for c in range(a, b, chunk):
             d = min(b, c + chunk)
-            out += count[c:d].astype(np.float32) @ (known[which[c:d]] if known is not None else bind(grams[c:d]))
+            out += count[c:d].astype(np.float32) @ (known[which[c:d]] if known is not None else bind(grams[c:d])).astype(np.float32)
         yield int(doc[a]), out
 
 
@@ -156,12 +157,14 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, text:
     learned language.  Map-only; the prototypes are one row per language.
     """
     names = docs.columns
-    source = docs.withColumn("__tm_text", text_or_empty(text))
+    at = names.index(text)
     dimensions = prototypes.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, len(names), COUNTED_BYTES):
+            # the text goes to Python once; a null one counts as empty here and stays null in its column
+            whole = pc.fill_null(batch.column(at).cast(pa.string()), "")
+            for part in blocks(pa.RecordBatch.from_arrays([*batch.columns, whole], [*names, "__tm_text"]), len(names), COUNTED_BYTES):
                 lang, score = [UNDETERMINED] * part.num_rows, [0.0] * part.num_rows
                 if languages:
                     for i, vector in bundles(part.column(len(names)), dimensions, order):
@@ -172,7 +175,7 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, text:
                     [*(part.column(k) for k in range(len(names))), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     [*names, "__tm_lang", "__tm_score"])
 
-    return source.mapInArrow(run, docs.schema.simpleString()[7:-1] + ", __tm_lang string, __tm_score double")
+    return docs.mapInArrow(run, docs.schema.simpleString()[7:-1] + ", __tm_lang string, __tm_score double")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, table, text_buffers, text_or_empty
+from tidemark.llm.common import STEP_BYTES, blocks, table, text_buffers, text_or_empty
 from tidemark.llm.tagger import Tagger, classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -275,7 +275,7 @@ def detect(docs: DataFrame, tagger: Tagger, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(names)
         for batch in batches:
-            for part in blocks(batch, k):
+            for part in blocks(batch, k, STEP_BYTES):
                 data, offsets = text_buffers(part.column(k))
                 hits = np.concatenate(([0], np.cumsum(((data >= 48) & (data <= 57)) | (data == 64))))
                 some = np.flatnonzero(np.diff(hits[offsets]))  # rows with a digit or @

@@ -28,13 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, blocks, discard, prefix_hash, ranges, runs, span_hash, stored, table,
+from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, STEP_BYTES, blocks, discard, prefix_hash, ranges, runs, span_hash, stored, table,
                                  text_buffers, text_or_empty)
 
 #: Bytes of contexts that one suffix array holds; more contexts of other owners go to the next one.
 ARRAY_BYTES = 2 << 20
-#: Bytes of text whose owners are found, or whose strings are named or cut, at once.
-STEP_BYTES = 2 << 20
 #: Owner hashes with more different contexts than this compare named windows instead of one array.
 HOT_CONTEXTS = 2048
 #: Rows of one owner hash held at a time.
