@@ -99,3 +99,18 @@ def test_append_raw_splits_a_hot_day_over_write_tasks(spark, tmp_shared):
     hot_files = glob.glob(f"{tmp_shared}/hour_date=2024-01-05/part-*")
     assert len(hot_files) > 1
     assert spark.read.parquet(tmp_shared).count() == hot.count() + raw.count()
+
+
+def test_landing_drops_are_compressed(spark, tmp_shared):
+    from tests.conftest import SF001
+    from tidemark.operators.maintenance import _hadoop
+    from tidemark.plans.registry import raw_envelope
+    from tidemark.sources.raw import read_raw_jsonl, write_landing
+
+    raw = raw_envelope(spark, SF001)
+    write_landing(raw, tmp_shared)
+    system, folder = _hadoop(spark, tmp_shared)
+    text = spark.read.text(tmp_shared).selectExpr("sum(octet_length(value) + 1)").first()[0]
+    assert system.getContentSummary(folder).getLength() < text / 3
+    back = read_raw_jsonl(spark, tmp_shared)
+    assert back.count() == raw.count() and back.select("raw", "load_ts").exceptAll(raw.select("raw", "load_ts")).count() == 0

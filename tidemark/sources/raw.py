@@ -109,7 +109,8 @@ def write_landing(df: DataFrame, path: str, files_per_partition: int | None = No
     on (protocol, date) by default, so a folder gets few files instead of one
     per writing task and AQE splits a (protocol, date) that holds a large
     share of a run over several tasks; ``files_per_partition`` fixes the
-    count per folder instead.
+    count per folder instead.  Files are gzipped (readers go by their ending):
+    a record repeats its field names, so a drop takes a small part of its text.
     """
     rest = F.to_json(F.struct(
         "pool_id",
@@ -130,4 +131,4 @@ def write_landing(df: DataFrame, path: str, files_per_partition: int | None = No
         out = out.repartition("protocol", "date", spread)
     else:
         out = out.hint("rebalance", "protocol", "date")
-    out.drop("pool_id").write.mode("append").partitionBy("protocol", "date").text(path)
+    out.drop("pool_id").write.mode("append").partitionBy("protocol", "date").text(path, compression="gzip")
