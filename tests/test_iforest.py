@@ -154,3 +154,19 @@ def test_alias_reassignment_newest_wins(spark, tmp_shared):
     assert load_model(spark, tmp_shared, "latest").version == "2"
     assert load_model(spark, tmp_shared, "production").version == "1"
     assert load_model(spark, tmp_shared, "2").version == "2"
+
+
+def test_quantile_by_counted_parts_is_the_nearest_rank(spark):
+    """Ties, one value, and a part with many values; no aggregate holds all values in one task."""
+    import inspect
+    import math
+
+    from tidemark.operators import iforest
+
+    lists = [[0.5] * 7, [i / 1000 for i in range(1, 1001)], [0.25, 0.25, 1.0], [0.5 + i * 1e-9 for i in range(50)] + [0.1]]
+    for values in lists:
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        for p in (0.0, 0.1, 0.5, 0.9, 1.0):
+            want = sorted(values)[max(1, math.ceil(p * len(values))) - 1]
+            assert iforest.nearest_rank(df, "v", p, len(values)) == want
+    assert "percentile_approx(" not in inspect.getsource(iforest.fit_iforest)

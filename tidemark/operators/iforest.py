@@ -198,9 +198,9 @@ def _sample(df: DataFrame, key: Column, n: int, n_trees: int, psi: int, seed: in
     numbers = F.expr("array(" + ", ".join(
         "named_struct('tree', {}, 'a', {}L, 'b', {}L)".format(t, *_multipliers(seed, t)) for t in range(n_trees)) + ")")
     while True:
-        hashes = F.transform(numbers, lambda m: F.struct(m["tree"].alias("tree"), _draw(F.col("_k"), m["a"], m["b"]).alias("u")))
         limit = F.lit(share)
-        below = F.filter(hashes, lambda h: h["u"] < limit)
+        some = F.filter(numbers, lambda m: _draw(F.col("_k"), m["a"], m["b"]) < limit)  # most draws make no object
+        below = F.transform(some, lambda m: F.struct(m["tree"].alias("tree"), _draw(F.col("_k"), m["a"], m["b"]).alias("u")))
         rows = df.select(key.alias("_k"), "x").select("_k", "x", F.explode(below).alias("h")).select("_k", "x", "h.tree", "h.u")
         rn = F.row_number().over(Window.partitionBy("tree").orderBy("u", "_k", "x"))
         sample = rows.withColumn("_rn", rn).filter(F.col("_rn") <= psi).select("tree", "u", "x")
@@ -271,12 +271,35 @@ def fit_iforest(
         model.offset = 0.5
     else:
         c = float(contamination)
-        scored = score(data.select("x"), model, vector_col="x")
-        q = scored.agg(F.percentile_approx("anomaly_score", 1.0 - c, 1_000_000).alias("q")).first()["q"]
-        model.offset = float(q)
+        scores = scratch_path(df.sparkSession, "training-scores")
+        score(data.select("x"), model, vector_col="x").select("anomaly_score").write.parquet(scores)
+        model.offset = nearest_rank(df.sparkSession.read.schema("anomaly_score double").parquet(scores), "anomaly_score", 1.0 - c, n)
     return model
 
 
+#: Equal parts of [0, 1] in which scores are counted to find a quantile.
+SCORE_PARTS = 1 << 16
+
+
+def nearest_rank(df: DataFrame, col: str, p: float, n: int) -> float:
+    """The value of rank ``ceil(p n)`` among the ``n`` values of ``col``, all in [0, 1].
+
+    Exact at any size, without all values in one task: they are counted in
+    ``SCORE_PARTS`` parts, and only the part that holds the rank is put in
+    order, one row for each different value in it.
+    """
+    rank = min(n, max(1, math.ceil(p * n)))
+    part = F.floor(F.col(col) * SCORE_PARTS)
+    before = 0
+    for at, count in sorted(tuple(r) for r in df.groupBy(part.alias("part")).count().collect()):
+        if before + count >= rank:
+            break
+        before += count
+    upto = F.sum("count").over(Window.orderBy(col).rowsBetween(Window.unboundedPreceding, 0))
+    values = df.filter(part == at).groupBy(col).count().withColumn("_upto", upto)
+    return float(values.filter(F.col("_upto") >= rank - before).agg(F.min(col)).first()[0])
+
+
 class _Forest:
     """A forest laid out as complete binary trees of its height (heap order).
 
