@@ -212,6 +212,37 @@ def test_pipeline_runs_and_names_its_stages(spark):
     assert out.count() > 0 and {"doc_id", "ids", "sequence_id"} <= set(out.columns)
 
 
+def test_workers_give_back_what_a_task_freed(spark, docs, monkeypatch):
+    """Every Python step of the stages ends so; blocks below the last one in use otherwise stay with the worker."""
+    import re
+
+    from pyspark.sql.classic.dataframe import DataFrame
+    from tidemark.llm import common
+
+    def held():
+        with open("/proc/self/smaps_rollup") as fh:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", fh.read())[1]) / 1024
+
+    last = []
+
+    @common.released
+    def run(batches):
+        for batch in batches:
+            some = [np.ones(8192) for _ in range(3000)]  # 64 KB each
+            last.append(some.pop())
+            yield batch
+
+    before = held()
+    assert list(run(iter([1]))) == [1] and last and held() < before + 60
+
+    steps, plain = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda df, run, *a, **b: steps.append(run) or plain(df, run, *a, **b))
+    rows = docs(pipeline_rows())
+    for stage in (stages.known_language, stages.one_of_each_group, stages.without_repeated_bytes, stages.without_personal_data, stages.packed):
+        stage(spark, rows, None)
+    assert len(steps) >= 15 and all(hasattr(step, "__wrapped__") for step in steps)
+
+
 def test_the_rest_of_the_library_does_not_import_these_operators():
     said = subprocess.run([sys.executable, "-c", "import sys, tidemark, tidemark.plans.registry, tidemark.streaming; print([m for m in sys.modules if 'llm' in m])"],
                           capture_output=True, text=True, check=True, cwd=str(__import__("pathlib").Path(__file__).parents[2]))

@@ -156,6 +156,19 @@ def test_two_stage_sort_orders_all_suffixes():
     assert suffixes.remove is not None
 
 
+def test_suffix_arrays_hold_little_memory():
+    """Places and values are narrow: sorting takes less than 50 bytes for each byte of the contexts."""
+    import tracemalloc
+
+    base = np.random.default_rng(1).integers(97, 110, 200_000).astype(np.uint8)
+    contexts = [base[a:a + 300] for a in np.random.default_rng(2).integers(0, len(base) - 300, 1800).tolist()]
+    tracemalloc.start()
+    found = suffixes.repeated_starts(contexts, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 540_000 and found.any() and peak < 50 * len(found)
+
+
 def test_no_repeats_in_an_empty_table(spark, docs):
     assert suffixes.remove(docs([])).collect() == []
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +94,27 @@ def blocks(batch: pa.RecordBatch, text: int, most: int = BLOCK_BYTES) -> Iterato
         start = end
 
 
+def give_back() -> None:
+    """Return the memory that Arrow's and C's allocators keep for later to the operating system, where they can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not the GNU C library
+        pass
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for a worker that serves many tasks: when one ends, what it freed is not held beside the next one's."""
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads 64-bit values (splitmix64)."""
     x = np.asarray(x, np.uint64).copy()

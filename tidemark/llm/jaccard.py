@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import STEP_BYTES, blocks, discard, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
+from tidemark.llm.common import STEP_BYTES, blocks, discard, mix, prefix_hash, ranges, released, span_hash, stored, table, text_buffers, text_or_empty
 from tidemark.llm.graph import components
 
 #: Bits of the map of rows whose texts are verified (4 MB).
@@ -156,6 +156,7 @@ def boundary(histogram: dict[int, int], rule: Threshold) -> int:
 
 def _survey(docs: DataFrame, size: int) -> tuple[dict[int, int], np.ndarray, np.ndarray]:
     """Histogram of small set sizes, and the heavy hitters among shingles: sorted hashes and their counts."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         histogram = np.zeros(SMALL_MOST * 2, np.int64)
         seen, held = [], 0
@@ -241,6 +242,7 @@ def _profile(docs: DataFrame, rule: Threshold, size: int, below: int, heavy, hea
     """One row per document: its set's size, 128-bit signature, index entries and subset keys."""
     shared = docs.sparkSession.sparkContext.broadcast((heavy, heat))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, heat = shared.value
         for batch in batches:
@@ -321,6 +323,7 @@ def _scan(lists: DataFrame, rule: Threshold) -> DataFrame:
             pa.array(np.concatenate([pair[:, 0], v[keep]])), pa.concat_arrays([pa.array(pair[:, 1]), pa.nulls(len(keep), pa.int64())]),
         ], ["token", "n", "place", "a", "b"])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, going = None, False
         for batch in batches:
@@ -360,6 +363,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, rule: Threshold, size: int) -> D
     rows = (members.join(texts, "vid").select("a", (F.col("vid") != F.col("a")).alias("other"), "vid", "text")
             .repartition("a").sortWithinPartitions("a", "other"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, base = None, np.zeros(0, np.uint64)
         for batch in batches:
@@ -397,6 +401,7 @@ def _texts(whole: DataFrame, met: DataFrame, pairs: DataFrame) -> DataFrame:
         bits[r["piece"] * 4096:(r["piece"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
     shared = whole.sparkSession.sparkContext.broadcast(bits)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = batch.column(3).to_numpy()
@@ -415,6 +420,7 @@ def _plausible(pairs: DataFrame, met: DataFrame, rule: Threshold) -> DataFrame:
     of = lambda side: met.select(F.col("vid").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}"))
     joined = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "p_a", "p_b")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
@@ -481,6 +487,7 @@ def _across(rows: DataFrame, rule: Threshold) -> DataFrame:
         every = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(every[0], pa.int64()), pa.array(every[1], pa.int64())], ["a", "b"])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
         for batch in batches:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, mix, table, text_buffers
+from tidemark.llm.common import blocks, mix, released, table, text_buffers
 
 #: Length of the vectors; a multiple of 64.
 DIMENSIONS = 1024
@@ -128,6 +128,7 @@ def train(docs: DataFrame, fit: Column, text: str = "text", lang: str = "lang",
     # one row for each language: broadcast, so that only texts below a limit are moved
     sample = labelled.join(F.broadcast(limits), "lang").filter(F.col("h") <= F.col("most")).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -160,6 +161,7 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, text:
     at = names.index(text)
     dimensions = prototypes.shape[1]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # the text goes to Python once; a null one counts as empty here and stays null in its column

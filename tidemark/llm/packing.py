@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blocks, stored, table, text_or_empty
+from tidemark.llm.common import blocks, released, stored, table, text_or_empty
 
 #: Id that closes every document.
 CLOSING_ID = 0
@@ -103,6 +103,7 @@ def pack(docs: DataFrame, path: str, most: int = 1024, text: str = "text", keep:
     schema = docs.select(*keep).schema.simpleString()[7:-1] + ", start long, length long, ids_crc32 long, doc_tokens long"
     schema += ", ids array<int>" if ids else ""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(path)
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import STEP_BYTES, blocks, table, text_buffers, text_or_empty
+from tidemark.llm.common import STEP_BYTES, blocks, released, table, text_buffers, text_or_empty
 from tidemark.llm.tagger import Tagger, classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -149,6 +149,7 @@ def training_windows(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, n
     sample = (docs.select(text_or_empty(text).alias("t")).filter(F.col("t").rlike("[0-9@]"))
               .orderBy(F.xxhash64("t"), F.length("t")).limit(SAMPLE))
 
+    @released
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -272,6 +273,7 @@ def detect(docs: DataFrame, tagger: Tagger, text: str = "text") -> DataFrame:
     source = docs.withColumn("__tm_text", text_or_empty(text))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(names)
         for batch in batches:

@@ -17,7 +17,7 @@ LETTERS_TO_TELL = 100
 
 
 #: Bytes of an Arrow batch that a stage's tasks exchange with Python; Spark's own bound is 64 MB, held on both sides.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

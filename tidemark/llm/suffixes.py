@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, STEP_BYTES, blocks, discard, prefix_hash, ranges, runs, span_hash, stored, table,
+from tidemark.llm.common import (BLOCK_BYTES, MULT, MULT2, STEP_BYTES, blocks, discard, prefix_hash, ranges, released, runs, span_hash, stored, table,
                                  text_buffers, text_or_empty)
 
 #: Bytes of contexts that one suffix array holds; more contexts of other owners go to the next one.
@@ -39,6 +39,11 @@ HOT_CONTEXTS = 2048
 HELD = 8192
 
 
+def _places(n: int) -> type:
+    """The smallest kind of number for places among ``n`` values."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Starts of all suffixes, ordered by at least their first ``depth`` bytes.
 
@@ -47,21 +52,24 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     puts every other suffix behind those it follows in order.
     """
     n = len(text)
+    place = _places(n)
     if not n:
-        return np.zeros(0, np.int64)
-    ext = np.append(text, -1)
+        return np.zeros(0, place)
+    text = text.astype(np.int16, copy=False)
+    ext = np.append(text, np.int16(-1))
     # the type of a run of equal values is decided by the value behind it
     change = np.flatnonzero(ext[1:] != ext[:-1])
-    run_of = np.searchsorted(change, np.arange(n))
-    smaller = ext[change + 1][run_of] > text
-    order = _sort_directly(text, np.flatnonzero(smaller), depth)
+    smaller = np.repeat(ext[change + 1] > ext[change], np.diff(change, prepend=-1))
+    del ext, change
+    order = _sort_directly(text, np.flatnonzero(smaller).astype(place), depth)
+    del smaller
     by_first = np.searchsorted(text[order], np.arange(258))
     large: list[list[np.ndarray]] = [[] for _ in range(257)]
-    large[text[n - 1]].append(np.array([n - 1]))  # the last suffix follows the empty one
+    large[text[n - 1]].append(np.array([n - 1], place))  # the last suffix follows the empty one
     out = []
     for c in range(257):
         own = large[c]
-        front = np.concatenate(own) if own else np.zeros(0, np.int64)
+        front = np.concatenate(own) if own else np.zeros(0, place)
         own = [front]
         while len(front):  # suffixes of the same bucket that follow those found so far
             front = front[front > 0] - 1
@@ -84,10 +92,11 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 
 def _words(text: np.ndarray) -> np.ndarray:
     """At every place seven values as one number, 9 bits each; zeros behind the end."""
-    padded = np.concatenate([text, np.zeros(7, text.dtype)]).astype(np.uint64)
+    padded = np.concatenate([text, np.zeros(7, text.dtype)]).astype(np.uint16)
     out = np.zeros(len(text), np.uint64)
     for k in range(7):
-        out = (out << np.uint64(9)) | padded[k:k + len(text)]
+        out <<= np.uint64(9)
+        out |= padded[k:k + len(text)]
     return out
 
 
@@ -95,12 +104,12 @@ def _sort_directly(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
     """Order the given suffixes by their first ``depth`` values: seven at a time, ties only."""
     if not len(starts):
         return starts
-    word = np.concatenate([_words(text), np.zeros(1, np.uint64)])
+    word = _words(np.append(text, text.dtype.type(0)))
     last = len(text)
     order = starts[np.argsort(word[starts], kind="stable")]
     key = word[order]
-    at, level = np.arange(len(order)), 7
-    group = np.cumsum(np.concatenate(([True], key[1:] != key[:-1])))
+    at, level = np.arange(len(order), dtype=starts.dtype), 7
+    group = np.cumsum(np.concatenate(([True], key[1:] != key[:-1])), dtype=starts.dtype)
     while level < depth:
         tied = np.zeros(len(group), bool)
         same = group[1:] == group[:-1]
@@ -113,7 +122,7 @@ def _sort_directly(text: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarr
         by = np.lexsort((key, group))
         order[at] = order[at][by]
         key, group = key[by], group[by]
-        group = np.cumsum(np.concatenate(([True], (key[1:] != key[:-1]) | (group[1:] != group[:-1]))))
+        group = np.cumsum(np.concatenate(([True], (key[1:] != key[:-1]) | (group[1:] != group[:-1]))), dtype=starts.dtype)
         level += 7
     return order
 
@@ -125,14 +134,16 @@ def repeated_starts(contexts: list[np.ndarray], length: int) -> np.ndarray:
     has one flag for each byte.
     """
     sizes = np.array([len(c) for c in contexts])
-    text = np.zeros(int(sizes.sum()) + len(sizes), np.int64)
     begin = np.cumsum(sizes + 1) - sizes - 1
-    data = np.concatenate(contexts)
-    text[ranges(begin, sizes)] = data.astype(np.int64) + 1  # 0 closes each context
+    text = np.zeros(int(sizes.sum()) + len(sizes), np.int16)
+    inside = np.ones(len(text), bool)
+    inside[begin + sizes] = False
+    text[inside] = np.concatenate(contexts).astype(np.int16) + 1  # 0 closes each context
     start = np.zeros(len(text), bool)
     start[ranges(begin, np.maximum(sizes - length + 1, 0))] = True
     order = suffix_array(text, length)
     order = order[start[order]]
+    del start
     # adjacent common prefixes, seven values at a time
     word = _words(text)
     same = np.ones(max(len(order) - 1, 0), bool)
@@ -145,7 +156,7 @@ def repeated_starts(contexts: list[np.ndarray], length: int) -> np.ndarray:
     found = np.zeros(len(text), bool)
     found[order[:-1][same]] = True
     found[order[1:][same]] = True
-    return found[ranges(begin, sizes)]
+    return found[inside]
 
 
 def owners(data: np.ndarray, offsets: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
@@ -198,6 +209,7 @@ def _parts(batch: pa.RecordBatch, text: int, length: int) -> Iterator[tuple[pa.R
 
 
 def _find_owners(texts: DataFrame, length: int, piece: int) -> DataFrame:
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets, base in _parts(batch, 1, length):
@@ -230,6 +242,7 @@ def _classify(rows: DataFrame) -> DataFrame:
             [*(pa.array(rows[k][keep], t) for k, t in enumerate(types)), pa.array(kind), pa.array(m[keep] > 1)],
             ["owner", "context", "h", "n", "start", "count", "kind", "many"])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, split = None, False
         for batch in batches:
@@ -263,6 +276,7 @@ def _classify(rows: DataFrame) -> DataFrame:
 
 def _cut_contexts(joined: DataFrame, length: int) -> DataFrame:
     """The bytes of every wanted context; for hot owners the 128-bit names of its strings instead."""
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in blocks(batch, 2, STEP_BYTES):
@@ -303,6 +317,7 @@ def _sort_contexts(rows: DataFrame, length: int) -> DataFrame:
                 at += len(raw)
         return pa.RecordBatch.from_arrays([pa.array(marks[0], pa.int64()), *(pa.array(x, pa.int32()) for x in marks[1:])], ["h", "n", "start", "count"])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
@@ -362,6 +377,7 @@ def remove(docs: DataFrame, text: str = "text", length: int = 200, piece: int =
     found = found.withColumnsRenamed({"h": "__tm_h2", "n": "__tm_n2", "marks": "__tm_marks"})
     joined = keyed.join(found, (F.col("__tm_h") == F.col("__tm_h2")) & (F.col("__tm_n") == F.col("__tm_n2")), "left")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(names)
         for batch in batches:
