@@ -16,7 +16,7 @@ from tidemark.llm import collocations as C
 from tidemark.llm import negatives as N
 from tidemark.llm import recurrent as R
 from tidemark.llm import toxicity as T
-from tidemark.llm.common import text_buffers
+from tidemark.llm.common import small_batches, text_buffers
 
 NAN, INF = float("nan"), float("inf")
 
@@ -57,6 +57,20 @@ def test_automata_count_unite_split_prune_and_read():
         assert found == [want.get(tuple(q), 0) for q in asked.tolist()]
 
 
+def test_automata_are_narrow_and_exact():
+    """16 bytes an arc, and still sums beyond 32 bits, and places times labels beyond them."""
+    r = np.random.default_rng(3)
+    n = 50_000
+    columns = [r.permutation(n).astype(np.uint64), r.permutation(n).astype(np.uint64)]
+    part = A.build(columns)
+    whole = A.union([part, part, A.build([c[:9] for c in columns])])
+    for levels in (part, whole):
+        assert sum(x.nbytes for level in levels for x in level) <= 16 * sum(len(level[0]) for level in levels)
+    assert whole[1][2].sum() == 2 * n + 9 and (A.read(whole, columns) >= 0).all()
+    much = A.build([c[:3] for c in columns], np.full(3, (1 << 31) - 1))
+    assert set(_counts(A.load(A.dump(A.union([much, much, much])))).values()) == {3 * ((1 << 31) - 1)}
+
+
 # --- collocations ----------------------------------------------------------------------------
 
 
@@ -125,6 +139,46 @@ def test_collocations_with_a_full_bitmap_and_of_two_words(spark, monkeypatch):
     assert _mined(df, least=3, top=500, longest=2) == brute_collocations(rows, 3, 500, 2)
 
 
+def test_tasks_of_collocations_hold_little_memory(spark, monkeypatch):
+    """A block of texts is small, and so are the automata of a shard; every Python step gives back what it freed."""
+    import tracemalloc
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    steps, plain = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda df, run, *a, **b: steps.append(run) or plain(df, run, *a, **b))
+    none = spark.createDataFrame([], "text string, lang string")
+    C.count_words(none, 0)
+    C.count_phrases(none, 2, np.full(1 << 12, 255, np.uint8), 16, 100, 0)
+    words_of, shards_of, _ = steps
+    r = np.random.default_rng(5)
+    texts = [" ".join(map(str, x)) for x in r.integers(10_000, 12_000, (900, 2_000)).tolist()]  # 10.8 MB
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k:k + 300]), pa.array(["en"] * 300)], ["text", "lang"]) for k in range(0, 900, 300)]
+    for step, most in ((words_of, 90e6), (shards_of, 130e6)):
+        tracemalloc.start()
+        found = sum(out.num_rows for out in step(iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found and peak < most, peak
+    assert _mined(spark.createDataFrame([("a b c a b c", "en")], "text string, lang string"), least=2)
+    assert len(steps) >= 10 and all(hasattr(step, "__wrapped__") for step in steps)
+
+
+def test_arrow_batches_of_collocations_are_bound(spark, monkeypatch):
+    name, seen, plain = "spark.sql.execution.arrow.maxBytesPerBatch", [], C.stored
+    before = spark.conf.get(name)
+    monkeypatch.setattr(C, "stored", lambda df, called: seen.append(spark.conf.get(name)) or plain(df, called))
+    rows = corpus()[:60]
+    assert _mined(spark.createDataFrame(rows, "text string, lang string"), least=3, top=500) == brute_collocations(rows, 3, 500)
+    assert len(seen) >= 4 and all(int(x.rstrip("b")) <= 4 << 20 for x in seen)
+    assert spark.conf.get(name) == before
+    sizes = spark.range(1, numPartitions=1).selectExpr("explode(sequence(1, 9000)) i").selectExpr("repeat('x', 1000) t")
+    size_of = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    with small_batches(spark, 1 << 20):
+        assert max(r["n"] for r in sizes.mapInArrow(size_of, "n long").collect()) < 2 << 20
+    assert spark.conf.get(name) == before
+
+
 def test_collocations_of_nothing(spark):
     schema = "text string, lang string"
     assert _mined(spark.createDataFrame([], schema)) == []

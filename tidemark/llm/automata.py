@@ -17,13 +17,24 @@ import numpy as np
 Level = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
+def _place(n: int) -> type:
+    """The smaller kind of number that holds places among ``n`` states."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
+def _counts(values: np.ndarray) -> np.ndarray:
+    """Sums of counts in half the bytes, if all fit."""
+    return values.astype(np.int32) if len(values) and values.max() < 1 << 31 else values
+
+
 def build(columns: Sequence[np.ndarray], counts: np.ndarray | None = None) -> list[Level]:
     """The automaton of the rows of ``columns`` (one array of labels per depth), each counted once or ``counts`` times.
 
     Depth after depth the rows are sorted by (state so far, next label): equal
     beginnings become one state, and the sorted order is that of the arcs.
     """
-    state = np.zeros(len(columns[0]), np.int64)
+    place = _place(len(columns[0]))
+    state = np.zeros(len(columns[0]), place)
     levels: list[Level] = []
     for depth, labels in enumerate(columns):
         order = np.lexsort((labels, state))
@@ -31,11 +42,11 @@ def build(columns: Sequence[np.ndarray], counts: np.ndarray | None = None) -> li
         new = np.ones(len(order), bool)
         new[1:] = (source[1:] != source[:-1]) | (label[1:] != label[:-1])
         first = np.flatnonzero(new)
-        state = np.empty(len(order), np.int64)
-        state[order] = np.cumsum(new) - 1
-        weight = np.zeros(len(first), np.int64)
+        state = np.empty(len(order), place)
+        state[order] = np.cumsum(new, dtype=place) - 1
+        weight = np.zeros(len(first), np.int32)
         if depth == len(columns) - 1 and len(first):
-            weight = np.add.reduceat(np.ones(len(order), np.int64) if counts is None else counts[order].astype(np.int64), first)
+            weight = _counts(np.add.reduceat(np.ones(len(order), np.int64) if counts is None else counts[order].astype(np.int64), first))
         levels.append((source[first], label[first], weight))
     return levels
 
@@ -45,22 +56,26 @@ def union(parts: Sequence[list[Level]]) -> list[Level]:
     if len(parts) == 1:
         return list(parts[0])
     depth = max(map(len, parts), default=0)
-    at = [np.zeros(1, np.int64) for _ in parts]
+    at = [np.zeros(1, np.int32) for _ in parts]
     out: list[Level] = []
     for d in range(depth):
         live = [i for i, p in enumerate(parts) if d < len(p)]
+        ends = np.cumsum([0] + [len(parts[i][d][0]) for i in live])
+        place = _place(int(ends[-1]))
         source = np.concatenate([at[i][parts[i][d][0]] for i in live])
         label = np.concatenate([parts[i][d][1] for i in live])
-        weight = np.concatenate([parts[i][d][2] for i in live])
-        order = np.lexsort((label, source))
-        s, x = source[order], label[order]
+        order = np.lexsort((label, source)).astype(place)
+        source, label = source[order], label[order]
         new = np.ones(len(order), bool)
-        new[1:] = (s[1:] != s[:-1]) | (x[1:] != x[:-1])
+        new[1:] = (source[1:] != source[:-1]) | (label[1:] != label[:-1])
         first = np.flatnonzero(new)
-        state = np.empty(len(order), np.int64)
-        state[order] = np.cumsum(new) - 1
-        out.append((s[first], x[first], np.add.reduceat(weight[order], first) if len(first) else weight))
-        ends = np.cumsum([0] + [len(parts[i][d][0]) for i in live])
+        source, label = source[first], label[first]
+        weight = np.concatenate([parts[i][d][2] for i in live])
+        if len(first):
+            weight = _counts(np.add.reduceat(weight[order], first, dtype=np.int64))
+        out.append((source, label, weight))
+        state = np.empty(len(order), place)
+        state[order] = np.cumsum(new, dtype=place) - 1
         for k, i in enumerate(live):
             at[i] = state[ends[k]:ends[k + 1]]
     return out
@@ -109,7 +124,7 @@ def read(levels: list[Level], columns: Sequence[np.ndarray]) -> np.ndarray:
         kinds = np.unique(label)
         rank = np.searchsorted(kinds, want).clip(max=len(kinds) - 1)
         ok = (state >= 0) & (kinds[rank] == want)
-        arc = source * len(kinds) + np.searchsorted(kinds, label)
+        arc = source.astype(np.int64) * len(kinds) + np.searchsorted(kinds, label)
         goal = state * len(kinds) + rank
         place = np.searchsorted(arc, goal).clip(max=len(arc) - 1)
         state = np.where(ok & (arc[place] == goal), place, -1)

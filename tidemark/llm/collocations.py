@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import automata
-from tidemark.llm.common import MULT, blocks, mix, prefix_hash, ranges, span_hash, stored, table, text_buffers, text_or_empty
+from tidemark.llm.common import (MULT, STEP_BYTES, blocks, mix, prefix_hash, ranges, released, small_batches, span_hash, stored, table,
+                                 text_buffers, text_or_empty)
 
 #: Bits of the bitmap of common parts (4 MB).
 BITS = 1 << 25
 #: A shard's automaton is sent on when it has this many arcs.
-ARCS = 1 << 20
+ARCS = 3 << 18
 #: Words of the corpus for each prefix range.
 RANGE_WORDS = 1 << 17
 
@@ -82,9 +83,10 @@ def _source(docs: DataFrame, text: str, lang: str) -> DataFrame:
 def count_words(source: DataFrame, seed: int) -> DataFrame:
     """``(key, lang, word, f)`` of every word of every language."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch, 0):
+            for part in blocks(batch, 0, STEP_BYTES):
                 w = _Words(part.column(0), part.column(1).to_pylist(), seed)
                 key, at, n = np.unique(w.key, return_index=True, return_counts=True)
                 length = w.end[at] - w.start[at]
@@ -125,6 +127,7 @@ def _united(parts: DataFrame, least: int) -> DataFrame:
     """
     arcs = ARCS
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, size = None, [], 0
 
@@ -157,7 +160,7 @@ def count_phrases(source: DataFrame, length: int, parts: np.ndarray, n_ranges: i
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
         held, size = [], 0
         for batch in batches:
-            for part in blocks(batch, 0):
+            for part in blocks(batch, 0, STEP_BYTES):
                 w = _Words(part.column(0), part.column(1).to_pylist(), seed)
                 m = len(w.key) - length + 1
                 if m <= 0:
@@ -182,6 +185,7 @@ def count_phrases(source: DataFrame, length: int, parts: np.ndarray, n_ranges: i
         if held:
             yield automata.union(held)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in shards(batches):
             pieces = automata.split(whole)
@@ -196,6 +200,7 @@ def count_phrases(source: DataFrame, length: int, parts: np.ndarray, n_ranges: i
 def _names(counted: DataFrame) -> DataFrame:
     """``key``: the names of the deepest sequences of stored automata."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
@@ -216,6 +221,7 @@ def _candidates(whole: DataFrame, n_ranges: int) -> DataFrame:
     """Every phrase with its count, those of its first parts of two words or more, the ranges of its last parts,
     and whether a phrase one word longer at the end is as frequent.  ``id`` is the range and the state's place."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r, data in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -285,25 +291,26 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     Empty tables, or texts without words, give no rows.
     """
     source = _source(docs, text, lang)
-    seed = 0
-    while True:
-        words = stored(count_words(source, seed), "words")
-        if not words.groupBy("key").count().filter("count > 1").head(1):
-            break
-        seed += 1
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    common = words.filter(F.col("f") >= least)
-    n = words.agg(F.sum("f")).head()[0] or 0
-    n_ranges = max(16, n // RANGE_WORDS)
-    counted, bits = None, _bitmap(common)
-    for length in range(2, longest + 1):
-        level = stored(count_phrases(source, length, bits, n_ranges, least, seed), "phrases")
-        counted = level if counted is None else counted.unionByName(level)
-        bits = _bitmap(_names(level))
-        if not bits.any():
-            break
-    whole = stored(_united(counted, least), "automata")
-    found = stored(_candidates(whole, n_ranges), "candidates")
+    with small_batches(docs.sparkSession):
+        seed = 0
+        while True:
+            words = stored(count_words(source, seed), "words")
+            if not words.groupBy("key").count().filter("count > 1").head(1):
+                break
+            seed += 1
+        totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+        common = words.filter(F.col("f") >= least)
+        n = words.agg(F.sum("f")).head()[0] or 0
+        n_ranges = max(16, n // RANGE_WORDS)
+        counted, bits = None, _bitmap(common)
+        for length in range(2, longest + 1):
+            level = stored(count_phrases(source, length, bits, n_ranges, least, seed), "phrases")
+            counted = level if counted is None else counted.unionByName(level)
+            bits = _bitmap(_names(level))
+            if not bits.any():
+                break
+        whole = stored(_united(counted, least), "automata")
+        found = stored(_candidates(whole, n_ranges), "candidates")
     asked = (found.filter(F.size("words") > 2).select("id", "a", "words", F.posexplode("suffix").alias("p", "range"))
              .select("id", "a", "range", (F.col("p") + 1).alias("k"), F.expr("slice(words, p + 2, size(words) - p - 1)").alias("words")))
     of = _last_parts(whole, asked).groupBy("id").agg(

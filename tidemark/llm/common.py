@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 import numpy as np
@@ -18,6 +19,9 @@ BLOCK_BYTES = 4 << 20
 #: The same for the steps of the pipeline's stages, whose workers stay with what the stages before them left.
 STEP_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch inside ``small_batches``; Spark's own bound is 64 MB, held on both sides.
+BATCH_BYTES = 4 << 20
+
 #: Odd multiplier of the rolling hash and its inverse modulo 2**64 (fixed values).
 MULT = 0x9E3779B97F4A7C15
 INVERSE = pow(MULT, -1, 1 << 64)
@@ -27,6 +31,8 @@ MULT2 = 0xD1342543DE82EF95
 
 #: Spark's own switch that deletes a query's shuffle files when the query ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's bound on the bytes of an Arrow batch.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -115,6 +121,20 @@ def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return whole
 
 
+@contextmanager
+def small_batches(spark, most: int = BATCH_BYTES) -> Iterator[None]:
+    """What is computed inside exchanges Arrow batches of ``most`` bytes at most with Python (a larger row stands alone)."""
+    before = spark.conf.get(_BATCH, None)  # None: not set, Spark's own holds
+    spark.conf.set(_BATCH, str(most))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads 64-bit values (splitmix64)."""
     x = np.asarray(x, np.uint64).copy()
