@@ -123,6 +123,21 @@ def test_components(spark):
     assert set(got) == set(link)
 
 
+def test_components_plan_few_exchanges(spark, monkeypatch):
+    """Each exchange costs the driver a thread and memory: a round has few, and stars need one round."""
+    plans, store = [], graph.stored
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange"))
+        return store(df, name)
+
+    monkeypatch.setattr(graph, "stored", watched)
+    stars = [(5, 1), (6, 1), (7, 1), (9, 8), (3, 3), (None, 2), (4, None), (5, 1)]
+    got = dict(graph.components(spark.createDataFrame(stars, "a long, b long")).collect())
+    assert got == {1: 1, 5: 1, 6: 1, 7: 1, 8: 8, 9: 8}
+    assert len(plans) == 2 and max(plans) <= 8
+
+
 def test_every_operator_has_one_query():
     names = list(queries.QUERIES)
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]

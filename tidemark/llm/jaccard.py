@@ -563,10 +563,12 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     texts = _texts(whole, met, pairs)
     edges = stored(_verify(pairs, texts, rule, size).unionByName(light), "links")
     discard(pairs, light, texts)
+    known = components(edges)
+    discard(edges)
 
     # long lists: what is in one component by now needs no more; the rest is compared across components
     rows = scanned.filter("token is not null").select("token", "n", "place", F.col("a").alias("vid")).distinct()
-    marked = rows.join(components(edges).withColumnRenamed("id", "vid"), "vid", "left")
+    marked = rows.join(known.withColumnRenamed("id", "vid"), "vid", "left")
     marked = stored(marked.withColumn("component", F.coalesce("component", "vid")), "long-lists")
     discard(scanned)
     mixed = marked.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).filter("lo < hi")
@@ -587,11 +589,11 @@ def join(docs: DataFrame, text: str = "text", id: str = "doc_id", size: int = 4,
     more = stored(_verify(across, texts, rule, size), "links")
     discard(across, texts)
 
-    # rows of one id are one vertex
+    # rows of one id are one vertex; the components found before go on as stars, not as links
     spread = members.filter("vid is not null").groupBy("id").agg(F.min("vid").alias("a"), F.max("vid").alias("z")).filter("a < z")
     same_id = members.join(spread, "id").filter("vid > a").select("a", F.col("vid").alias("b"))
-    found = components(edges.unionByName(more).unionByName(same_id)).withColumnRenamed("id", "vid")
-    discard(edges, more)
+    found = components(known.toDF("a", "b").unionByName(more).unionByName(same_id)).withColumnRenamed("id", "vid")
+    discard(more)
     named = names_of.join(found, "vid")
     names = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = named.join(names, "component").select("vid", "component_id")
